@@ -98,8 +98,9 @@ def pad_with_unmatched(top: DataFrame, queries: DataFrame, docs: DataFrame,
     have = top.groupBy(qkey).agg(F.collect_list(dkey).alias("_have"))   # at most k per query
     short = (queries.select(qkey).distinct().join(have, qkey, "left")
                     .withColumn("_have", F.coalesce("_have", F.array().cast(f"array<{dict(docs.dtypes)[dkey]}>")))
-                    .filter(F.size("_have") < k))
-    fresh = F.filter(cand, lambda d: ~F.array_contains(F.col("_have"), d))
+                    .filter(F.size("_have") < k)
+                    .withColumn("_cand", cand))
+    fresh = F.filter(F.col("_cand"), lambda d: ~F.array_contains(F.col("_have"), d))
     fill = F.slice(fresh, 1, F.lit(k) - F.size("_have"))
     out = (short.select(qkey, F.size("_have").alias("_n"), F.posexplode(fill).alias("_p", dkey))
                 .select(qkey, dkey, F.lit(0.0).alias("score"),

@@ -26,7 +26,10 @@ def document_count(docs: DataFrame) -> Column:
 
 def idf_table(tf: DataFrame, n_docs: Column, min_doc_freq: int = 1) -> DataFrame:
     """``(skill, df, idf)`` with ``idf = ln((m + 1) / (df + 1))``, 0 below ``min_doc_freq``."""
-    dfreq = tf.groupBy("skill").agg(F.count(F.lit(1)).alias("df"))
+    # count rows with tf > 0 (all of them) rather than count(*): reading tf keeps the
+    # tagger's aggregate identical in both branches of the model, so the plan reuses
+    # its exchange instead of running the Python fold a second time
+    dfreq = tf.groupBy("skill").agg(F.count(F.when(F.col("tf") > 0, F.lit(1))).alias("df"))
     idf = F.when(F.col("df") >= min_doc_freq,
                  F.log((n_docs.cast("double") + 1.0) / (F.col("df").cast("double") + 1.0))
                  ).otherwise(F.lit(0.0))

@@ -87,3 +87,105 @@ def render_document(url: Column, ingest_ts: Column, title: Column, location: Col
         labelled(LABEL_REQUIREMENTS, requirements),
     ]
     return F.concat(F.concat_ws(BLOCK_SEP, *blocks), F.lit(LINE_SEP))
+
+
+# ---- extraction job (P14, P15, P16, P19) and the ingest job (R6) -------------------------
+
+SECTIONS = ["title", "location", "skills", "about", "description", "requirements"]
+SECTION_SCHEMA = ("title string, location string, skills array<string>, about array<string>, "
+                  "description array<string>, requirements array<string>")
+SCALAR_SECTIONS = {"title", "location"}
+
+# Selectors of the job-site page layout, (section, order, root id, path).
+SITE_SELECTORS = [
+    ("title", 0, None, "/html/head/title"),
+    ("location", 0, "hed", "ul[1]/li/text()"),
+    ("skills", 0, "hed", "div[2]/p/a"),
+    ("description", 0, "jobdetailpage", "div[2]/div[1]/div[2]/p"),
+    ("description", 1, "jobdetailpage", "div[2]/div[1]/div[2]/ul/li"),
+    ("requirements", 0, "jobdetailpage", "div[2]/div[1]/div[3]/p"),
+    ("requirements", 1, "jobdetailpage", "div[2]/div[1]/div[3]/ul/li/text()"),
+    ("requirements", 2, "jobdetailpage", "div[2]/div[1]/div[3]/ul/li/ul/li/text()"),
+    ("about", 0, "jobdetailpage", "div[2]/div[1]/div[4]/p"),
+]
+# The driver's pages carry no ids: title, nav links as skills, headline, paragraphs.
+DRIVER_SELECTORS = [
+    ("title", 0, None, "/html/head/title"),
+    ("skills", 0, None, "//nav/ul/li/a"),
+    ("about", 0, None, "//article/h1"),
+    ("description", 0, None, "//article/p"),
+]
+
+
+def extract_page(html_text: str | None, selectors) -> list:
+    """Sections of one page, in ``SECTIONS`` order.  Order of work: parse (entities
+    decoded once), NFKD + ASCII strip of every text node (nodes left empty vanish),
+    select, then decode entities once more.  Scalars take the first match; the
+    location is trimmed of spaces and newlines."""
+    from ..functions.clean import nfkd_ascii, unescape
+    from ..functions.html_extract import parse, select, string_value
+    out: dict = {s: ([] if s not in SCALAR_SECTIONS else "") for s in SECTIONS}
+    if not html_text:
+        return [out[s] for s in SECTIONS]
+    root = parse(html_text, nfkd_ascii)
+    for section, _order, root_id, path in sorted(selectors, key=lambda r: (r[0], r[1])):
+        found = [string_value(n) for n in select(root, path, root_id)]
+        if section in SCALAR_SECTIONS:
+            if found and not out[section]:
+                v = found[0]
+                out[section] = unescape(v.strip(" \n") if section == "location" else v)
+        else:
+            out[section].extend(unescape(v) for v in found)
+    return [out[s] for s in SECTIONS]
+
+
+def extract_sections(pages_df: DataFrame, selectors=SITE_SELECTORS, keep=("url",),
+                     html_col: str = "html") -> DataFrame:
+    """P16 job: ``keep`` columns plus one column per section, one row per page.
+    Narrow (no shuffle): each task parses its own pages in Arrow batches."""
+    keep = list(keep)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}"
+                       for f in pages_df.select(*keep).schema.fields) + ", " + SECTION_SCHEMA
+    sel = [tuple(s) for s in selectors]
+
+    def run(batches):
+        import pandas as pd
+        for pdf in batches:
+            rows = [extract_page(h, sel) for h in pdf[html_col]]
+            out = pd.DataFrame(rows, columns=SECTIONS)
+            for i, k in enumerate(keep):
+                out.insert(i, k, pdf[k].values)
+            yield out
+
+    return pages_df.select(*keep, html_col).mapInPandas(run, schema)
+
+
+def section_rows(sections: DataFrame, key: str = "url") -> DataFrame:
+    """Long form ``(key, section, ordinal, text)`` of extracted sections: one
+    ``inline`` over all sections, so the extraction above runs once."""
+    def tag(name):
+        return lambda x, i: F.struct(F.lit(name).alias("section"), i.alias("ordinal"), x.alias("text"))
+
+    parts = [F.transform(F.array(F.col(s)) if s in SCALAR_SECTIONS else F.col(s), tag(s))
+             for s in SECTIONS]
+    return sections.select(key, F.inline(F.concat(*parts)))
+
+
+def ingest_pages(raw: DataFrame, stored: DataFrame, ingest_ts: Column,
+                 selectors=SITE_SELECTORS, prefix_regex: str = r"https?://",
+                 folder: str = STORE_FOLDER) -> tuple[DataFrame, DataFrame]:
+    """``(job_docs, totals)``.  Names the pages, drops the stored ones (anti join
+    before any parsing), counts status, extracts and renders the fetched pages."""
+    named = with_doc_names(raw, prefix_regex, folder)
+    todo = one_per_name(pending(named, stored))
+    passed, failed = status_flags(F.col("http_status"))
+    status = todo.select(F.when(F.col("dup"), F.lit(0).cast("bigint")).otherwise(passed).alias("passed"),
+                         F.when(F.col("dup"), F.lit(1).cast("bigint")).otherwise(failed).alias("failed"))
+    fetched = todo.filter((F.col("http_status") == 200) & ~F.col("dup"))
+    sec = extract_sections(fetched, selectors, keep=("doc_name", "url"))
+    body = render_document(F.col("url"), ingest_ts, F.col("title"), F.col("location"),
+                           F.col("skills"), F.col("about"), F.col("description"), F.col("requirements"))
+    docs = sec.select("doc_name", "url", ingest_ts.alias("ingest_ts"), "title", "location",
+                      F.col("skills").alias("base_skills"), "about", "description", "requirements",
+                      body.alias("body"))
+    return docs, status_totals(status)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import ascii_strip, doc_name_to_url, page_links, page_title, utc_text
 from ..operators import match, model, pages, skills, tagging, textflows
+from ..plans.sizing import spread_if_narrow
 from ..sources import tables
 from ..sources.resumes import resume_requests
 from ..sources.vocabulary import driver_vocabulary
@@ -168,6 +169,21 @@ def rendered_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return todo.select("page_id", "doc_name", body.alias("body"))
 
 
+def page_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P16 extraction job over every page (driver layout), cleaned (P15) and decoded."""
+    p = tables.read_table(spark, sf_dir, "pages")
+    sec = pages.extract_sections(spread_if_narrow(p), pages.DRIVER_SELECTORS, keep=("page_id",))
+    return pages.section_rows(sec, "page_id")
+
+
+def job_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pending pages named, fetched ones extracted and rendered as stored documents."""
+    raw = spread_if_narrow(tables.raw_pages(spark, sf_dir))
+    docs, _totals = pages.ingest_pages(raw, tables.stored_names(spark, sf_dir),
+                                       F.lit(INGEST_TS).cast("timestamp"), pages.DRIVER_SELECTORS)
+    return docs.withColumn("ingest_ts", utc_text(F.col("ingest_ts")))
+
+
 QUERIES = {
     "skill_tags": skill_tags,
     "skill_idf": skill_idf,
@@ -192,4 +208,6 @@ QUERIES = {
     "page_titles": page_titles,
     "page_links": page_links_q,
     "rendered_docs": rendered_docs,
+    "page_sections": page_sections,
+    "job_docs": job_docs,
 }

@@ -46,3 +46,14 @@ def require_fits(df: DataFrame, limit: int, what: str) -> None:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise into the cluster's checkpoint folder (reliable, survives executor loss)."""
     return df.checkpoint(eager=True)
+
+
+def spread_if_narrow(df: DataFrame) -> DataFrame:
+    """Give a CPU-bound stage every core.  When the scan yields fewer partitions than
+    the cluster has cores (a small input, e.g. one row group), spread it round-robin;
+    an input large enough to matter already has more partitions than cores and keeps
+    its scan partitioning (no shuffle of the corpus).  Planning only, no job."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.sizing import spread_if_narrow
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -16,7 +18,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored jobs: ``documents`` with ``doc_id`` as the document name, ``text`` as the body."""
-    return read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spread_if_narrow(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def resumes(spark: SparkSession, sf_dir: str) -> DataFrame:
