@@ -210,4 +210,8 @@ SQL = {
                                                             lambda x: {_strip('x')}), ' '), '') || {_BLANK}
         || 'ABOUT: ' || {_BLANK} || 'DESCRIPTION: ' || {_BLANK} || 'REQUIREMENTS: ' || {_NL} AS body
         FROM pending WHERE http_status = 200""",
+    "stream_counts": _with(PAGE_ITEMS, CAT_ROWS)
+    + "SELECT category AS skill, count(*) AS count FROM cats GROUP BY category",
+    "stream_match": _with(*TOP25_CTES) + "SELECT resume_id, doc_id, score, rank FROM top",
+    "stream_ingest": _with(NAMED, STORED, PENDING) + "SELECT DISTINCT doc_name FROM pending",
 }

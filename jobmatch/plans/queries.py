@@ -184,6 +184,40 @@ def job_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.withColumn("ingest_ts", utc_text(F.col("ingest_ts")))
 
 
+# ---- streaming (R2, R3, R4): run to completion, return the sink read back --------------
+
+def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R4 over the feed items landed as XML files, one micro-batch per feed."""
+    from ..streaming import jobs
+    wd = jobs.work_dir(spark, "counts")
+    jobs.land_feed_items(tables.feed_items(spark, sf_dir), f"{wd}/land")
+    jobs.stream_skill_counts(spark, f"{wd}/land", f"{wd}/out", f"{wd}/ck").awaitTermination()
+    return spark.read.parquet(f"{wd}/out").select("skill", "count")
+
+
+def stream_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2: the stored model, resumes arriving in several files; equals match_top25."""
+    from ..streaming import jobs
+    from ..operators.sinks import write_model
+    wd = jobs.work_dir(spark, "match")
+    vocab = driver_vocabulary(spark)
+    write_model(model.build_model(tables.jobs(spark, sf_dir), "doc_id", vocab), f"{wd}/model")
+    tables.resumes(spark, sf_dir).repartition(4).write.parquet(f"{wd}/resumes")
+    jobs.stream_match(spark, f"{wd}/resumes", "resume_id long, text string", f"{wd}/model",
+                      vocab, f"{wd}/out", f"{wd}/ck").awaitTermination()
+    return spark.read.parquet(f"{wd}/out").select("resume_id", "doc_id", "score", "rank")
+
+
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of new job URLs from landed feeds, each once, minus the stored ones."""
+    from ..streaming import jobs
+    wd = jobs.work_dir(spark, "ingest")
+    jobs.land_feed_items(tables.feed_items(spark, sf_dir), f"{wd}/land")
+    jobs.seed_store(tables.stored_names(spark, sf_dir), f"{wd}/store")
+    jobs.stream_ingest(spark, f"{wd}/land", f"{wd}/store", f"{wd}/ck").awaitTermination()
+    return spark.read.parquet(f"{wd}/store").filter(F.col("batch") >= 0).select("doc_name")
+
+
 QUERIES = {
     "skill_tags": skill_tags,
     "skill_idf": skill_idf,
@@ -210,4 +244,7 @@ QUERIES = {
     "rendered_docs": rendered_docs,
     "page_sections": page_sections,
     "job_docs": job_docs,
+    "stream_counts": stream_counts,
+    "stream_match": stream_match,
+    "stream_ingest": stream_ingest,
 }
