@@ -158,24 +158,55 @@ def _valid(pattern: str) -> bool:
 
 # ---- the operator -------------------------------------------------------------
 
-def tag_skills(df: DataFrame, key: str, vocabulary: DataFrame, text_col: str = "text",
-               literals=QUOTED_LITERALS, method: str = "arrow") -> DataFrame:
-    """``(key, skill, tf)`` for every document with at least one tag."""
-    vocab = clean_vocabulary(vocabulary)
+def _folded(df: DataFrame, key: str, vocab: DataFrame, text_col: str, literals, method: str):
+    """``(docs, rest, hits)``: one projection with the fold, the text left after the
+    removals and the rule hits."""
     rules = collect_rules(vocab, literals)
     docs = df.select(F.col(key), F.lower(F.col(text_col)).alias("_t"))
     t = F.col("_t")
     if method == "arrow":
         folded = rule_fold_udf(rules)(t)
         docs = docs.select(key, "_t", folded.alias("_f"))
-        rest, hits = F.coalesce(F.col("_f.rest"), t), F.col("_f.hits")
-    elif method == "native":
+        return docs, F.coalesce(F.col("_f.rest"), t), F.col("_f.hits")
+    if method == "native":
         rest, hits = _native_fold(t, rules)
-    else:
-        raise ValueError(f"unknown method {method!r}")
+        return docs, rest, hits
+    raise ValueError(f"unknown method {method!r}")
+
+
+def _terms(rest: Column, hits: Column) -> Column:
+    """Rule hits and every word of the rest, as one ``array<struct<skill, n>>``."""
     words = F.transform(F.split(rest, NON_WORD, -1),
                         lambda w: F.struct(w.alias("skill"), F.lit(1).cast("bigint").alias("n")))
-    bag = docs.select(F.col(key), F.inline(F.concat(hits, words)))
+    return F.concat(hits, words)
+
+
+def tag_skills(df: DataFrame, key: str, vocabulary: DataFrame, text_col: str = "text",
+               literals=QUOTED_LITERALS, method: str = "arrow") -> DataFrame:
+    """``(key, skill, tf)`` for every document with at least one tag."""
+    vocab = clean_vocabulary(vocabulary)
+    docs, rest, hits = _folded(df, key, vocab, text_col, literals, method)
+    bag = docs.select(F.col(key), F.inline(_terms(rest, hits)))
     # vocab was size-checked in collect_rules
     matched = bag.join(F.broadcast(vocab), "skill")
     return matched.groupBy(key, "skill").agg(F.sum("n").alias("tf"))
+
+
+def tag_stats(df: DataFrame, key: str, vocabulary: DataFrame, text_col: str = "text",
+              literals=QUOTED_LITERALS) -> DataFrame:
+    """``(key, n_words, bag_size, n_skills, vocab_size)`` per document: non-empty
+    words left after the rule removals, tags in the bag (repeats count), distinct
+    skills, and the vocabulary size.  One fold pass; documents without tags stay."""
+    vocab = clean_vocabulary(vocabulary)
+    docs, rest, hits = _folded(df, key, vocab, text_col, literals, "arrow")
+    n_words = F.size(F.filter(F.split(rest, NON_WORD, -1), lambda w: w != F.lit("")))
+    bag = docs.select(F.col(key), n_words.alias("n_words"),
+                      F.explode_outer(_terms(rest, hits)).alias("_x"))
+    v = vocab.select(F.col("skill").alias("_v"))
+    hit = bag.join(F.broadcast(v), F.col("_x.skill") == F.col("_v"), "left")
+    n = F.when(F.col("_v").isNotNull(), F.col("_x.n")).otherwise(F.lit(0))
+    return hit.groupBy(key).agg(
+        F.max("n_words").cast("bigint").alias("n_words"),
+        F.sum(n).cast("bigint").alias("bag_size"),
+        F.count_distinct(F.col("_v")).alias("n_skills"),
+    ).withColumn("vocab_size", vocab.select(F.count(F.lit(1))).scalar())

@@ -214,4 +214,11 @@ SQL = {
     + "SELECT category AS skill, count(*) AS count FROM cats GROUP BY category",
     "stream_match": _with(*TOP25_CTES) + "SELECT resume_id, doc_id, score, rank FROM top",
     "stream_ingest": _with(NAMED, STORED, PENDING) + "SELECT DISTINCT doc_name FROM pending",
+    "resume_tag_stats": _with(tags_ctes(RESUMES, "resume_id", "r_")) + f"""SELECT f.resume_id,
+        len(list_filter(regexp_split_to_array(f.t{len(_rules(DRIVER_VOCABULARY))}, '\\W+'), lambda x: x <> ''))::BIGINT
+            AS n_words,
+        coalesce(sum(g.tf), 0)::BIGINT AS bag_size, count(g.skill) AS n_skills,
+        {len(DRIVER_VOCABULARY)}::BIGINT AS vocab_size
+        FROM r_f{len(_rules(DRIVER_VOCABULARY))} f LEFT JOIN r_tags g ON f.resume_id = g.resume_id
+        GROUP BY f.resume_id, f.t{len(_rules(DRIVER_VOCABULARY))}""",
 }

@@ -77,6 +77,12 @@ def resume_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagging.tag_skills(req, "request_id", driver_vocabulary(spark))
 
 
+def resume_tag_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A11 on the resume side: words left, tags, distinct skills, vocabulary size."""
+    r = resume_requests(tables.resumes(spark, sf_dir), "resume_id")
+    return tagging.tag_stats(r, "resume_id", driver_vocabulary(spark))
+
+
 # ---- text dataflows -------------------------------------------------------------------
 
 def word_line_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -227,6 +233,7 @@ QUERIES = {
     "match_links": match_links,
     "resume_defaults": resume_defaults,
     "resume_tags": resume_tags,
+    "resume_tag_stats": resume_tag_stats,
     "word_line_index": word_line_index,
     "word_count": word_count,
     "token_count_filtered": token_count_filtered,
