@@ -55,17 +55,38 @@ def top_k(scores: DataFrame, qkey: str, dkey: str, k: int) -> DataFrame:
 def match_batch(resumes: DataFrame, model: DataFrame, vocabulary: DataFrame,
                 qkey: str = "resume_id", dkey: str = "doc_name", k: int = WEB_TOP,
                 text_col: str = "text", literals=QUOTED_LITERALS,
-                broadcast_query: bool | None = None) -> DataFrame:
-    """Many resumes at once -> ``(qkey, dkey, score, rank)``, rank 1..k."""
+                broadcast_query: bool | None = None,
+                max_query_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Many resumes at once -> ``(qkey, dkey, score, rank)``, rank 1..k.
+
+    Every resume yields at most |vocabulary| query rows, so the query side is
+    broadcast when ``resumes * |vocabulary|`` is proven to fit.  A larger resume set
+    is cut by hash of its key into chunks that each fit, and every chunk is a
+    broadcast join against the model; top-k per resume is independent across
+    chunks, so the union is exact.  No join ever shuffles on ``skill``, where one
+    common skill would pair a large share of all documents and resumes."""
     r = resume_requests(resumes, qkey, text_col)
+    n_vocab = max(1, vocabulary.limit(MAX_VOCABULARY_ROWS + 1).count())
+    per_chunk = max(1, max_query_rows // n_vocab)
     if broadcast_query is None:
-        # every resume yields at most |vocabulary| query rows: a proven bound
-        # that avoids tagging the resumes twice just to count them
-        n_vocab = vocabulary.limit(MAX_VOCABULARY_ROWS + 1).count()
-        broadcast_query = fits(r, max(1, MAX_BROADCAST_ROWS // max(1, n_vocab)))
+        broadcast_query = fits(r, per_chunk)
+    if broadcast_query:
+        return _match_chunk(r, model, vocabulary, qkey, dkey, k, literals)
+    n_chunks = -(-r.count() // per_chunk)
+    chunk = F.pmod(F.xxhash64(F.col(qkey)), F.lit(n_chunks))
+    parts = [_match_chunk(r.filter(chunk == c), model, vocabulary, qkey, dkey, k, literals)
+             for c in range(n_chunks)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _match_chunk(r: DataFrame, model: DataFrame, vocabulary: DataFrame, qkey: str, dkey: str,
+                 k: int, literals) -> DataFrame:
     tf = tag_skills(r, qkey, vocabulary, literals=literals)
     q = query_vectors(tf, qkey)
-    return top_k(score_pairs(q, model, qkey, dkey, broadcast_query), qkey, dkey, k)
+    return top_k(score_pairs(q, model, qkey, dkey, broadcast_query=True), qkey, dkey, k)
 
 
 def term_query(spark: SparkSession, terms: list[str], qkey: str = "query_id") -> DataFrame:

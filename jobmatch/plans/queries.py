@@ -207,9 +207,11 @@ def stream_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.sinks import write_model
     wd = jobs.work_dir(spark, "match")
     vocab = driver_vocabulary(spark)
-    write_model(model.build_model(tables.jobs(spark, sf_dir), "doc_id", vocab), f"{wd}/model")
+    table = "jobmatch_model_" + wd.rsplit("-", 1)[-1]
+    write_model(model.build_model(tables.jobs(spark, sf_dir), "doc_id", vocab), f"{wd}/model",
+                table=table, buckets=spark.sparkContext.defaultParallelism)
     tables.resumes(spark, sf_dir).repartition(4).write.parquet(f"{wd}/resumes")
-    jobs.stream_match(spark, f"{wd}/resumes", "resume_id long, text string", f"{wd}/model",
+    jobs.stream_match(spark, f"{wd}/resumes", "resume_id long, text string", table,
                       vocab, f"{wd}/out", f"{wd}/ck").awaitTermination()
     return spark.read.parquet(f"{wd}/out").select("resume_id", "doc_id", "score", "rank")
 

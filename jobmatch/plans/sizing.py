@@ -48,12 +48,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread_if_narrow(df: DataFrame) -> DataFrame:
-    """Give a CPU-bound stage every core.  When the scan yields fewer partitions than
-    the cluster has cores (a small input, e.g. one row group), spread it round-robin;
-    an input large enough to matter already has more partitions than cores and keeps
-    its scan partitioning (no shuffle of the corpus).  Planning only, no job."""
+SPREAD_MAX_ROWS = 1_000_000
+
+
+def spread_if_narrow(df: DataFrame, max_rows: int = SPREAD_MAX_ROWS) -> DataFrame:
+    """Give a CPU-bound stage every core.  Only when the scan yields fewer partitions
+    than the cluster has cores *and* the input is proven small (at most ``max_rows``
+    rows) is it spread round-robin; anything larger keeps its scan partitioning, so
+    a corpus is never shuffled just to balance it.  The partition test is planning
+    only; the row bound reads no columns."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    if df.rdd.getNumPartitions() < cores and fits(df.select(), max_rows):
         return df.repartition(cores)
     return df

@@ -67,15 +67,20 @@ def stream_skill_counts(spark: SparkSession, landing: str, out: str, checkpoint:
                   .trigger(availableNow=True).start())
 
 
-def stream_match(spark: SparkSession, resume_dir: str, resume_schema: str, model_path: str,
+def stream_match(spark: SparkSession, resume_dir: str, resume_schema: str, model_table: str,
                  vocabulary: DataFrame, out: str, checkpoint: str, qkey: str = "resume_id",
                  dkey: str = "doc_id", k: int = match.WEB_TOP, files_per_batch: int = 1):
-    """R2: top-k matches of every arriving resume against the stored model."""
+    """R2: top-k matches of every arriving resume against the stored model.
+
+    ``model_table`` is the model saved bucketed by document (``sinks.write_model``
+    with a table name): the bucketed scan is already partitioned by document, so the
+    per-(resume, document) score sum needs no shuffle and only the top-k
+    candidates of each task move."""
     resumes = (spark.readStream.schema(resume_schema).option("maxFilesPerTrigger", files_per_batch)
                .parquet(resume_dir))
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        model = spark.read.parquet(model_path)          # stored model, not rebuilt
+        model = spark.table(model_table)                # stored model, not rebuilt
         top = match.match_batch(batch, model, vocabulary, qkey=qkey, dkey=dkey, k=k)
         top.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 

@@ -92,3 +92,42 @@ def test_result_links_order(spark):
     links = match.result_links(top, "q", "d").collect()[0].links
     assert links.index("8/y") < links.index("9/x")
     assert links.startswith('<div id="innerResult"><div><a href="http://careers.stackoverflow.com/jobs/8/y"')
+
+
+def test_chunked_match_equals_single_broadcast(spark):
+    """Past the broadcast bound resumes are matched in hash chunks; same result."""
+    from tests.conftest import SF01
+    from jobmatch.sources import tables
+    from jobmatch.sources.vocabulary import driver_vocabulary
+    v = driver_vocabulary(spark)
+    m = model.build_model(tables.jobs(spark, SF01), "doc_id", v)
+    r = tables.resumes(spark, SF01)
+    one = sorted(map(tuple, match.match_batch(r, m, v, dkey="doc_id").collect()))
+    many = sorted(map(tuple, match.match_batch(r, m, v, dkey="doc_id", max_query_rows=22 * 7).collect()))
+    assert one == many and len(one) == 925
+
+
+def test_stream_match_equals_batch(spark):
+    from tests.conftest import SF
+    from jobmatch.plans import queries as q
+    a = sorted(map(tuple, q.stream_match(spark, SF).collect()))
+    b = sorted(map(tuple, q.match_top25(spark, SF).collect()))
+    assert a == b and a
+
+
+def test_stream_counts_equals_batch(spark):
+    from tests.conftest import SF
+    from jobmatch.operators import skills
+    from jobmatch.plans import queries as q
+    from jobmatch.sources import tables
+    a = sorted(map(tuple, q.stream_counts(spark, SF).collect()))
+    b = sorted(map(tuple, skills.skill_counts(tables.feed_items(spark, SF)).collect()))
+    assert a == b and a
+
+
+def test_stream_ingest_equals_pending(spark):
+    from tests.conftest import SF
+    from jobmatch.plans import queries as q
+    a = sorted(r.doc_name for r in q.stream_ingest(spark, SF).collect())
+    b = sorted({r.doc_name for r in q.pending_pages(spark, SF).collect()})
+    assert a == b and a
