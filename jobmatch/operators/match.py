@@ -15,10 +15,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import SITE_PREFIX
-from ..plans.sizing import MAX_BROADCAST_ROWS, MAX_VOCABULARY_ROWS, fits
+from ..plans.sizing import MAX_BROADCAST_ROWS, fits
 from ..sources.resumes import resume_requests
 from .model import query_vectors
-from .tagging import QUOTED_LITERALS, tag_skills
+from .tagging import QUOTED_LITERALS, prepare_vocabulary, tag_skills
 
 # Fixed values of the reference's matching.
 SCRIPT_TERMS = ["java", "c++", "c#"]     # sample query of the model script
@@ -52,7 +52,7 @@ def top_k(scores: DataFrame, qkey: str, dkey: str, k: int) -> DataFrame:
              .withColumn("rank", F.col("rank").cast("bigint")))
 
 
-def match_batch(resumes: DataFrame, model: DataFrame, vocabulary: DataFrame,
+def match_batch(resumes: DataFrame, model: DataFrame, vocabulary,
                 qkey: str = "resume_id", dkey: str = "doc_name", k: int = WEB_TOP,
                 text_col: str = "text", literals=QUOTED_LITERALS,
                 broadcast_query: bool | None = None,
@@ -66,8 +66,8 @@ def match_batch(resumes: DataFrame, model: DataFrame, vocabulary: DataFrame,
     chunks, so the union is exact.  No join ever shuffles on ``skill``, where one
     common skill would pair a large share of all documents and resumes."""
     r = resume_requests(resumes, qkey, text_col)
-    n_vocab = max(1, vocabulary.limit(MAX_VOCABULARY_ROWS + 1).count())
-    per_chunk = max(1, max_query_rows // n_vocab)
+    vocabulary = prepare_vocabulary(vocabulary, literals)
+    per_chunk = max(1, max_query_rows // max(1, len(vocabulary)))
     if broadcast_query is None:
         broadcast_query = fits(r, per_chunk)
     if broadcast_query:
@@ -82,7 +82,7 @@ def match_batch(resumes: DataFrame, model: DataFrame, vocabulary: DataFrame,
     return out
 
 
-def _match_chunk(r: DataFrame, model: DataFrame, vocabulary: DataFrame, qkey: str, dkey: str,
+def _match_chunk(r: DataFrame, model: DataFrame, vocabulary, qkey: str, dkey: str,
                  k: int, literals) -> DataFrame:
     tf = tag_skills(r, qkey, vocabulary, literals=literals)
     q = query_vectors(tf, qkey)

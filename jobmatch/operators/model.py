@@ -51,7 +51,7 @@ def weights(tf: DataFrame, key: str, n_docs: Column, min_doc_freq: int = 1) -> D
     return out.select(key, "skill", "tf", "idf", "weight")
 
 
-def build_model(jobs: DataFrame, key: str, vocabulary: DataFrame, text_col: str = "text",
+def build_model(jobs: DataFrame, key: str, vocabulary, text_col: str = "text",
                 literals=QUOTED_LITERALS, min_doc_freq: int = 1) -> DataFrame:
     """Tag every job, fit IDF over all jobs, weight and normalise."""
     tf = tag_skills(jobs, key, vocabulary, text_col=text_col, literals=literals)

@@ -22,14 +22,15 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import NON_WORD, lit_regex
-from ..plans.sizing import MAX_VOCABULARY_ROWS, require_fits
-from ..sources.vocabulary import clean_vocabulary
+from ..plans.sizing import MAX_VOCABULARY_ROWS, TooLargeToBroadcast
+from ..sources.vocabulary import VOCAB_SCHEMA, clean_vocabulary
 
 # Fixed values of the rule derivation.
 APACHE_SHORT = ("apache-spark", "apache-kafka", "apache-storm")  # matched without "apache-"
@@ -66,11 +67,53 @@ def rules_table(vocabulary: DataFrame, literals=QUOTED_LITERALS) -> DataFrame:
     return apache.unionByName(dash).unionByName(spaced).unionByName(quoted)
 
 
-def collect_rules(vocabulary: DataFrame, literals=QUOTED_LITERALS) -> list[tuple]:
-    """The rules in fold order; the vocabulary size is checked before anything is collected."""
-    require_fits(vocabulary, MAX_VOCABULARY_ROWS, "vocabulary")
-    rows = rules_table(vocabulary, literals).orderBy("skill", "j").collect()
-    return [tuple(r[c] for c in RULE_COLUMNS) for r in rows]
+def derive_rules(skills, literals=QUOTED_LITERALS) -> tuple:
+    """The rules of ``rules_table`` for an already collected vocabulary, in fold order."""
+    out = []
+    for skill in sorted(skills, key=lambda x: x.encode("utf-8")):
+        if skill in APACHE_SHORT:
+            out.append((skill, 0, skill.replace("apache-", ""), "regex", False))
+        elif "-" in skill:
+            out.append((skill, 1, skill, "regex", True))
+            out.append((skill, 2, skill.replace("-", " "), "regex", True))
+        elif skill in literals:
+            out.append((skill, 3, skill, "literal", False))
+    return tuple(out)
+
+
+@dataclass(frozen=True)
+class Vocabulary:
+    """A vocabulary proven small enough to reach every task whole: the skills in fold
+    order and their rules.  Built once per job by ``prepare_vocabulary``."""
+    skills: tuple
+    rules: tuple
+
+    @classmethod
+    def from_list(cls, skills, literals=QUOTED_LITERALS) -> "Vocabulary":
+        clean = sorted({s for s in skills if s}, key=lambda x: x.encode("utf-8"))
+        if len(clean) > MAX_VOCABULARY_ROWS:
+            raise TooLargeToBroadcast(f"vocabulary has more than {MAX_VOCABULARY_ROWS} skills")
+        return cls(tuple(clean), derive_rules(clean, literals))
+
+    def frame(self, spark) -> DataFrame:
+        return spark.createDataFrame([(s,) for s in self.skills], VOCAB_SCHEMA)
+
+    def __len__(self) -> int:
+        return len(self.skills)
+
+
+def prepare_vocabulary(vocabulary, literals=QUOTED_LITERALS) -> Vocabulary:
+    """One bounded collect of a vocabulary frame (at most ``MAX_VOCABULARY_ROWS + 1``
+    rows are read); a ``Vocabulary`` passes through."""
+    if isinstance(vocabulary, Vocabulary):
+        return vocabulary
+    rows = clean_vocabulary(vocabulary).limit(MAX_VOCABULARY_ROWS + 1).collect()
+    return Vocabulary.from_list([r.skill for r in rows], literals)
+
+
+def collect_rules(vocabulary, literals=QUOTED_LITERALS) -> list[tuple]:
+    """The rules in fold order (size-checked vocabulary)."""
+    return list(prepare_vocabulary(vocabulary, literals).rules)
 
 
 def _counter(pattern: str, kind: str):
@@ -158,10 +201,10 @@ def _valid(pattern: str) -> bool:
 
 # ---- the operator -------------------------------------------------------------
 
-def _folded(df: DataFrame, key: str, vocab: DataFrame, text_col: str, literals, method: str):
+def _folded(df: DataFrame, key: str, voc: Vocabulary, text_col: str, method: str):
     """``(docs, rest, hits)``: one projection with the fold, the text left after the
     removals and the rule hits."""
-    rules = collect_rules(vocab, literals)
+    rules = list(voc.rules)
     docs = df.select(F.col(key), F.lower(F.col(text_col)).alias("_t"))
     t = F.col("_t")
     if method == "arrow":
@@ -181,24 +224,25 @@ def _terms(rest: Column, hits: Column) -> Column:
     return F.concat(hits, words)
 
 
-def tag_skills(df: DataFrame, key: str, vocabulary: DataFrame, text_col: str = "text",
+def tag_skills(df: DataFrame, key: str, vocabulary, text_col: str = "text",
                literals=QUOTED_LITERALS, method: str = "arrow") -> DataFrame:
     """``(key, skill, tf)`` for every document with at least one tag."""
-    vocab = clean_vocabulary(vocabulary)
-    docs, rest, hits = _folded(df, key, vocab, text_col, literals, method)
+    voc = prepare_vocabulary(vocabulary, literals)
+    docs, rest, hits = _folded(df, key, voc, text_col, method)
     bag = docs.select(F.col(key), F.inline(_terms(rest, hits)))
-    # vocab was size-checked in collect_rules
-    matched = bag.join(F.broadcast(vocab), "skill")
+    # the vocabulary is proven small (prepare_vocabulary)
+    matched = bag.join(F.broadcast(voc.frame(df.sparkSession)), "skill")
     return matched.groupBy(key, "skill").agg(F.sum("n").alias("tf"))
 
 
-def tag_stats(df: DataFrame, key: str, vocabulary: DataFrame, text_col: str = "text",
+def tag_stats(df: DataFrame, key: str, vocabulary, text_col: str = "text",
               literals=QUOTED_LITERALS) -> DataFrame:
     """``(key, n_words, bag_size, n_skills, vocab_size)`` per document: non-empty
     words left after the rule removals, tags in the bag (repeats count), distinct
     skills, and the vocabulary size.  One fold pass; documents without tags stay."""
-    vocab = clean_vocabulary(vocabulary)
-    docs, rest, hits = _folded(df, key, vocab, text_col, literals, "arrow")
+    voc = prepare_vocabulary(vocabulary, literals)
+    vocab = voc.frame(df.sparkSession)
+    docs, rest, hits = _folded(df, key, voc, text_col, "arrow")
     n_words = F.size(F.filter(F.split(rest, NON_WORD, -1), lambda w: w != F.lit("")))
     bag = docs.select(F.col(key), n_words.alias("n_words"),
                       F.explode_outer(_terms(rest, hits)).alias("_x"))
@@ -209,4 +253,4 @@ def tag_stats(df: DataFrame, key: str, vocabulary: DataFrame, text_col: str = "t
         F.max("n_words").cast("bigint").alias("n_words"),
         F.sum(n).cast("bigint").alias("bag_size"),
         F.count_distinct(F.col("_v")).alias("n_skills"),
-    ).withColumn("vocab_size", vocab.select(F.count(F.lit(1))).scalar())
+    ).withColumn("vocab_size", F.lit(len(voc)).cast("bigint"))

@@ -15,7 +15,7 @@ from ..operators import match, model, pages, skills, tagging, textflows
 from ..plans.sizing import spread_if_narrow
 from ..sources import tables
 from ..sources.resumes import resume_requests
-from ..sources.vocabulary import driver_vocabulary
+from ..sources.vocabulary import driver_vocabulary, driver_vocabulary_frame
 
 # Fixed parameters of the driver queries.
 INGEST_TS = "2026-12-01T18:00:00Z"       # ingest time of rendered documents
@@ -101,7 +101,7 @@ def token_count_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- feeds and skill counts -------------------------------------------------------------
 
 def category_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return skills.skill_counts(tables.feed_items(spark, sf_dir), driver_vocabulary(spark))
+    return skills.skill_counts(tables.feed_items(spark, sf_dir), driver_vocabulary_frame(spark))
 
 
 def category_running_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,7 +119,7 @@ def items_per_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def skills_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = tables.feed_items(spark, sf_dir)
-    run1 = skills.skill_counts(items.filter(F.col("item_index") % 2 == 0), driver_vocabulary(spark))
+    run1 = skills.skill_counts(items.filter(F.col("item_index") % 2 == 0), driver_vocabulary_frame(spark))
     h1 = skills.with_run(run1, F.lit(RUN1_TS).cast("timestamp"))
     run2 = skills.skill_counts(items.filter(F.col("item_index") % 2 == 1), skills.next_vocabulary(h1))
     history = h1.unionByName(skills.with_run(run2, F.lit(RUN2_TS).cast("timestamp")))

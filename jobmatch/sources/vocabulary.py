@@ -24,7 +24,13 @@ def vocabulary_from_list(spark: SparkSession, skills: list[str]) -> DataFrame:
     return spark.createDataFrame([(s,) for s in skills], VOCAB_SCHEMA)
 
 
-def driver_vocabulary(spark: SparkSession) -> DataFrame:
+def driver_vocabulary(spark: SparkSession):
+    """The fixed driver vocabulary, prepared without any Spark job (``Vocabulary``)."""
+    from ..operators.tagging import Vocabulary
+    return Vocabulary.from_list(DRIVER_VOCABULARY)
+
+
+def driver_vocabulary_frame(spark: SparkSession) -> DataFrame:
     return vocabulary_from_list(spark, DRIVER_VOCABULARY)
 
 

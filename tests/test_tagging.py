@@ -100,3 +100,21 @@ def test_fold_matches_a_plain_restatement(text):
 def test_vocabulary_is_sorted_fixed_list():
     assert DRIVER_VOCABULARY == sorted(DRIVER_VOCABULARY, key=str.encode)
     assert len(DRIVER_VOCABULARY) == 22
+
+
+def test_native_rules_table_equals_derived_rules(spark):
+    """P24 as a Spark projection gives the rules the tagger derives."""
+    from jobmatch.operators.tagging import RULE_COLUMNS, derive_rules, rules_table
+    from jobmatch.sources.vocabulary import driver_vocabulary_frame
+    extra = vocabulary_from_list(spark, ["apache-storm", "f#", "c++-builder", "node.js"])
+    v = driver_vocabulary_frame(spark).unionByName(extra)
+    native = [tuple(r[c] for c in RULE_COLUMNS) for r in rules_table(v).orderBy("skill", "j").collect()]
+    assert native == list(derive_rules([r.skill for r in v.collect()]))
+
+
+def test_prepare_vocabulary_from_frame_dedups_and_orders(spark):
+    from jobmatch.operators.tagging import prepare_vocabulary
+    v = vocabulary_from_list(spark, ["of", "and", "", "of", "c++"])
+    voc = prepare_vocabulary(v)
+    assert voc.skills == ("and", "c++", "of")
+    assert [r[0] for r in voc.rules] == ["c++"]
