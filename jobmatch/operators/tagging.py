@@ -217,10 +217,22 @@ def _folded(df: DataFrame, key: str, voc: Vocabulary, text_col: str, method: str
     raise ValueError(f"unknown method {method!r}")
 
 
-def _terms(rest: Column, hits: Column) -> Column:
-    """Rule hits and every word of the rest, as one ``array<struct<skill, n>>``."""
-    words = F.transform(F.split(rest, NON_WORD, -1),
-                        lambda w: F.struct(w.alias("skill"), F.lit(1).cast("bigint").alias("n")))
+# Largest word list inlined as a hash-set filter; beyond it only the join filters.
+MAX_INLINE_WORDS = 10_000
+_WORDLIKE = re.compile(r"^[A-Za-z0-9_]+$")
+
+
+def _terms(rest: Column, hits: Column, voc: "Vocabulary | None" = None) -> Column:
+    """Rule hits and the words of the rest, as one ``array<struct<skill, n>>``.
+    Only a skill made of word characters can equal a token of a non-word split, so
+    the other tokens are dropped inside the array (a hash-set test) before anything
+    is exploded; the vocabulary join after it stays the membership test."""
+    tokens = F.split(rest, NON_WORD, -1)
+    if voc is not None:
+        wordlike = [s for s in voc.skills if _WORDLIKE.match(s)]
+        if len(wordlike) <= MAX_INLINE_WORDS:
+            tokens = F.filter(tokens, lambda w: w.isin(wordlike)) if wordlike else F.array().cast("array<string>")
+    words = F.transform(tokens, lambda w: F.struct(w.alias("skill"), F.lit(1).cast("bigint").alias("n")))
     return F.concat(hits, words)
 
 
@@ -229,7 +241,7 @@ def tag_skills(df: DataFrame, key: str, vocabulary, text_col: str = "text",
     """``(key, skill, tf)`` for every document with at least one tag."""
     voc = prepare_vocabulary(vocabulary, literals)
     docs, rest, hits = _folded(df, key, voc, text_col, method)
-    bag = docs.select(F.col(key), F.inline(_terms(rest, hits)))
+    bag = docs.select(F.col(key), F.inline(_terms(rest, hits, voc)))
     # the vocabulary is proven small (prepare_vocabulary)
     matched = bag.join(F.broadcast(voc.frame(df.sparkSession)), "skill")
     return matched.groupBy(key, "skill").agg(F.sum("n").alias("tf"))
