@@ -34,6 +34,7 @@ def get_session(app: str = "jobmatch", master: str | None = None,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -53,3 +54,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+_ZIP: str | None = None
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``jobmatch`` importable in every Python worker: the package is zipped once
+    per driver process and added with ``addPyFile`` once per SparkContext (what
+    ``--py-files`` does on a cluster)."""
+    global _ZIP
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    if _ZIP is None:
+        import zipfile
+        pkg = os.path.dirname(os.path.abspath(__file__))
+        fd, path = tempfile.mkstemp(prefix="jobmatch-", suffix=".zip")
+        os.close(fd)
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+            for root, _dirs, files in os.walk(pkg):
+                for f in files:
+                    if f.endswith(".py"):
+                        full = os.path.join(root, f)
+                        z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+        _ZIP = path
+    sc.addPyFile(_ZIP)
+    _SHIPPED.add(app)
