@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.sizing import shuffle_partitions
 from .tagging import QUOTED_LITERALS, tag_skills
 
 
@@ -47,6 +48,11 @@ def weights(tf: DataFrame, key: str, n_docs: Column, min_doc_freq: int = 1) -> D
     idf = idf_table(tf, n_docs, min_doc_freq).select("skill", "idf")
     # idf has one row per tagged skill, at most the size-checked vocabulary
     scaled = tf.join(F.broadcast(idf), "skill").withColumn("_w", F.col("tf") * F.col("idf"))
+    # Partition by document with the configured width: the norm window and, in
+    # matching, the per-(query, document) score sum both reuse this exchange.  An
+    # explicit count keeps AQE from folding a small model into one task when the
+    # scoring join fans it out many times over.
+    scaled = scaled.repartition(shuffle_partitions(tf.sparkSession), key)
     out = l2_normalise(scaled, key, "_w", "weight")
     return out.select(key, "skill", "tf", "idf", "weight")
 

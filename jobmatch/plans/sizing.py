@@ -48,6 +48,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def shuffle_partitions(spark) -> int:
+    """The configured shuffle width (sized by the operator for the target scale)."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 SPREAD_MAX_ROWS = 1_000_000
 
 

@@ -23,8 +23,8 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def resumes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Resumes: ``benchmark(item_id, text)`` as ``(resume_id, text)``."""
-    return read_table(spark, sf_dir, "benchmark").select(
-        F.col("item_id").alias("resume_id"), "text")
+    return spread_if_narrow(read_table(spark, sf_dir, "benchmark").select(
+        F.col("item_id").alias("resume_id"), "text"))
 
 
 def resumes_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
