@@ -65,9 +65,9 @@ def doc_name_to_url(name: Column, prefix: str = SITE_PREFIX) -> Column:
     return F.concat(F.lit(prefix), F.replace(name, F.lit("_"), F.lit("/")))
 
 
-def result_line(name: Column, score: Column) -> Column:
-    """``name \\t score`` result line."""
-    return F.concat_ws("\t", name.cast("string"), score.cast("string"))
+def result_line(name: Column, score: Column, digits: int = 6) -> Column:
+    """``name \\t score`` result line, the score with a fixed number of decimals."""
+    return F.concat_ws("\t", name.cast("string"), F.format_string(f"%.{digits}f", score))
 
 
 def result_line_name(line: Column) -> Column:

@@ -126,6 +126,7 @@ def _strip(x: str) -> str:
 
 
 _NL = "chr(10)"
+_TAB = "chr(9)"
 _BLANK = f"{_NL} || {_NL}"
 
 
@@ -221,4 +222,7 @@ SQL = {
         {len(DRIVER_VOCABULARY)}::BIGINT AS vocab_size
         FROM r_f{len(_rules(DRIVER_VOCABULARY))} f LEFT JOIN r_tags g ON f.resume_id = g.resume_id
         GROUP BY f.resume_id, f.t{len(_rules(DRIVER_VOCABULARY))}""",
+    "match_lines": _with(*TOP25_CTES) + f"""SELECT resume_id, rank, line, split_part(line, {_TAB}, 1) AS name
+        FROM (SELECT resume_id, rank, doc_id::VARCHAR || {_TAB} || printf('%.6f', score) AS line FROM top)""",
+    "feed_guids": "SELECT url AS guid, count(*) AS listed FROM pages GROUP BY url",
 }

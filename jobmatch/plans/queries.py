@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import ascii_strip, doc_name_to_url, page_links, page_title, utc_text
+from ..functions.text import (ascii_strip, doc_name_to_url, page_links, page_title, result_line,
+                              result_line_name, utc_text)
 from ..operators import match, model, pages, skills, tagging, textflows
 from ..plans.sizing import spread_if_narrow
 from ..sources import tables
@@ -63,6 +64,13 @@ def match_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return match.result_links(match_top25(spark, sf_dir), "resume_id", "doc_id")
 
 
+def match_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The printed result lines ``name <tab> score`` of every resume, parsed back."""
+    top = match_top25(spark, sf_dir)
+    lines = top.select("resume_id", "rank", result_line(F.col("doc_id"), F.col("score")).alias("line"))
+    return lines.withColumn("name", result_line_name(F.col("line")))
+
+
 def resume_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = tables.resumes_with_gaps(spark, sf_dir)
     return resume_requests(r.select(F.struct("conv_id", "turn").alias("k"), "text"), "k").select(
@@ -113,6 +121,13 @@ def category_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return skills.skill_positions(category_counts(spark, sf_dir)).select("skill", "count", "position")
 
 
+def feed_guids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 + U2 + A12: the GUIDs of all feeds in one read, each once, with how often
+    it was listed."""
+    items = tables.feed_items(spark, sf_dir)
+    return items.groupBy("guid").agg(F.count(F.lit(1)).alias("listed"))
+
+
 def items_per_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return skills.items_per_feed(tables.feed_items(spark, sf_dir))
 
@@ -233,6 +248,7 @@ QUERIES = {
     "match_fixed_top10": match_fixed_top10,
     "match_top25": match_top25,
     "match_links": match_links,
+    "match_lines": match_lines,
     "resume_defaults": resume_defaults,
     "resume_tags": resume_tags,
     "resume_tag_stats": resume_tag_stats,
@@ -243,6 +259,7 @@ QUERIES = {
     "category_running_count": category_running_count,
     "category_rank": category_rank,
     "items_per_feed": items_per_feed,
+    "feed_guids": feed_guids,
     "skills_current": skills_current,
     "doc_names": doc_names,
     "doc_urls": doc_urls,
