@@ -2,7 +2,7 @@
 child-index paths.  Runs inside ``mapInPandas``; one call per page.
 
 Tree rules (the parts of HTML5 tree building the selectors depend on):
-void elements take no children; an open ``<p>`` closes at the next block start
+html, head and body are implied when left out; void elements take no children; an open ``<p>`` closes at the next block start
 tag; an open ``<li>`` closes at the next ``<li>`` of its list; an end tag closes
 up to its matching open element, and is ignored when none is open.
 
@@ -23,6 +23,7 @@ CLOSES_P = frozenset((
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul li dd dt"
 ).split())
 RAW_TEXT = frozenset(("script", "style"))
+HEAD_TAGS = frozenset(("title", "meta", "link", "style", "script", "base", "noscript"))
 
 
 class Node:
@@ -65,7 +66,42 @@ class _Builder(HTMLParser):
         if n is not None and n.parent is not None:
             self.cur = n.parent
 
+    def _implied(self, tag: str) -> None:
+        """html, head and body exist even when a page leaves them out: head-only tags
+        seen before any body content go to head, anything else opens body."""
+        if tag == "html":
+            return
+        root = self.root
+        html = next((c for c in root.children if not isinstance(c, str) and c.tag == "html"), None)
+        if html is None:
+            html = Node("html", {}, root)
+            root.children.append(html)
+            if self.cur is root:
+                self.cur = html
+        if self.cur is not html:
+            return
+        kids = [c for c in html.children if not isinstance(c, str)]
+        has_body = any(c.tag == "body" for c in kids)
+        if tag in ("head", "body"):
+            return
+        if tag in HEAD_TAGS and not has_body:
+            head = next((c for c in kids if c.tag == "head"), None)
+            if head is None:
+                head = Node("head", {}, html)
+                html.children.append(head)
+            self.cur = head
+        else:
+            body = next((c for c in kids if c.tag == "body"), None)
+            if body is None:
+                body = Node("body", {}, html)
+                html.children.append(body)
+            self.cur = body
+
     def handle_starttag(self, tag, attrs):
+        if self.cur.tag == "head" and tag not in HEAD_TAGS and self.cur.parent is not None:
+            self.cur = self.cur.parent          # a body tag ends the head
+        if self.cur is self.root or self.cur.tag == "html":
+            self._implied(tag)
         if tag in CLOSES_P and self._open("p"):
             self._close("p")
         if tag == "li":

@@ -149,3 +149,31 @@ def test_sinks_round_trip(spark, tmp_path):
     sinks.write_model(m, str(tmp_path / "model"))
     sinks.write_model(m, str(tmp_path / "model"))
     assert read_model(spark, str(tmp_path / "model")).count() == 1
+
+
+def test_parser_implies_html_head_body():
+    from jobmatch.functions.html_extract import parse, select, string_value
+    root = parse("<title>T</title><p>a<p>b<ul><li>x<li>y</ul>")
+    assert [string_value(n) for n in select(root, "/html/head/title")] == ["T"]
+    assert [string_value(n) for n in select(root, "/html/body/p")] == ["a", "b"]
+    assert [string_value(n) for n in select(root, "//ul/li")] == ["x", "y"]
+    full = parse("<!DOCTYPE html><html><head><title>U</title></head><body><div id='d'><p>q</p></div></body></html>")
+    assert [string_value(n) for n in select(full, "p", root_id="d")] == ["q"]
+    assert [string_value(n) for n in select(full, "/html/head/title")] == ["U"]
+
+
+def test_extraction_job_agrees_with_native_patterns(spark):
+    """On every sf0.01 page: the parser's title and nav links equal the native regex
+    fields after the same cleaning (NFKD + ASCII strip, entity decoding)."""
+    from jobmatch.functions.clean import nfkd_ascii, unescape
+    from tests.conftest import SF01
+    p = spark.read.parquet(f"{SF01}/pages.parquet")
+    native = {r.page_id: (r.t, r.l) for r in p.select(
+        "page_id", T.page_title(F.col("html")).alias("t"), T.page_links(F.col("html")).alias("l")).collect()}
+    sec = pages.extract_sections(p, pages.DRIVER_SELECTORS, keep=("page_id",)).collect()
+    assert len(sec) == len(native)
+    for r in sec:
+        t, links = native[r.page_id]
+        assert r.title == unescape(nfkd_ascii(t))
+        # an element whose text cleans to nothing stays, with an empty value
+        assert r.skills == [unescape(nfkd_ascii(y)) for y in links]
