@@ -95,6 +95,9 @@ SECTIONS = ["title", "location", "skills", "about", "description", "requirements
 SECTION_SCHEMA = ("title string, location string, skills array<string>, about array<string>, "
                   "description array<string>, requirements array<string>")
 SCALAR_SECTIONS = {"title", "location"}
+JOB_DOCS_SCHEMA = ("doc_name string, url string, ingest_ts timestamp, title string, location string, "
+                   "base_skills array<string>, about array<string>, description array<string>, "
+                   "requirements array<string>, body string")
 
 # Selectors of the job-site page layout, (section, order, root id, path).
 SITE_SELECTORS = [
@@ -171,6 +174,13 @@ def section_rows(sections: DataFrame, key: str = "url") -> DataFrame:
     return sections.select(key, F.inline(F.concat(*parts)))
 
 
+def placeholder_docs(names: DataFrame) -> DataFrame:
+    """Store rows for names stored before the store existed (no body)."""
+    schema = names.sparkSession.createDataFrame([], JOB_DOCS_SCHEMA).schema
+    return names.select(*[F.col(f.name) if f.name == "doc_name" else F.lit(None).cast(f.dataType).alias(f.name)
+                          for f in schema.fields])
+
+
 def ingest_pages(raw: DataFrame, stored: DataFrame, ingest_ts: Column,
                  selectors=SITE_SELECTORS, prefix_regex: str = r"https?://",
                  folder: str = STORE_FOLDER) -> tuple[DataFrame, DataFrame]:

@@ -226,3 +226,12 @@ SQL = {
         FROM (SELECT resume_id, rank, doc_id::VARCHAR || {_TAB} || printf('%.6f', score) AS line FROM top)""",
     "feed_guids": "SELECT url AS guid, count(*) AS listed FROM pages GROUP BY url",
 }
+SQL["word_count_files"] = SQL["word_count"]
+SQL["word_line_index_files"] = SQL["word_line_index"]
+SQL["skills_csv_reload"] = _with(PAGE_ITEMS, CAT_ROWS, VOCAB, _counts("true", "vocab", "cc")) + \
+    "SELECT skill, 0::BIGINT AS count FROM cc"
+SQL["skill_history_stored"] = SQL["skills_current"]
+SQL["model_reload"] = SQL["model_weights"]
+SQL["job_store"] = _with(NAMED, STORED, PENDING) + """SELECT doc_name, url FROM (
+    SELECT doc_name, url, http_status, row_number() OVER (PARTITION BY doc_name ORDER BY url) AS rn FROM pending)
+    WHERE rn = 1 AND http_status = 200"""

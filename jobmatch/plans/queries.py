@@ -241,6 +241,85 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{wd}/store").filter(F.col("batch") >= 0).select("doc_name")
 
 
+# ---- sinks read back through the sources (K1-K4 with S1, S2, S6, S8, S9, S10) ------------
+
+def _work(spark: SparkSession, name: str) -> str:
+    from ..streaming.jobs import work_dir
+    return work_dir(spark, name)
+
+
+def word_count_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents landed as text files, read back line by line, counted (A2)."""
+    from ..sources.text import text_lines
+    wd = _work(spark, "text")
+    tables.read_table(spark, sf_dir, "documents").select("text").write.text(f"{wd}/lines")
+    return textflows.word_count(text_lines(spark, f"{wd}/lines"), " ")
+
+
+def word_line_index_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One folder per document, each file read whole, indexed (A1); the
+    document key comes back from the folder name."""
+    from ..sources.text import whole_text_files
+    wd = _work(spark, "whole")
+    (tables.read_table(spark, sf_dir, "documents").select("doc_id", "text")
+           .write.partitionBy("doc_id").text(f"{wd}/docs"))
+    files = whole_text_files(spark, f"{wd}/docs").select(
+        F.regexp_extract("path", r"doc_id=(\d+)", 1).cast("bigint").alias("doc_id"), "text")
+    return textflows.word_line_index(files, "doc_id")
+
+
+def skills_csv_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 then S6: the sorted skill CSV of a feed run read back as the next
+    vocabulary (first field, counts reset to 0)."""
+    from ..sources.vocabulary import read_skills_csv
+    from .batch_jobs import skill_count_job
+    wd = _work(spark, "skills")
+    skill_count_job(tables.feed_items(spark, sf_dir), driver_vocabulary_frame(spark), RUN1_TS,
+                    f"{wd}/csv", f"{wd}/history")
+    return read_skills_csv(spark, f"{wd}/csv")
+
+
+def skill_history_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2 over two stored runs, then the current view and the key-only scan."""
+    from ..sources.models import read_skill_history
+    from ..sources.vocabulary import read_skill_keys
+    from .batch_jobs import skill_count_job
+    wd = _work(spark, "history")
+    items = tables.feed_items(spark, sf_dir)
+    skill_count_job(items.filter(F.col("item_index") % 2 == 0), driver_vocabulary_frame(spark),
+                    RUN1_TS, f"{wd}/csv1", f"{wd}/history")
+    skill_count_job(items.filter(F.col("item_index") % 2 == 1),
+                    read_skill_keys(spark, f"{wd}/history"), RUN2_TS, f"{wd}/csv2", f"{wd}/history")
+    cur = skills.current_counts(read_skill_history(spark, f"{wd}/history"))
+    return cur.select("skill", "count", utc_text(F.col("run_ts")).alias("run_ts"))
+
+
+def model_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R5 as a job (term frequencies checkpointed, model written, K4) read back."""
+    from ..sources.models import read_model
+    from .batch_jobs import model_job
+    wd = _work(spark, "model")
+    model_job(tables.jobs(spark, sf_dir), "doc_id", driver_vocabulary(spark), f"{wd}/model")
+    m = read_model(spark, f"{wd}/model")
+    return m.select("doc_id", "skill", "tf", F.round("idf", DIGITS).alias("idf"),
+                    F.round("weight", DIGITS).alias("weight"))
+
+
+def job_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R6 as a job run twice over the same pages: the second run stores nothing new
+    (K3 + J1); returns what the store holds."""
+    from ..sources.models import read_job_docs
+    from .batch_jobs import ingest_job
+    wd = _work(spark, "store")
+    raw = spread_if_narrow(tables.raw_pages(spark, sf_dir))
+    ts = F.lit(INGEST_TS).cast("timestamp")
+    # the store starts with the names already stored (no body), then the ingest runs twice
+    pages.placeholder_docs(tables.stored_names(spark, sf_dir)).write.parquet(f"{wd}/store")
+    ingest_job(spark, raw, f"{wd}/store", ts, pages.DRIVER_SELECTORS)
+    ingest_job(spark, raw, f"{wd}/store", ts, pages.DRIVER_SELECTORS)
+    return read_job_docs(spark, f"{wd}/store").filter(F.col("body").isNotNull()).select("doc_name", "url")
+
+
 QUERIES = {
     "skill_tags": skill_tags,
     "skill_idf": skill_idf,
@@ -273,4 +352,10 @@ QUERIES = {
     "stream_counts": stream_counts,
     "stream_match": stream_match,
     "stream_ingest": stream_ingest,
+    "word_count_files": word_count_files,
+    "word_line_index_files": word_line_index_files,
+    "skills_csv_reload": skills_csv_reload,
+    "skill_history_stored": skill_history_stored,
+    "model_reload": model_reload,
+    "job_store": job_store,
 }

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import first_csv_field
 
 # The vocabulary of the driver queries (FIXTURES.md section 3),
 # 22 skills in ascending byte order, which is also the fold order of the tagger.
@@ -41,26 +40,30 @@ def clean_vocabulary(df: DataFrame, col: str = "skill") -> DataFrame:
               .distinct())
 
 
+def _csv_first_field(spark: SparkSession, path: str) -> DataFrame:
+    """First field of every line of a headerless CSV (quoted fields decoded)."""
+    return spark.read.csv(path, schema="skill string, rest string", header=False,
+                          mode="PERMISSIVE").select("skill")
+
+
 def read_skills_csv(spark: SparkSession, path: str) -> DataFrame:
-    """``skill,count`` lines; only the first field is kept and every count starts at 0.
-    A missing file is an empty vocabulary."""
-    from py4j.protocol import Py4JJavaError
+    """``skill,count`` lines; only the first field is kept and every count starts
+    at 0 (counts are per run).  A missing path is an empty vocabulary."""
+    from pyspark.errors import AnalysisException
     try:
-        lines = spark.read.text(path)
-        lines.schema  # noqa: B018 -- resolves the path now
-    except Exception as e:  # AnalysisException: path does not exist
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) or isinstance(e, Py4JJavaError):
+        first = _csv_first_field(spark, path)
+        first.schema  # noqa: B018 -- resolves the path now
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
             return spark.createDataFrame([], "skill string, count bigint")
         raise
-    return (lines.select(first_csv_field(F.col("value")).alias("skill"))
-                 .filter(F.length("skill") > 0).distinct()
+    return (first.filter(F.col("skill").isNotNull() & (F.length("skill") > 0)).distinct()
                  .select("skill", F.lit(0).cast("bigint").alias("count")))
 
 
 def read_skills_csv_lower(spark: SparkSession, path: str) -> DataFrame:
     """First CSV field, lower-cased, non-empty."""
-    lines = spark.read.text(path)
-    return clean_vocabulary(lines.select(F.lower(first_csv_field(F.col("value"))).alias("skill")))
+    return clean_vocabulary(_csv_first_field(spark, path).select(F.lower("skill").alias("skill")))
 
 
 def read_skill_keys(spark: SparkSession, skills_table: str) -> DataFrame:
