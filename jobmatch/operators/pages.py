@@ -7,7 +7,7 @@ joins across Python maps, so the order here is the plan's order).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import STORE_FOLDER, base_name, rfc850, url_to_doc_name
@@ -45,10 +45,14 @@ def status_flags(status: Column) -> tuple[Column, Column]:
 
 def one_per_name(pages: DataFrame) -> DataFrame:
     """Q24: two URLs with the same document name would overwrite each other; keep the
-    lowest URL per name and mark the others (``dup = true``).  The window holds
-    the URLs of one name only."""
-    w = Window.partitionBy("doc_name").orderBy("url")
-    return pages.withColumn("dup", F.row_number().over(w) > 1)
+    lowest URL per name and mark the others (``dup = true``).  The lowest URL is a
+    partial + final ``min`` per name over the narrow (name, url) projection, joined
+    back on the (name, url) pair: a name shared by very many URLs spreads over
+    many tasks, and the page bodies never gather under one name."""
+    first = (pages.groupBy("doc_name").agg(F.min("url").alias("url"))
+                  .withColumn("_keep", F.lit(True)))
+    return (pages.join(first, ["doc_name", "url"], "left")
+                 .withColumn("dup", F.col("_keep").isNull()).drop("_keep"))
 
 
 def fetch_status(pages: DataFrame) -> DataFrame:
