@@ -116,12 +116,34 @@ def collect_rules(vocabulary, literals=QUOTED_LITERALS) -> list[tuple]:
     return list(prepare_vocabulary(vocabulary, literals).rules)
 
 
+# Java's "." excludes every line terminator, Python's only "\n".
+_JAVA_DOT = "[^\n\r\u0085\u2028\u2029]"
+
+
+def java_dots(pattern: str) -> str:
+    """Rewrite unescaped ``.`` outside character classes to Java's meaning."""
+    out, i, in_class = [], 0, False
+    while i < len(pattern):
+        c = pattern[i]
+        if c == "\\" and i + 1 < len(pattern):
+            out.append(pattern[i:i + 2])
+            i += 2
+            continue
+        if c == "[":
+            in_class = True
+        elif c == "]":
+            in_class = False
+        out.append(_JAVA_DOT if c == "." and not in_class else c)
+        i += 1
+    return "".join(out)
+
+
 def _counter(pattern: str, kind: str):
     """Count of non-overlapping matches of a rule pattern."""
     if kind == "literal" or not _REGEX_META.search(pattern):
         return lambda t, p=pattern: t.count(p)
     try:
-        rx = re.compile(pattern)
+        rx = re.compile(java_dots(pattern))
     except re.error:   # an invalid pattern is matched as a literal
         return lambda t, p=pattern: t.count(p)
     return lambda t, rx=rx: sum(1 for _ in rx.finditer(t))

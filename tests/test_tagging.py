@@ -118,3 +118,13 @@ def test_prepare_vocabulary_from_frame_dedups_and_orders(spark):
     voc = prepare_vocabulary(v)
     assert voc.skills == ("and", "c++", "of")
     assert [r[0] for r in voc.rules] == ["c++"]
+
+
+def test_dot_follows_java_line_terminators(spark):
+    """"." in a dashed skill is a wildcard but, as in Java, not for any line terminator;
+    the Arrow fold and the Java-regex twin agree."""
+    v = vocabulary_from_list(spark, ["asp.net-mvc"])
+    texts = ["asp\rnet-mvc aspxnet-mvc asp\u2028net-mvc asp\nnet-mvc asp.net-mvc asp net-mvc"]
+    for m in ("arrow", "native"):
+        # matched: "aspxnet-mvc", "asp.net-mvc" and "asp net-mvc"; not across \r, \u2028, \n
+        assert tags(spark, texts, m, vocab=v) == {(0, "asp.net-mvc"): 3}

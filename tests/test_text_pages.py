@@ -177,3 +177,13 @@ def test_extraction_job_agrees_with_native_patterns(spark):
         assert r.title == unescape(nfkd_ascii(t))
         # an element whose text cleans to nothing stays, with an empty value
         assert r.skills == [unescape(nfkd_ascii(y)) for y in links]
+
+
+def test_rfc850_ignores_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.range(1).select(F.lit("2026-12-01T18:00:00Z").cast("timestamp").alias("ts"))
+        assert df.select(T.rfc850(F.col("ts"))).first()[0] == "Tuesday, 01-Dec-26 18:00:00 UTC"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
