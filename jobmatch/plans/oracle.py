@@ -235,3 +235,47 @@ SQL["model_reload"] = SQL["model_weights"]
 SQL["job_store"] = _with(NAMED, STORED, PENDING) + """SELECT doc_name, url FROM (
     SELECT doc_name, url, http_status, row_number() OVER (PARTITION BY doc_name ORDER BY url) AS rn FROM pending)
     WHERE rn = 1 AND http_status = 200"""
+
+
+# ---- a vocabulary that comes from the data: rules derived and folded in SQL --------------
+
+FEED_VOCAB = (f"vocab AS (SELECT DISTINCT skill FROM (SELECT skill FROM (VALUES {_vocab_values()}) v(skill) "
+              "UNION ALL SELECT category FROM cats) WHERE skill IS NOT NULL AND skill <> '')")
+RULES_SQL = r"""rules AS (
+    SELECT skill, 0 AS j, replace(skill, 'apache-', '') AS pat, false AS rm FROM vocab
+        WHERE skill IN ('apache-spark', 'apache-kafka', 'apache-storm')
+    UNION ALL SELECT skill, 1, skill, true FROM vocab
+        WHERE skill NOT IN ('apache-spark', 'apache-kafka', 'apache-storm') AND contains(skill, '-')
+    UNION ALL SELECT skill, 2, replace(skill, '-', ' '), true FROM vocab
+        WHERE skill NOT IN ('apache-spark', 'apache-kafka', 'apache-storm') AND contains(skill, '-')
+    UNION ALL SELECT skill, 3, regexp_replace(skill, '([\\^$.|?*+()\[\]{}])', '\\\1', 'g'), false FROM vocab
+        WHERE skill IN ('c++', 'c#', 'f#')),
+ordered AS (SELECT row_number() OVER (ORDER BY skill, j) AS i, skill, pat, rm FROM rules),
+n_rules AS (SELECT count(*) AS n FROM ordered)"""
+
+
+def fold_ctes(source: str, key: str, p: str) -> str:
+    """``{p}tags(key, skill, tf)`` by a recursive fold over ``ordered`` rules."""
+    return f"""{p}fold({key}, i, t, skill, n) AS (
+        SELECT {key}, 0::BIGINT, lower(text), NULL::VARCHAR, 0::BIGINT FROM {source}
+        UNION ALL
+        SELECT f.{key}, f.i + 1,
+               CASE WHEN r.rm AND len(regexp_extract_all(f.t, r.pat)) > 0 THEN replace(f.t, r.skill, '') ELSE f.t END,
+               r.skill, len(regexp_extract_all(f.t, r.pat))::BIGINT
+        FROM {p}fold f JOIN ordered r ON r.i = f.i + 1),
+    {p}rest AS (SELECT {key}, t FROM {p}fold WHERE i = (SELECT n FROM n_rules)),
+    {p}tags AS (SELECT {key}, skill, sum(n)::BIGINT AS tf FROM (
+        SELECT {key}, skill, n FROM {p}fold WHERE i > 0 AND n > 0
+        UNION ALL
+        SELECT w.{key}, w.w AS skill, 1::BIGINT AS n FROM (
+            SELECT {key}, unnest(regexp_split_to_array(t, '\\W+')) AS w FROM {p}rest) w
+            JOIN vocab v ON v.skill = w.w) GROUP BY {key}, skill)"""
+
+
+SQL["feed_vocab_tags"] = ("WITH RECURSIVE " + ",\n".join([PAGE_ITEMS, CAT_ROWS, FEED_VOCAB, RULES_SQL,
+                                                          fold_ctes(JOBS, "doc_id", "j_")])
+                          + "\nSELECT doc_id, skill, tf FROM j_tags")
+SQL["feed_vocab_top25"] = ("WITH RECURSIVE " + ",\n".join([
+    PAGE_ITEMS, CAT_ROWS, FEED_VOCAB, RULES_SQL, fold_ctes(JOBS, "doc_id", "j_"), MODEL_CTES.strip(),
+    fold_ctes(RESUMES, "resume_id", "r_"), *[c.strip() for c in TOP25_CTES[3:]]])
+    + "\nSELECT resume_id, doc_id, score, rank FROM top")

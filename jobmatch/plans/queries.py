@@ -91,6 +91,25 @@ def resume_tag_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagging.tag_stats(r, "resume_id", driver_vocabulary(spark))
 
 
+def _feed_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The seed vocabulary plus every skill seen in the feeds (U1 through J6): what
+    the skill table holds after a feed run, read back as keys (S8)."""
+    counts = skills.skill_counts(tables.feed_items(spark, sf_dir), driver_vocabulary_frame(spark))
+    return counts.select("skill")
+
+
+def feed_vocab_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 with the vocabulary grown from the feeds (about 320 skills)."""
+    return tagging.tag_skills(tables.jobs(spark, sf_dir), "doc_id", _feed_vocabulary(spark, sf_dir))
+
+
+def feed_vocab_top25(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R5 + R1 with the vocabulary grown from the feeds: model, then top 25 per resume."""
+    voc = tagging.prepare_vocabulary(_feed_vocabulary(spark, sf_dir))
+    m = model.build_model(tables.jobs(spark, sf_dir), "doc_id", voc)
+    return match.match_batch(tables.resumes(spark, sf_dir), m, voc, qkey="resume_id", dkey="doc_id", k=25)
+
+
 # ---- text dataflows -------------------------------------------------------------------
 
 def word_line_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -331,6 +350,8 @@ QUERIES = {
     "resume_defaults": resume_defaults,
     "resume_tags": resume_tags,
     "resume_tag_stats": resume_tag_stats,
+    "feed_vocab_tags": feed_vocab_tags,
+    "feed_vocab_top25": feed_vocab_top25,
     "word_line_index": word_line_index,
     "word_count": word_count,
     "token_count_filtered": token_count_filtered,
