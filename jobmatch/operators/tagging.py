@@ -149,12 +149,55 @@ def _counter(pattern: str, kind: str):
     return lambda t, rx=rx: sum(1 for _ in rx.finditer(t))
 
 
-def fold_text(t: str, compiled) -> tuple[str | None, list[dict]]:
+def anchor(pattern: str, kind: str) -> str | None:
+    """A literal every match of the pattern contains (the longest required run), or
+    ``None`` when the pattern is too free-form to name one."""
+    if kind == "literal" or not _REGEX_META.search(pattern):
+        return pattern or None
+    if re.search(r"[\\^$|()\[\]{}]", pattern):
+        return None
+    runs, cur = [], ""
+    for c in pattern:
+        if c in ".+":
+            runs.append(cur)
+            cur = ""
+        elif c in "*?":
+            runs.append(cur[:-1])      # the char before is optional
+            cur = ""
+        else:
+            cur += c
+    runs.append(cur)
+    best = max(runs, key=len)
+    return best or None
+
+
+def _prefilter(anchors):
+    """One Aho-Corasick pass over a text: the set of anchors that occur in it."""
+    try:
+        import ahocorasick
+    except ImportError:   # no automaton: every rule is evaluated
+        return None
+    words = sorted({a for a in anchors if a})
+    if not words:
+        return None
+    auto = ahocorasick.Automaton()
+    for w in words:
+        auto.add_word(w, w)
+    auto.make_automaton()
+    return lambda t: {w for _end, w in auto.iter(t)}
+
+
+def fold_text(t: str, compiled, prefilter=None) -> tuple[str | None, list[dict]]:
     """Apply the ordered rules to one lower-cased text.  Returns the rest (``None``
-    when nothing was removed) and the hits per skill."""
+    when nothing was removed) and the hits per skill.  While the text is unchanged,
+    a rule whose anchor does not occur cannot match and is skipped; after a removal
+    (which can fuse neighbours into new matches) every rule is evaluated."""
     hits: dict[str, int] = {}
     changed = False
-    for skill, count, removal in compiled:
+    present = prefilter(t) if prefilter is not None else None
+    for skill, count, removal, anchor_ in compiled:
+        if not changed and present is not None and anchor_ is not None and anchor_ not in present:
+            continue
         n = count(t)
         if n:
             hits[skill] = hits.get(skill, 0) + n
@@ -166,16 +209,21 @@ def fold_text(t: str, compiled) -> tuple[str | None, list[dict]]:
 
 
 def compile_rules(rules: list[tuple]):
-    return [(skill, _counter(pattern, kind), skill if remove else None)
+    return [(skill, _counter(pattern, kind), skill if remove else None, anchor(pattern, kind))
             for skill, _j, pattern, kind, remove in rules]
 
 
+def compile_prefilter(rules: list[tuple]):
+    return _prefilter(anchor(pattern, kind) for _s, _j, pattern, kind, _r in rules)
+
+
 def rule_fold_udf(rules: list[tuple]):
     """Arrow function ``lower(text) -> struct<rest, hits>`` for the given rules."""
 
     @F.pandas_udf(FOLD_TYPE)
     def rule_fold(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         compiled = compile_rules(rules)   # once per task
+        pre = compile_prefilter(rules)
         for texts in batches:
             rests, hits = [], []
             for t in texts:
@@ -183,7 +231,7 @@ def rule_fold_udf(rules: list[tuple]):
                     rests.append(None)
                     hits.append([])
                     continue
-                r, h = fold_text(t, compiled)
+                r, h = fold_text(t, compiled, pre)
                 rests.append(r)
                 hits.append(h)
             yield pd.DataFrame({"rest": rests, "hits": hits})

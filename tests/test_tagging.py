@@ -92,9 +92,11 @@ def test_fold_matches_a_plain_restatement(text):
                 t = t.replace(skill, "")
     spark_rules = [(s, 0, p.replace("\\", ""), "literal" if "\\" in p else "regex", r)
                    for s, p, r in rules]
-    rest, hits = fold_text(text.lower(), compile_rules(spark_rules))
-    assert {h["skill"]: h["n"] for h in hits} == want
-    assert (rest if rest is not None else text.lower()) == t
+    from jobmatch.operators.tagging import compile_prefilter
+    for pre in (None, compile_prefilter(spark_rules)):
+        rest, hits = fold_text(text.lower(), compile_rules(spark_rules), pre)
+        assert {h["skill"]: h["n"] for h in hits} == want
+        assert (rest if rest is not None else text.lower()) == t
 
 
 def test_vocabulary_is_sorted_fixed_list():
