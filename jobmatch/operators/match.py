@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import SITE_PREFIX
-from ..plans.sizing import MAX_BROADCAST_ROWS, fits
+from ..plans.sizing import MAX_BROADCAST_ROWS, TooLargeToBroadcast, fits
 from ..sources.resumes import resume_requests
 from .model import query_vectors
 from .tagging import QUOTED_LITERALS, prepare_vocabulary, tag_skills
@@ -30,14 +30,16 @@ SCORE_DIGITS = 6
 
 def score_pairs(query: DataFrame, model: DataFrame, qkey: str, dkey: str,
                 broadcast_query: bool | None = None) -> DataFrame:
-    """J5 + A10: ``(qkey, dkey, score)`` for every pair sharing a skill."""
+    """J5 + A10: ``(qkey, dkey, score)`` for every pair sharing a skill.  The query side
+    is always broadcast and must be proven small (``broadcast_query=True`` states a
+    bound the caller proved); a larger query set goes through ``match_batch``, which
+    cuts it into chunks.  The model streams through the join, so a skill shared by a
+    large share of all documents never becomes a hot shuffle partition."""
     q = query.select(qkey, "skill", "qw")
-    if broadcast_query is None:
-        broadcast_query = fits(q, MAX_BROADCAST_ROWS)
-    if broadcast_query:
-        q = F.broadcast(q)
+    if not broadcast_query and not fits(q, MAX_BROADCAST_ROWS):
+        raise TooLargeToBroadcast("query side too large to broadcast; use match_batch, which chunks it")
     m = model.select(dkey, "skill", "weight")
-    pairs = m.join(q, "skill")
+    pairs = m.join(F.broadcast(q), "skill")
     return pairs.groupBy(qkey, dkey).agg(F.sum(F.col("qw") * F.col("weight")).alias("score"))
 
 
