@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.text import (ascii_strip, doc_name_to_url, page_links, page_title, result_line,
                               result_line_name, utc_text)
 from ..operators import match, model, pages, skills, tagging, textflows
-from ..plans.sizing import spread_if_narrow
+from ..plans.sizing import shuffle_partitions, spread_if_narrow
 from ..sources import tables
 from ..sources.resumes import resume_requests
 from ..sources.vocabulary import driver_vocabulary, driver_vocabulary_frame
@@ -243,7 +243,7 @@ def stream_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocab = driver_vocabulary(spark)
     table = "jobmatch_model_" + wd.rsplit("-", 1)[-1]
     write_model(model.build_model(tables.jobs(spark, sf_dir), "doc_id", vocab), f"{wd}/model",
-                table=table, buckets=spark.sparkContext.defaultParallelism)
+                table=table, buckets=shuffle_partitions(spark))
     tables.resumes(spark, sf_dir).repartition(4).write.parquet(f"{wd}/resumes")
     jobs.stream_match(spark, f"{wd}/resumes", "resume_id long, text string", table,
                       vocab, f"{wd}/out", f"{wd}/ck").awaitTermination()

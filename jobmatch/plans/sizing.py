@@ -62,7 +62,11 @@ def spread_if_narrow(df: DataFrame, max_rows: int = SPREAD_MAX_ROWS) -> DataFram
     rows) is it spread round-robin; anything larger keeps its scan partitioning, so
     a corpus is never shuffled just to balance it.  The partition test is planning
     only; the row bound reads no columns."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
+    from ..session import spark_context
+    sc = spark_context(df.sparkSession)
+    if sc is None:          # Spark Connect: no partition count at planning time
+        return df
+    cores = sc.defaultParallelism
     if df.rdd.getNumPartitions() < cores and fits(df.select(), max_rows):
         return df.repartition(cores)
     return df

@@ -32,18 +32,30 @@ def get_session(app: str = "jobmatch", master: str | None = None,
     for k, v in (conf or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    if spark_context(spark) is not None:
+        spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     ship_package(spark)
     return spark
 
 
+def spark_context(spark: SparkSession):
+    """The SparkContext of a classic session; ``None`` for a Spark Connect session."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder the cluster names in ``spark.checkpoint.dir``."""
-    d = spark.sparkContext.getCheckpointDir()
-    if d:
-        return d
-    return spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = spark_context(spark)
+    if sc is not None:
+        d = sc.getCheckpointDir()
+        if d:
+            return d
+        return sc.getConf().get("spark.checkpoint.dir", None)
+    return spark.conf.get("spark.checkpoint.dir", None)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -51,8 +63,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     d = checkpoint_dir(spark)
     if not d:
         d = tempfile.mkdtemp(prefix="jobmatch-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
+    sc = spark_context(spark)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d
 
 
@@ -60,15 +73,8 @@ _ZIP: str | None = None
 _SHIPPED: set = set()
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Make ``jobmatch`` importable in every Python worker: the package is zipped once
-    per driver process and added with ``addPyFile`` once per SparkContext (what
-    ``--py-files`` does on a cluster)."""
+def _package_zip() -> str:
     global _ZIP
-    sc = spark.sparkContext
-    app = sc.applicationId
-    if app in _SHIPPED:
-        return
     if _ZIP is None:
         import zipfile
         pkg = os.path.dirname(os.path.abspath(__file__))
@@ -81,5 +87,19 @@ def ship_package(spark: SparkSession) -> None:
                         full = os.path.join(root, f)
                         z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
         _ZIP = path
-    sc.addPyFile(_ZIP)
-    _SHIPPED.add(app)
+    return _ZIP
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``jobmatch`` importable in every Python worker: the package is zipped once
+    per driver process and added with ``addPyFile`` once per SparkContext (what
+    ``--py-files`` does on a cluster); a Connect session gets it as an artifact."""
+    sc = spark_context(spark)
+    key = sc.applicationId if sc is not None else f"connect-{id(spark)}"
+    if key in _SHIPPED:
+        return
+    if sc is not None:
+        sc.addPyFile(_package_zip())
+    else:
+        spark.addArtifacts(_package_zip(), pyfile=True)
+    _SHIPPED.add(key)
