@@ -131,3 +131,19 @@ def test_stream_ingest_equals_pending(spark):
     a = sorted(r.doc_name for r in q.stream_ingest(spark, SF).collect())
     b = sorted({r.doc_name for r in q.pending_pages(spark, SF).collect()})
     assert a == b and a
+
+
+def test_stream_counts_quarantine_truncated_feed(spark, tmp_path):
+    """A truncated feed file among good ones is quarantined; the stream keeps counting."""
+    import os
+    import shutil
+    from jobmatch.streaming import jobs
+    from tests.conftest import FIXTURES
+    land = tmp_path / "land"
+    land.mkdir()
+    for f in os.listdir(os.path.join(FIXTURES, "rss")):
+        shutil.copy(os.path.join(FIXTURES, "rss", f), land / f)
+    q = jobs.stream_skill_counts(spark, str(land), str(tmp_path / "out"), str(tmp_path / "ck"))
+    q.awaitTermination()
+    got = {r.skill: r["count"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {"java": 1, "c++": 1}
