@@ -20,15 +20,41 @@ def word_lines(texts: DataFrame, key: str, text_col: str = "text") -> DataFrame:
                         F.explode(split_words_nonempty(F.col("line"), " ")).alias("word"))
 
 
-def word_line_index(texts: DataFrame, key: str, text_col: str = "text") -> DataFrame:
+def word_line_index(texts: DataFrame, key: str, text_col: str = "text", method: str = "row") -> DataFrame:
     """A1: ``(key, word, line_numbers)``, one list per word of a text, repeats kept,
     numeric order, printed like ``[0 1 1]``.  Lists are per text, so a list is
     bounded by its text's size (a global list per word would put a hot word's
-    occurrences of the whole corpus into one row)."""
-    wl = word_lines(texts, key, text_col)
-    lists = F.sort_array(F.collect_list("line_no"))
-    return wl.groupBy(key, "word").agg(
-        F.concat(F.lit("["), F.array_join(lists, " "), F.lit("]")).alias("line_numbers"))
+    occurrences of the whole corpus into one row).
+
+    ``method="row"`` (default) builds each text's index inside its own row: the
+    (word, line) pairs are sorted, the positions where the word changes mark the
+    groups, and each group is a slice, so no (text, word) rows are shuffled at
+    all.  ``method="group"`` is the same result as ``groupBy(key, word)`` with
+    ``collect_list`` (one shuffle of the partial lists)."""
+    if method == "group":
+        wl = word_lines(texts, key, text_col)
+        lists = F.sort_array(F.collect_list("line_no"))
+        return wl.groupBy(key, "word").agg(
+            F.concat(F.lit("["), F.array_join(lists, " "), F.lit("]")).alias("line_numbers"))
+    if method != "row":
+        raise ValueError(f"unknown method {method!r}")
+    pairs = F.flatten(F.transform(text_lines(F.col(text_col)), lambda line, i: F.transform(
+        split_words_nonempty(line, " "), lambda w: F.struct(w.alias("word"), i.alias("line_no")))))
+    d = texts.select(key, F.array_sort(pairs).alias("_s"))      # by word, then line
+    s = F.col("_s")
+    n = F.size(s)
+    starts = F.when(n > 0, F.filter(
+        F.sequence(F.lit(1), n),
+        lambda k: (k == 1) | (F.element_at(s, k)["word"] != F.element_at(s, k - 1)["word"]))
+    ).otherwise(F.array().cast("array<int>"))
+    d = d.select(key, "_s", starts.alias("_st"))
+    st = F.col("_st")
+    groups = F.transform(st, lambda b, j: F.struct(
+        F.element_at(s, b)["word"].alias("word"),
+        F.concat(F.lit("["), F.array_join(F.transform(
+            F.slice(s, b, F.coalesce(F.get(st, j + 1), n + 1) - b), lambda x: x["line_no"]), " "),
+            F.lit("]")).alias("line_numbers")))
+    return d.select(key, F.inline(groups))
 
 
 def tokens(lines: DataFrame, sep: str = " ", line_col: str = "line") -> DataFrame:

@@ -187,3 +187,15 @@ def test_rfc850_ignores_session_zone(spark):
         assert df.select(T.rfc850(F.col("ts"))).first()[0] == "Tuesday, 01-Dec-26 18:00:00 UTC"
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_word_line_index_row_equals_group(spark):
+    from tests.conftest import SF
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    extra = spark.createDataFrame([(-1, ""), (-2, "  \n "), (-3, "b a\n\na b a")], "doc_id long, text string")
+    docs = docs.unionByName(extra)
+    a = textflows.word_line_index(docs, "doc_id", method="row")
+    b = textflows.word_line_index(docs, "doc_id", method="group")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    got = {r.word: r.line_numbers for r in a.filter("doc_id = -3").collect()}
+    assert got == {"a": "[0 2 2]", "b": "[0 2]"}
