@@ -44,15 +44,17 @@ def l2_normalise(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
 
 
 def weights(tf: DataFrame, key: str, n_docs: Column, min_doc_freq: int = 1) -> DataFrame:
-    """J7 + A9: ``(key, skill, tf, idf, weight)``."""
+    """J7 + A9: ``(key, skill, tf, idf, weight)``.
+
+    The term rows are partitioned by document once, with the configured width, and
+    everything reads that one exchange: the document-frequency count (partial sums
+    per task), the norm window and, in matching, the per-(query, document) score
+    sum.  So the tagger above runs once, and an explicit width keeps AQE from
+    folding a small model into one task when scoring fans it out."""
+    tf = tf.repartition(shuffle_partitions(tf.sparkSession), key)
     idf = idf_table(tf, n_docs, min_doc_freq).select("skill", "idf")
     # idf has one row per tagged skill, at most the size-checked vocabulary
     scaled = tf.join(F.broadcast(idf), "skill").withColumn("_w", F.col("tf") * F.col("idf"))
-    # Partition by document with the configured width: the norm window and, in
-    # matching, the per-(query, document) score sum both reuse this exchange.  An
-    # explicit count keeps AQE from folding a small model into one task when the
-    # scoring join fans it out many times over.
-    scaled = scaled.repartition(shuffle_partitions(tf.sparkSession), key)
     out = l2_normalise(scaled, key, "_w", "weight")
     return out.select(key, "skill", "tf", "idf", "weight")
 
