@@ -38,6 +38,12 @@ def skill_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagging.tag_skills(tables.jobs(spark, sf_dir), "doc_id", driver_vocabulary(spark))
 
 
+def skill_tags_native(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3 + P22: the same tags from the native twin (the ordered rules as a Spark
+    ``aggregate`` over a literal rules array, ``regexp_count`` with Java regex)."""
+    return tagging.tag_skills(tables.jobs(spark, sf_dir), "doc_id", driver_vocabulary(spark), method="native")
+
+
 def skill_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs = tables.jobs(spark, sf_dir)
     tf = tagging.tag_skills(jobs, "doc_id", driver_vocabulary(spark))
@@ -341,6 +347,7 @@ def job_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "skill_tags": skill_tags,
+    "skill_tags_native": skill_tags_native,
     "skill_idf": skill_idf,
     "model_weights": model_weights,
     "match_fixed_top10": match_fixed_top10,
