@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import STORE_FOLDER, base_name, rfc850, url_to_doc_name
+from ..plans.sizing import MAX_BROADCAST_ROWS, fits
 
 # The labels and layout of a stored job document.
 LABEL_DATE = "DATE: "
@@ -32,9 +33,19 @@ def with_doc_names(pages: DataFrame, prefix_regex: str = r"https?://",
     return pages.withColumn("doc_name", name).withColumn("base_name", base_name(F.col("doc_name")))
 
 
-def pending(named: DataFrame, stored: DataFrame) -> DataFrame:
-    """Pages whose document is not stored yet (anti join on the name)."""
-    return named.join(stored.select("doc_name").distinct(), "doc_name", "left_anti")
+def pending(named: DataFrame, stored: DataFrame, reduce_store: bool = False) -> DataFrame:
+    """Pages whose document is not stored yet (anti join on the name).
+
+    With ``reduce_store`` (a store much larger than the run, as in incremental
+    ingest) the store is first cut to the names of this run by a broadcast semi
+    join, when the run's names are proven small: the store is scanned one column
+    wide and never shuffled."""
+    seen = stored.select("doc_name")
+    if reduce_store:
+        names = named.select("doc_name").distinct()
+        if fits(names, MAX_BROADCAST_ROWS):
+            seen = seen.join(F.broadcast(names), "doc_name", "left_semi")
+    return named.join(seen.distinct(), "doc_name", "left_anti")
 
 
 def status_flags(status: Column) -> tuple[Column, Column]:
@@ -187,11 +198,11 @@ def placeholder_docs(names: DataFrame) -> DataFrame:
 
 def ingest_pages(raw: DataFrame, stored: DataFrame, ingest_ts: Column,
                  selectors=SITE_SELECTORS, prefix_regex: str = r"https?://",
-                 folder: str = STORE_FOLDER) -> tuple[DataFrame, DataFrame]:
+                 folder: str = STORE_FOLDER, reduce_store: bool = False) -> tuple[DataFrame, DataFrame]:
     """``(job_docs, totals)``.  Names the pages, drops the stored ones (anti join
     before any parsing), counts status, extracts and renders the fetched pages."""
     named = with_doc_names(raw, prefix_regex, folder)
-    todo = one_per_name(pending(named, stored))
+    todo = one_per_name(pending(named, stored, reduce_store))
     passed, failed = status_flags(F.col("http_status"))
     status = todo.select(F.when(F.col("dup"), F.lit(0).cast("bigint")).otherwise(passed).alias("passed"),
                          F.when(F.col("dup"), F.lit(1).cast("bigint")).otherwise(failed).alias("failed"))

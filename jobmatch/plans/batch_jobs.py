@@ -42,6 +42,7 @@ def ingest_job(spark: SparkSession, raw: DataFrame, store_path: str, ingest_ts:
         stored = read_job_docs(spark, store_path).select("doc_name")
     except Exception:  # first run: nothing stored yet
         stored = spark.createDataFrame([], "doc_name string")
-    docs, totals = pages.ingest_pages(raw, stored, ingest_ts, selectors)
+    # the store grows with every run: cut it to this run's names before the anti join
+    docs, totals = pages.ingest_pages(raw, stored, ingest_ts, selectors, reduce_store=True)
     sinks.store_job_docs(docs, store_path)
     return totals

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import match, pages
+from ..plans.sizing import broadcast_if_fits
 from ..session import ensure_checkpoint_dir
 from ..sources.feeds import ITEM_SCHEMA
 
@@ -101,8 +102,13 @@ def stream_ingest(spark: SparkSession, landing: str, store: str, checkpoint: str
         named = pages.with_doc_names(batch.select(F.col("guid").alias("url")), prefix_regex)
         # one URL per name within the batch (lowest), then drop names already stored
         first = named.groupBy("doc_name").agg(F.min("url").alias("url"))
-        # every earlier batch and the seed; not this batch's own folder (a retry)
-        seen = spark.read.parquet(store).filter(F.col("batch") != batch_id).select("doc_name")
+        # every earlier batch and the seed; not this batch's own folder (a retry).
+        # Semi-join reduction: only stored names that occur in this batch are kept,
+        # by a broadcast semi join against the batch's names (size-checked), so the
+        # store is scanned column-pruned but never shuffled.
+        names = broadcast_if_fits(first.select("doc_name"))
+        seen = (spark.read.parquet(store).filter(F.col("batch") != batch_id).select("doc_name")
+                     .join(names, "doc_name", "left_semi"))
         new = first.join(seen, "doc_name", "left_anti")
         new.select("doc_name", "url").write.mode("overwrite").parquet(f"{store}/batch={batch_id}")
 
