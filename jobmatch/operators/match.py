@@ -20,10 +20,13 @@ from ..sources.resumes import resume_requests
 from .model import query_vectors
 from .tagging import QUOTED_LITERALS, prepare_vocabulary, tag_skills
 
-# Fixed values of the reference's matching.
+# Fixed values of the reference's matching and its result block.
 SCRIPT_TERMS = ["java", "c++", "c#"]     # sample query of the model script
 SCRIPT_TOP = 10
 WEB_TOP = 25
+LINKS_OPEN = '<div id="innerResult">'
+LINK_FORMAT = '<div><a href="%s" target="_blank">%s</a></div>\n'
+LINKS_CLOSE = "</div>"
 
 SCORE_DIGITS = 6
 
@@ -134,8 +137,8 @@ def pad_with_unmatched(top: DataFrame, queries: DataFrame, docs: DataFrame,
 def result_links(top: DataFrame, qkey: str, dkey: str, prefix: str = SITE_PREFIX) -> DataFrame:
     """K6: one block of anchors per query, ordered by rank (at most k entries per group)."""
     url = F.concat(F.lit(prefix), F.replace(F.col(dkey).cast("string"), F.lit("_"), F.lit("/")))
-    link = F.format_string('<div><a href="%s" target="_blank">%s</a></div>\n', url, url)
+    link = F.format_string(LINK_FORMAT, url, url)
     ordered = F.array_sort(F.collect_list(F.struct(F.col("rank"), link.alias("link"))))
     body = F.array_join(F.transform(ordered, lambda x: x["link"]), "")
     return top.groupBy(qkey).agg(
-        F.concat(F.lit('<div id="innerResult">'), body, F.lit("</div>")).alias("links"))
+        F.concat(F.lit(LINKS_OPEN), body, F.lit(LINKS_CLOSE)).alias("links"))
