@@ -74,10 +74,10 @@ def match_batch(resumes: DataFrame, model: DataFrame, vocabulary,
     vocabulary = prepare_vocabulary(vocabulary, literals)
     per_chunk = max(1, max_query_rows // max(1, len(vocabulary)))
     if broadcast_query is None:
-        broadcast_query = fits(r, per_chunk)
+        broadcast_query = fits(resumes, per_chunk)      # r is a 1:1 projection of it
     if broadcast_query:
         return _match_chunk(r, model, vocabulary, qkey, dkey, k, literals)
-    n_chunks = -(-r.count() // per_chunk)
+    n_chunks = -(-resumes.count() // per_chunk)
     chunk = F.pmod(F.xxhash64(F.col(qkey)), F.lit(n_chunks))
     parts = [_match_chunk(r.filter(chunk == c), model, vocabulary, qkey, dkey, k, literals)
              for c in range(n_chunks)]

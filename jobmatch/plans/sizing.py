@@ -8,6 +8,8 @@ from the real shuffle sizes, and splits skewed partitions).
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,9 +25,27 @@ class TooLargeToBroadcast(ValueError):
     pass
 
 
+# Exact row counts already proven for a DataFrame object (weak keys: an entry lives
+# only as long as the plan object it was proven for), so one input is not counted
+# twice while a query is built.
+_PROVEN: "weakref.WeakKeyDictionary[DataFrame, int]" = weakref.WeakKeyDictionary()
+
+
 def bounded_count(df: DataFrame, limit: int) -> int:
     """``min(count(df), limit + 1)``; stops reading after ``limit + 1`` rows per partition."""
-    return df.limit(limit + 1).count()
+    known = _PROVEN.get(df)
+    if known is not None:
+        return min(known, limit + 1)
+    n = df.limit(limit + 1).count()
+    if n <= limit:
+        _PROVEN[df] = n
+    return n
+
+
+def remember_count(df: DataFrame, n: int) -> DataFrame:
+    """Record a proven exact row count for ``df`` (e.g. after a 1:1 repartition)."""
+    _PROVEN[df] = n
+    return df
 
 
 def fits(df: DataFrame, limit: int) -> bool:
@@ -67,6 +87,9 @@ def spread_if_narrow(df: DataFrame, max_rows: int = SPREAD_MAX_ROWS) -> DataFram
     if sc is None:          # Spark Connect: no partition count at planning time
         return df
     cores = sc.defaultParallelism
-    if df.rdd.getNumPartitions() < cores and fits(df.select(), max_rows):
-        return df.repartition(cores)
+    if df.rdd.getNumPartitions() < cores:
+        n = bounded_count(df.select(), max_rows)
+        if n <= max_rows:
+            remember_count(df, n)
+            return remember_count(df.repartition(cores), n)
     return df
