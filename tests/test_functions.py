@@ -41,3 +41,25 @@ def test_elapsed_seconds(spark):
     a, b = dt.datetime(2026, 1, 1, 0, 0, 0), dt.datetime(2026, 1, 1, 0, 1, 5)
     df = spark.createDataFrame([(a, b)], "s timestamp, e timestamp")
     assert df.select(T.elapsed_seconds(F.col("s"), F.col("e"))).first()[0] == 65
+
+
+def test_feeds_table_and_lower_vocabulary(spark, tmp_path):
+    from jobmatch.sources.feeds import feeds_table
+    from jobmatch.sources.vocabulary import read_skills_csv_lower
+    f = feeds_table(spark, ["u0", "u1"]).collect()
+    assert [(r.feed_index, r.url) for r in f] == [(0, "u0"), (1, "u1")]
+    p = tmp_path / "skills.csv"
+    p.write_text("Java,3\nC++,2\n,1\njava,0\n")
+    got = sorted(r.skill for r in read_skills_csv_lower(spark, str(p)).collect())
+    assert got == ["c++", "java"]
+
+
+def test_extra_literals_make_node_js_findable(spark):
+    """Q18: ``node.js`` never matches by default; ``literals=`` extends the quoted list."""
+    from jobmatch.operators.tagging import QUOTED_LITERALS, tag_skills
+    from jobmatch.sources.vocabulary import vocabulary_from_list
+    df = spark.createDataFrame([(1, "Node.js and node.js")], "id long, text string")
+    v = vocabulary_from_list(spark, ["node.js"])
+    assert tag_skills(df, "id", v).count() == 0
+    got = tag_skills(df, "id", v, literals=QUOTED_LITERALS + ("node.js",)).collect()
+    assert [(r.skill, r.tf) for r in got] == [("node.js", 2)]
