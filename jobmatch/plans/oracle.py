@@ -280,3 +280,9 @@ SQL["feed_vocab_top25"] = ("WITH RECURSIVE " + ",\n".join([
     fold_ctes(RESUMES, "resume_id", "r_"), *[c.strip() for c in TOP25_CTES[3:]]])
     + "\nSELECT resume_id, doc_id, score, rank FROM top")
 SQL["skill_tags_native"] = SQL["skill_tags"]
+SQL["match_common_terms_top10"] = _with(
+    tags_ctes(JOBS, "doc_id", "j_"), MODEL_CTES,
+    """terms AS (SELECT skill, 1 AS tf FROM idf ORDER BY df DESC, skill LIMIT 3)""",
+    """qv AS (SELECT skill, tf::DOUBLE / sqrt(sum(tf * tf) OVER ()) AS qw FROM terms)""",
+    """sc AS (SELECT doc_id, sum(qw * weight) AS score FROM model JOIN qv USING (skill) GROUP BY doc_id)""") + \
+    "SELECT doc_id, round(score, 6) AS score FROM sc WHERE score > 0 ORDER BY score DESC, doc_id LIMIT 10"

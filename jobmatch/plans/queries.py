@@ -61,6 +61,23 @@ def match_fixed_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return match.match_terms(spark, _model(spark, sf_dir), "doc_id")
 
 
+def match_common_terms_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5 + O2 with the three skills of highest document frequency as the query terms
+    (ties by name): the sample query of the model script, on terms the data has."""
+    jobs = tables.jobs(spark, sf_dir)
+    voc = driver_vocabulary(spark)
+    tf = tagging.tag_skills(jobs, "doc_id", voc)
+    m = model.weights(tf, "doc_id", model.document_count(jobs))
+    top3 = (model.idf_table(tf, model.document_count(jobs))
+            .orderBy(F.desc("df"), F.asc("skill")).limit(3).select("skill"))
+    q = model.query_vectors(top3.select(F.lit(0).cast("bigint").alias("query_id"), "skill",
+                                        F.lit(1).cast("bigint").alias("tf")), "query_id")
+    scores = match.score_pairs(q, m, "query_id", "doc_id", broadcast_query=True)   # 3 rows
+    return (scores.filter(F.col("score") > 0)
+                  .select("doc_id", F.round("score", DIGITS).alias("score"))
+                  .orderBy(F.desc("score"), F.asc("doc_id")).limit(10))
+
+
 def match_top25(spark: SparkSession, sf_dir: str) -> DataFrame:
     return match.match_batch(tables.resumes(spark, sf_dir), _model(spark, sf_dir),
                              driver_vocabulary(spark), qkey="resume_id", dkey="doc_id", k=25)
@@ -351,6 +368,7 @@ QUERIES = {
     "skill_idf": skill_idf,
     "model_weights": model_weights,
     "match_fixed_top10": match_fixed_top10,
+    "match_common_terms_top10": match_common_terms_top10,
     "match_top25": match_top25,
     "match_links": match_links,
     "match_lines": match_lines,
