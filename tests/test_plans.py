@@ -43,3 +43,39 @@ def test_checkpoint_dir_is_read_from_session(spark):
     from jobmatch.session import checkpoint_dir, ensure_checkpoint_dir
     d = ensure_checkpoint_dir(spark)
     assert d and checkpoint_dir(spark)
+
+
+def test_word_pass_without_inline_filter_same_tags(spark, monkeypatch):
+    """Past MAX_INLINE_WORDS the tokens are not pre-filtered; the vocabulary join alone
+    gives the same tags."""
+    from jobmatch.operators import tagging
+    from jobmatch.sources.vocabulary import driver_vocabulary
+    from tests.conftest import SF
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    v = driver_vocabulary(spark)
+    a = sorted(map(tuple, tagging.tag_skills(docs, "doc_id", v).collect()))
+    monkeypatch.setattr(tagging, "MAX_INLINE_WORDS", 0)
+    b = sorted(map(tuple, tagging.tag_skills(docs, "doc_id", v).collect()))
+    assert a == b and a
+
+
+def test_vocabulary_bound_is_enforced(spark, monkeypatch):
+    import pytest
+    from jobmatch.operators import tagging
+    monkeypatch.setattr(tagging, "MAX_VOCABULARY_ROWS", 3)
+    with pytest.raises(sizing.TooLargeToBroadcast):
+        tagging.Vocabulary.from_list(["a", "b", "c", "d"])
+    v = spark.createDataFrame([(s,) for s in "abcd"], "skill string")
+    with pytest.raises(sizing.TooLargeToBroadcast):
+        tagging.prepare_vocabulary(v)
+
+
+def test_score_pairs_refuses_unproven_query_side(spark, monkeypatch):
+    import pytest
+    from jobmatch.operators import match
+    monkeypatch.setattr(match, "MAX_BROADCAST_ROWS", 2)
+    q = spark.createDataFrame([(1, "a", 1.0), (2, "b", 1.0), (3, "c", 1.0)], "q long, skill string, qw double")
+    m = spark.createDataFrame([(9, "a", 1.0)], "d long, skill string, weight double")
+    with pytest.raises(sizing.TooLargeToBroadcast):
+        match.score_pairs(q, m, "q", "d")
+    assert match.score_pairs(q, m, "q", "d", broadcast_query=True).count() == 1
