@@ -2,11 +2,13 @@
 
 Scores are a sparse dot product: ``model JOIN query ON skill`` then a sum per
 (resume, doc).  Only documents that share a skill with a resume meet it.
-The query side is broadcast only behind a proven row bound; past it the join is
-a shuffle join and AQE splits skewed skill partitions.  Top-k per resume is a
-``row_number`` window filtered to ``<= k``, which Spark plans as a partial
-``WindowGroupLimit`` before the shuffle, so a resume with many candidates sends
-at most k rows per task.
+The query side is always broadcast behind a proven row bound; a resume set past
+the bound is cut into hash chunks that each fit (``match_batch``), so the join
+never shuffles on ``skill``.  With the model partitioned by document (built in
+the same plan, or a bucketed table) the score sum needs no shuffle.  Top-k per
+resume is a ``row_number`` window filtered to ``<= k``, which Spark plans as a
+partial ``WindowGroupLimit`` before the shuffle, so a resume with many
+candidates sends at most k rows per task.
 """
 
 from __future__ import annotations
