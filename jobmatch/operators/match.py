@@ -63,7 +63,7 @@ def match_batch(resumes: DataFrame, model: DataFrame, vocabulary,
                 qkey: str = "resume_id", dkey: str = "doc_name", k: int = WEB_TOP,
                 text_col: str = "text", literals=QUOTED_LITERALS,
                 broadcast_query: bool | None = None,
-                max_query_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                max_query_rows: int | None = None) -> DataFrame:
     """Many resumes at once -> ``(qkey, dkey, score, rank)``, rank 1..k.
 
     Every resume yields at most |vocabulary| query rows, so the query side is
@@ -74,7 +74,8 @@ def match_batch(resumes: DataFrame, model: DataFrame, vocabulary,
     common skill would pair a large share of all documents and resumes."""
     r = resume_requests(resumes, qkey, text_col)
     vocabulary = prepare_vocabulary(vocabulary, literals)
-    per_chunk = max(1, max_query_rows // max(1, len(vocabulary)))
+    bound = MAX_BROADCAST_ROWS if max_query_rows is None else max_query_rows
+    per_chunk = max(1, bound // max(1, len(vocabulary)))
     if broadcast_query is None:
         broadcast_query = fits(resumes, per_chunk)      # r is a 1:1 projection of it
     if broadcast_query:
@@ -89,6 +90,23 @@ def match_batch(resumes: DataFrame, model: DataFrame, vocabulary,
     return out
 
 
+def chunk_count(resumes: DataFrame, vocabulary, max_query_rows: int | None = None) -> int:
+    """How many hash chunks make every chunk's query side fit the broadcast bound."""
+    bound = MAX_BROADCAST_ROWS if max_query_rows is None else max_query_rows
+    per_chunk = max(1, bound // max(1, len(prepare_vocabulary(vocabulary))))
+    return 1 if fits(resumes, per_chunk) else -(-resumes.count() // per_chunk)
+
+
+def match_chunk(resumes: DataFrame, model: DataFrame, vocabulary, c: int, n_chunks: int,
+                qkey: str = "resume_id", dkey: str = "doc_name", k: int = WEB_TOP,
+                text_col: str = "text", literals=QUOTED_LITERALS) -> DataFrame:
+    """Top-k of the resumes in hash chunk ``c`` of ``n_chunks``."""
+    r = resume_requests(resumes, qkey, text_col)
+    if n_chunks > 1:
+        r = r.filter(F.pmod(F.xxhash64(F.col(qkey)), F.lit(n_chunks)) == c)
+    return _match_chunk(r, model, prepare_vocabulary(vocabulary, literals), qkey, dkey, k, literals)
+
+
 def _match_chunk(r: DataFrame, model: DataFrame, vocabulary, qkey: str, dkey: str,
                  k: int, literals) -> DataFrame:
     tf = tag_skills(r, qkey, vocabulary, literals=literals)

@@ -147,3 +147,25 @@ def test_stream_counts_quarantine_truncated_feed(spark, tmp_path):
     q.awaitTermination()
     got = {r.skill: r["count"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert got == {"java": 1, "c++": 1}
+
+
+def test_match_job_chunks_equal_batch(spark, tmp_path, monkeypatch):
+    """The chunk-per-job writer gives the same rows as the in-plan match, and a rerun
+    skips finished chunks."""
+    from jobmatch.operators import sinks
+    from jobmatch.plans import batch_jobs
+    from jobmatch.sources import tables
+    from jobmatch.sources.vocabulary import driver_vocabulary
+    from tests.conftest import SF
+    v = driver_vocabulary(spark)
+    m = model.build_model(tables.jobs(spark, SF), "doc_id", v)
+    sinks.write_model(m, str(tmp_path / "model"), table="test_match_job_model", buckets=4)
+    r = tables.resumes(spark, SF)
+    monkeypatch.setattr(match, "MAX_BROADCAST_ROWS", 22 * 9)
+    n = batch_jobs.match_job(spark, r, "test_match_job_model", v, str(tmp_path / "out"), dkey="doc_id")
+    assert n > 1
+    got = sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).select(
+        "resume_id", "doc_id", "score", "rank").collect()))
+    want = sorted(map(tuple, match.match_batch(r, m, v, dkey="doc_id").collect()))
+    assert got == want and got
+    assert batch_jobs.match_job(spark, r, "test_match_job_model", v, str(tmp_path / "out"), dkey="doc_id") == n
