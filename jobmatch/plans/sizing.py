@@ -57,12 +57,6 @@ def broadcast_if_fits(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if fits(df, limit) else df
 
 
-def require_fits(df: DataFrame, limit: int, what: str) -> None:
-    if not fits(df, limit):
-        raise TooLargeToBroadcast(
-            f"{what} has more than {limit} rows; it must reach every task whole")
-
-
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise into the cluster's checkpoint folder (reliable, survives executor loss)."""
     return df.checkpoint(eager=True)
