@@ -130,3 +130,22 @@ def test_dot_follows_java_line_terminators(spark):
     for m in ("arrow", "native"):
         # matched: "aspxnet-mvc", "asp.net-mvc" and "asp net-mvc"; not across \r, \u2028, \n
         assert tags(spark, texts, m, vocab=v) == {(0, "asp.net-mvc"): 3}
+
+
+def test_arrow_equals_java_twin_on_adversarial_texts(spark):
+    """Random texts built from fragments that stress the ordered rules: removals that
+    fuse neighbours, overlapping literals, wildcard dots, line terminators, accents."""
+    import random
+    rnd = random.Random(20261203)
+    frags = ["de-la", "de la", "de-", "la", "-la", "of-the", "of the", "ofthe", "c++", "c+++", "c#", "c",
+             "asp.net-mvc", "asp-net-mvc", "aspxnet mvc", "asp\rnet-mvc", "asp net-mvc",
+             "ruby-on-rails", "ruby on rails", "ruby", "apache-spark", "sparkling", "kafka",
+             "machine-learning", "machine learning", "objective-c", "objective c", "node.js",
+             "Java", "JAVA", "java", "que", "qué", "é", " ", "  ", "\n", "-", ".", ",", "_"]
+    texts = ["".join(rnd.choice(frags) for _ in range(rnd.randint(0, 30))) for _ in range(400)]
+    v = vocabulary_from_list(spark, ["de-la-soul"] + DRIVER_VOCABULARY)
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    a = tag_skills(df, "id", v, method="arrow")
+    b = tag_skills(df, "id", v, method="native")
+    assert a.count() > 100
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
