@@ -149,3 +149,13 @@ def test_arrow_equals_java_twin_on_adversarial_texts(spark):
     b = tag_skills(df, "id", v, method="native")
     assert a.count() > 100
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_null_texts_give_no_rows_in_every_path(spark):
+    from jobmatch.operators.tagging import tag_stats
+    df = spark.createDataFrame([(1, None), (2, "java")], "id long, text string")
+    v = vocabulary_from_list(spark, ["java"])
+    for m in ("arrow", "native"):
+        assert [(r.id, r.skill, r.tf) for r in tag_skills(df, "id", v, method=m).collect()] == [(2, "java", 1)]
+    st = {r.id: (r.n_words, r.bag_size) for r in tag_stats(df, "id", v).collect()}
+    assert st[2] == (1, 1) and st[1][1] == 0

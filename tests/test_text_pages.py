@@ -192,7 +192,8 @@ def test_rfc850_ignores_session_zone(spark):
 def test_word_line_index_row_equals_group(spark):
     from tests.conftest import SF
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
-    extra = spark.createDataFrame([(-1, ""), (-2, "  \n "), (-3, "b a\n\na b a")], "doc_id long, text string")
+    extra = spark.createDataFrame([(-1, ""), (-2, "  \n "), (-3, "b a\n\na b a"), (-4, None)],
+                                  "doc_id long, text string")
     docs = docs.unionByName(extra)
     a = textflows.word_line_index(docs, "doc_id", method="row")
     b = textflows.word_line_index(docs, "doc_id", method="group")
