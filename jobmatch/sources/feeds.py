@@ -28,11 +28,15 @@ def read_feed_items(spark: SparkSession, path: str) -> DataFrame:
     raw = (spark.read.format("xml").option("rowTag", "item").option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", "_corrupt_record")
            .schema(ITEM_SCHEMA).load(path))
-    f = F.col("_metadata.file_name")
+    f = F.col("_metadata.file_path")
     df = raw.select("*", f.alias("_file"), F.monotonically_increasing_id().alias("_mid"))
     item_index = F.row_number().over(Window.partitionBy("_file").orderBy("_mid")) - 1
+    # a landing folder partitioned by feed (feed_index=N/) names the feed; otherwise
+    # the digits of the file name do
+    feed = (F.col("feed_index").cast("int") if "feed_index" in raw.columns
+            else F.regexp_extract(F.regexp_replace("_file", "^.*/", ""), FEED_FILE_INDEX, 1).cast("int"))
     return df.select(
-        F.regexp_extract("_file", FEED_FILE_INDEX, 1).cast("int").alias("feed_index"),
+        feed.alias("feed_index"),
         item_index.cast("bigint").alias("item_index"),
         "guid", "title", F.col("author.name").alias("author"), "category", "_corrupt_record")
 

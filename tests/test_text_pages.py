@@ -200,3 +200,15 @@ def test_word_line_index_row_equals_group(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     got = {r.word: r.line_numbers for r in a.filter("doc_id = -3").collect()}
     assert got == {"a": "[0 2 2]", "b": "[0 2]"}
+
+
+def test_feed_index_from_partitioned_landing(spark, tmp_path):
+    """Feeds landed by Spark, one folder per feed, read back with their feed index and
+    item positions."""
+    from jobmatch.streaming.jobs import land_feed_items
+    items = spark.createDataFrame(
+        [(2, 0, "g1", "t", ["java"]), (2, 1, "g2", "t", []), (5, 0, "g3", "t", ["go"])],
+        "feed_index int, item_index long, guid string, title string, category array<string>")
+    land_feed_items(items, str(tmp_path / "land"))
+    got = sorted((r.feed_index, r.guid) for r in feeds.read_feed_items(spark, str(tmp_path / "land")).collect())
+    assert got == [(2, "g1"), (2, "g2"), (5, "g3")]
