@@ -63,3 +63,11 @@ def test_extra_literals_make_node_js_findable(spark):
     assert tag_skills(df, "id", v).count() == 0
     got = tag_skills(df, "id", v, literals=QUOTED_LITERALS + ("node.js",)).collect()
     assert [(r.skill, r.tf) for r in got] == [("node.js", 2)]
+
+
+def test_clean_and_unescape_column_functions(spark):
+    from jobmatch.functions.clean import clean_text, unescape_html
+    df = spark.createDataFrame([("café …\t&amp;amp;",), (None,)], "v string")
+    got = df.select(clean_text("v").alias("c")).select("c", unescape_html("c").alias("u")).collect()
+    assert (got[0].c, got[0].u) == ("cafe ...&amp;amp;", "cafe ...&amp;")
+    assert got[1].c is None and got[1].u is None
