@@ -68,14 +68,17 @@ def shuffle_partitions(spark) -> int:
 
 
 SPREAD_MAX_ROWS = 1_000_000
+SPREAD_MIN_ROWS = 1_000
 
 
-def spread_if_narrow(df: DataFrame, max_rows: int = SPREAD_MAX_ROWS) -> DataFrame:
+def spread_if_narrow(df: DataFrame, max_rows: int = SPREAD_MAX_ROWS,
+                     min_rows: int = SPREAD_MIN_ROWS) -> DataFrame:
     """Give a CPU-bound stage every core.  Only when the scan yields fewer partitions
     than the cluster has cores *and* the input is proven small (at most ``max_rows``
     rows) is it spread round-robin; anything larger keeps its scan partitioning, so
-    a corpus is never shuffled just to balance it.  The partition test is planning
-    only; the row bound reads no columns."""
+    a corpus is never shuffled just to balance it.  Below ``min_rows`` one task is
+    quicker than a shuffle.  The partition test is planning only; the row bound
+    reads no columns."""
     from ..session import spark_context
     sc = spark_context(df.sparkSession)
     if sc is None:          # Spark Connect: no partition count at planning time
@@ -85,5 +88,6 @@ def spread_if_narrow(df: DataFrame, max_rows: int = SPREAD_MAX_ROWS) -> DataFram
         n = bounded_count(df.select(), max_rows)
         if n <= max_rows:
             remember_count(df, n)
-            return remember_count(df.repartition(cores), n)
+            if n >= min_rows:
+                return remember_count(df.repartition(cores), n)
     return df

@@ -27,10 +27,12 @@ def test_bounded_count_and_broadcast_decision(spark):
 
 def test_spread_only_small_narrow_inputs(spark):
     cores = spark.sparkContext.defaultParallelism
-    one = spark.range(100).coalesce(1)
+    one = spark.range(5000).coalesce(1)
     assert sizing.spread_if_narrow(one).rdd.getNumPartitions() == cores
     # more rows than the bound: keeps its partitioning
     assert sizing.spread_if_narrow(one, max_rows=10).rdd.getNumPartitions() == 1
+    # fewer rows than worth a shuffle: one task
+    assert sizing.spread_if_narrow(spark.range(100).coalesce(1)).rdd.getNumPartitions() == 1
 
 
 def test_empty_vocabulary_tags_nothing(spark):
