@@ -37,10 +37,15 @@ def ingest_job(spark: SparkSession, raw: DataFrame, store_path: str, ingest_ts:
                selectors=pages.SITE_SELECTORS) -> DataFrame:
     """R6 + K3: extract and store the pages not stored yet; returns the totals
     ``(passed, failed)`` of this run (a small frame to show or log)."""
+    from pyspark.errors import AnalysisException
     from ..sources.models import read_job_docs
     try:
         stored = read_job_docs(spark, store_path).select("doc_name")
-    except Exception:  # first run: nothing stored yet
+    except AnalysisException as e:
+        # only a missing store means "first run"; any other error must stop the run,
+        # or everything would be ingested again
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            raise
         stored = spark.createDataFrame([], "doc_name string")
     # the store grows with every run: cut it to this run's names before the anti join
     docs, totals = pages.ingest_pages(raw, stored, ingest_ts, selectors, reduce_store=True)

@@ -212,3 +212,18 @@ def test_feed_index_from_partitioned_landing(spark, tmp_path):
     land_feed_items(items, str(tmp_path / "land"))
     got = sorted((r.feed_index, r.guid) for r in feeds.read_feed_items(spark, str(tmp_path / "land")).collect())
     assert got == [(2, "g1"), (2, "g2"), (5, "g3")]
+
+
+def test_ingest_job_first_run_and_rerun(spark, tmp_path):
+    """First run into a missing store ingests; a second run adds nothing."""
+    from jobmatch.plans.batch_jobs import ingest_job
+    html = open(os.path.join(FIXTURES, "job_page.html"), encoding="utf-8").read()
+    raw = spark.createDataFrame([("http://x/jobs/1/a", html, 200), ("http://x/jobs/2/b", html, 404)],
+                                "url string, html string, http_status int")
+    ts = F.lit("2026-12-01T18:00:00Z").cast("timestamp")
+    store = str(tmp_path / "store")
+    t1 = ingest_job(spark, raw, store, ts).first()
+    assert (t1.passed, t1.failed) == (1, 1)
+    t2 = ingest_job(spark, raw, store, ts).first()
+    assert (t2.passed, t2.failed) == (0, 1)
+    assert spark.read.parquet(store).count() == 1
