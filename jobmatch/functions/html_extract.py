@@ -27,10 +27,11 @@ HEAD_TAGS = frozenset(("title", "meta", "link", "style", "script", "base", "nosc
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children", "parent")
+    __slots__ = ("tag", "attrs", "children", "parent", "ids")
 
     def __init__(self, tag: str, attrs: dict, parent: "Node | None"):
         self.tag, self.attrs, self.children, self.parent = tag, attrs, [], parent
+        self.ids = None     # on the document node: id -> first element with it
 
     def text(self) -> str:
         """All text below this element, in document order."""
@@ -49,6 +50,7 @@ class _Builder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.clean = clean
         self.root = Node("#document", {}, None)
+        self.root.ids = {}
         self.cur = self.root
 
     def _open(self, tag: str) -> bool:
@@ -113,6 +115,9 @@ class _Builder(HTMLParser):
                 self.cur = n.parent
         node = Node(tag, dict(attrs), self.cur)
         self.cur.children.append(node)
+        ident = node.attrs.get("id")
+        if ident is not None and ident not in self.root.ids:
+            self.root.ids[ident] = node
         if tag not in VOID:
             self.cur = node
 
@@ -158,6 +163,8 @@ def _descendants(n: Node):
 
 
 def _find_id(n: Node, ident: str) -> Node | None:
+    if n.ids is not None:          # the document node indexes ids while parsing
+        return n.ids.get(ident)
     for d in _descendants(n):
         if d.attrs.get("id") == ident:
             return d
