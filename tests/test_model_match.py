@@ -169,3 +169,24 @@ def test_match_job_chunks_equal_batch(spark, tmp_path, monkeypatch):
     want = sorted(map(tuple, match.match_batch(r, m, v, dkey="doc_id").collect()))
     assert got == want and got
     assert batch_jobs.match_job(spark, r, "test_match_job_model", v, str(tmp_path / "out"), dkey="doc_id") == n
+
+
+def test_stream_ingest_across_runs(spark, tmp_path):
+    """A second run with the same checkpoint reads only the new feed files, and a name
+    stored by the first run is not stored again."""
+    from jobmatch.streaming import jobs
+    schema = "feed_index int, item_index long, guid string, title string, category array<string>"
+    land, store, ck = str(tmp_path / "land"), str(tmp_path / "store"), str(tmp_path / "ck")
+    jobs.seed_store(spark.createDataFrame([("jobs_sof/x_jobs_0",)], "doc_name string"), store)
+    first = spark.createDataFrame([(1, 0, "http://x/jobs/0", "t", []), (1, 1, "http://x/jobs/1", "t", [])], schema)
+    jobs.land_feed_items(first, land)
+    jobs.stream_ingest(spark, land, store, ck).awaitTermination()
+    second = spark.createDataFrame([(2, 0, "https://x/jobs/1", "t", []), (2, 1, "http://x/jobs/2", "t", [])], schema)
+    jobs.land_feed_items(second.filter("feed_index = 2"), land + "_2")
+    import shutil
+    shutil.copytree(land + "_2/feed_index=2", land + "/feed_index=2")
+    jobs.stream_ingest(spark, land, store, ck).awaitTermination()
+    stored = spark.read.parquet(store).filter("batch >= 0")
+    names = sorted(r.doc_name for r in stored.collect())
+    assert names == ["jobs_sof/x_jobs_1", "jobs_sof/x_jobs_2"]
+    assert stored.select("batch").distinct().count() == 2     # one batch per run
