@@ -255,7 +255,7 @@ def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     wd = jobs.work_dir(spark, "counts")
     jobs.land_feed_items(tables.feed_items(spark, sf_dir), f"{wd}/land")
     jobs.stream_skill_counts(spark, f"{wd}/land", f"{wd}/out", f"{wd}/ck").awaitTermination()
-    return spark.read.parquet(f"{wd}/out").select("skill", "count")
+    return jobs.current_counts(spark, f"{wd}/out").select("skill", "count")
 
 
 def stream_match(spark: SparkSession, sf_dir: str) -> DataFrame:

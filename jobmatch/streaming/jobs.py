@@ -1,7 +1,8 @@
 """Structured Streaming jobs.
 
 * ``stream_skill_counts`` (R4): running skill counts over landed feed files,
-  ``groupBy(skill).count()`` in complete mode; the state holds one row per skill.
+  ``groupBy(skill).count()`` in update mode; the state holds one row per skill and
+  each batch writes only the skills it changed.
 * ``stream_match`` (R2): resumes arrive as files; each micro-batch is tagged and
   matched against the stored model (read once per batch from Parquet, never
   rebuilt) with the batch operator ``match_batch``.
@@ -49,25 +50,33 @@ def read_feed_stream(spark: SparkSession, landing: str, files_per_batch: int = 1
             .option("maxFilesPerTrigger", files_per_batch).load(landing))
 
 
-def _batch_writer(out: str, mode_complete: bool = False):
+def _batch_writer(out: str):
     def write(df: DataFrame, batch_id: int) -> None:
-        target = out if mode_complete else f"{out}/batch={batch_id}"
-        df.write.mode("overwrite").parquet(target)
+        df.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
     return write
 
 
 def stream_skill_counts(spark: SparkSession, landing: str, out: str, checkpoint: str,
                         files_per_batch: int = 1):
-    """Running counts per skill; ``out`` always holds the latest complete state."""
+    """Running counts per skill.  Update mode: each micro-batch writes only the
+    skills whose count changed, into its own folder ``batch=N`` (a retry overwrites
+    it), so a batch costs what it changed, not the whole table; ``current_counts``
+    reads the latest count of every skill."""
     items = read_feed_stream(spark, landing, files_per_batch).filter(F.col("_corrupt_record").isNull())
     counts = (items.select(F.explode("category").alias("skill"))
                    .groupBy("skill").agg(F.count(F.lit(1)).alias("count")))
-    return (counts.writeStream.outputMode("complete")
-                  .foreachBatch(_batch_writer(out, mode_complete=True))
+    return (counts.writeStream.outputMode("update")
+                  .foreachBatch(_batch_writer(out))
                   .option("checkpointLocation", checkpoint)
                   .trigger(availableNow=True).start())
 
 
+def current_counts(spark: SparkSession, out: str) -> DataFrame:
+    """The latest count per skill from the update-mode sink (partial ``max_by``)."""
+    return (spark.read.parquet(out).groupBy("skill")
+                 .agg(F.max_by("count", "batch").alias("count")))
+
+
 def stream_match(spark: SparkSession, resume_dir: str, resume_schema: str, model_table: str,
                  vocabulary: DataFrame, out: str, checkpoint: str, qkey: str = "resume_id",
                  dkey: str = "doc_id", k: int = match.WEB_TOP, files_per_batch: int = 1):
