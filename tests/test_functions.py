@@ -71,3 +71,14 @@ def test_clean_and_unescape_column_functions(spark):
     got = df.select(clean_text("v").alias("c")).select("c", unescape_html("c").alias("u")).collect()
     assert (got[0].c, got[0].u) == ("cafe ...&amp;amp;", "cafe ...&amp;")
     assert got[1].c is None and got[1].u is None
+
+
+def test_sorted_skills_and_sharded_lines(spark, tmp_path):
+    from jobmatch.operators.skills import sorted_skills
+    from jobmatch.sources.text import text_lines
+    c = spark.createDataFrame([("b", 2), ("a", 2), ("c", 5)], "skill string, count long")
+    assert [r.skill for r in sorted_skills(c).collect()] == ["c", "a", "b"]
+    p = tmp_path / "t.txt"
+    p.write_text("x y\n# c\nz\n")
+    lines = text_lines(spark, str(p), shards=3)
+    assert lines.rdd.getNumPartitions() == 3 and sorted(r.line for r in lines.collect()) == ["# c", "x y", "z"]
