@@ -47,3 +47,13 @@ def test_matching_plan(spark, qs, name):
 def test_no_nested_loops(spark, qs, name):
     plan = final_plan(qs[name](spark, SF))
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_document_count_reads_no_columns(spark, qs):
+    """The IDF's document count is a scalar subquery over the scan with nothing read."""
+    df = qs["model_weights"](spark, SF)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    schemas = read_schemas(plan)
+    assert "struct<>" in schemas
+    assert "struct<doc_id:bigint,text:string>" in schemas
