@@ -63,9 +63,14 @@ def match_batch(resumes: DataFrame, model: DataFrame, vocabulary,
                 qkey: str = "resume_id", dkey: str = "doc_name", k: int = WEB_TOP,
                 text_col: str = "text", literals=QUOTED_LITERALS,
                 broadcast_query: bool | None = None,
-                max_query_rows: int | None = None) -> DataFrame:
+                max_query_rows: int | None = None,
+                pad_docs: DataFrame | None = None) -> DataFrame:
     """Many resumes at once -> ``(qkey, dkey, score, rank)``, rank 1..k.
 
+    ``pad_docs`` (all document keys, also those without skills) fills every list
+    shorter than k with unmatched documents by name at score 0 (Q10); off by
+    default, when only matches are returned.
+
     Every resume yields at most |vocabulary| query rows, so the query side is
     broadcast when ``resumes * |vocabulary|`` is proven to fit.  A larger resume set
     is cut by hash of its key into chunks that each fit, and every chunk is a
@@ -79,14 +84,17 @@ def match_batch(resumes: DataFrame, model: DataFrame, vocabulary,
     if broadcast_query is None:
         broadcast_query = fits(resumes, per_chunk)      # r is a 1:1 projection of it
     if broadcast_query:
-        return _match_chunk(r, model, vocabulary, qkey, dkey, k, literals)
-    n_chunks = -(-resumes.count() // per_chunk)
-    chunk = F.pmod(F.xxhash64(F.col(qkey)), F.lit(n_chunks))
-    parts = [_match_chunk(r.filter(chunk == c), model, vocabulary, qkey, dkey, k, literals)
-             for c in range(n_chunks)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        out = _match_chunk(r, model, vocabulary, qkey, dkey, k, literals)
+    else:
+        n_chunks = -(-resumes.count() // per_chunk)
+        chunk = F.pmod(F.xxhash64(F.col(qkey)), F.lit(n_chunks))
+        parts = [_match_chunk(r.filter(chunk == c), model, vocabulary, qkey, dkey, k, literals)
+                 for c in range(n_chunks)]
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+    if pad_docs is not None:
+        out = pad_with_unmatched(out, r.select(qkey), pad_docs.select(dkey), qkey, dkey, k)
     return out
 
 

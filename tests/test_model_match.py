@@ -190,3 +190,27 @@ def test_stream_ingest_across_runs(spark, tmp_path):
     names = sorted(r.doc_name for r in stored.collect())
     assert names == ["jobs_sof/x_jobs_1", "jobs_sof/x_jobs_2"]
     assert stored.select("batch").distinct().count() == 2     # one batch per run
+
+
+def test_match_batch_pad_zero(spark):
+    """Q10 option: every resume gets k rows; matches first, then unmatched documents by
+    name at score 0."""
+    from jobmatch.sources import tables
+    from jobmatch.sources.vocabulary import driver_vocabulary
+    from tests.conftest import SF
+    v = driver_vocabulary(spark)
+    jobs = tables.jobs(spark, SF)
+    m = model.build_model(jobs, "doc_id", v)
+    r = tables.resumes(spark, SF)
+    plain = match.match_batch(r, m, v, dkey="doc_id", k=25).collect()
+    padded = match.match_batch(r, m, v, dkey="doc_id", k=25, pad_docs=jobs).collect()
+    per = {}
+    for row in padded:
+        per.setdefault(row.resume_id, []).append(row)
+    assert len(per) == r.count() and all(len(x) == 25 for x in per.values())
+    assert set(map(tuple, plain)) <= set(map(tuple, padded))
+    for rows in per.values():
+        rows.sort(key=lambda x: x.rank)
+        assert [x.rank for x in rows] == list(range(1, 26))
+        zeros = [x for x in rows if x.score == 0.0]
+        assert [x.doc_id for x in zeros] == sorted(x.doc_id for x in zeros)
