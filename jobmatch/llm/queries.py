@@ -3,15 +3,37 @@ whole table."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality
+from . import binary_output, odd_sketch, packing, quality, sharding, token_counts
 from .common import table
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.digests(table(spark, sf_dir, "documents"))
+
+
+def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return binary_output.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_quality_rules,)}
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return odd_sketch.near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_sharding, op3_token_ids, op4_quality_rules, op6_token_counts, op7_packing, op9_near_dedup)}
 SQL: dict[str, str] = {}
