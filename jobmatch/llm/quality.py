@@ -16,47 +16,53 @@ import functools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, lower_ascii, words_of
+from .common import SPACE, WORD
 
 # Base rule.
 MIN_WORDS = 20
 MAX_REPEATED = 30        # per cent of the words, in windows of:
 WINDOW = 8
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
 # Line rules.  The words of a line are counted by its spaces.
 SENTENCE_END = r"""[.!?…。！？]["'”’»)\]]*(?:[\x20\x09-\x0D]|$)"""
-SEPARATORS = "|»›·•"
+SEPARATORS = "[|»›·•]"
 MIN_SEPARATORS = 2       # and at least one for every four words
 MAX_SYMBOL_SHARE = 10    # per cent of the characters of the line
-BOILERPLATE = ("enable javascript", "requires javascript", "uses cookies", "use cookies",
-               "cookie policy", "privacy policy", "terms of use", "terms of service",
-               "all rights reserved", "lorem ipsum", "click here to", "subscribe to our")
+BOILERPLATE = ("nable JavaScript", "nable Javascript", "requires JavaScript", "uses cookies", "use cookies",
+               "ookie policy", "ookie Policy", "rivacy policy", "rivacy Policy", "erms of use", "erms of Use",
+               "erms of service", "erms of Service", "ll rights reserved", "ll Rights Reserved",
+               "orem ipsum", "lick here to", "ubscribe to our")
 # A document is rejected if more than this per cent of its word characters is removed.
 MAX_LOST = 50
 
 
-def _count(text: Column, chars: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, chars, ""))
+def _count(text: Column, pattern: str) -> Column:
+    return F.regexp_count(text, F.lit(pattern))
 
 
-def _has_boilerplate(lowered: Column) -> Column:
-    return functools.reduce(lambda a, b: a | b, [F.contains(lowered, F.lit(x)) for x in BOILERPLATE])
+def _word_chars(words: Column) -> Column:
+    """Code points in words."""
+    return F.length(F.array_join(words, "")).cast("long")
 
 
-def line_passes(line: Column) -> Column:
-    """Whether a line stays, boilerplate aside; one without a word does."""
-    words = 1 + _count(line, " ")
-    separators, shouts = _count(line, SEPARATORS), _count(line, "!")
-    prose = (line.rlike(SENTENCE_END)
-             & ~((separators >= MIN_SEPARATORS) & (separators * 4 >= words))
-             & ~((shouts >= 3) & (shouts * 3 > words))
-             & (_count(line, SYMBOLS) * 100 <= F.length(line) * MAX_SYMBOL_SHARE))
-    return prose | ~line.rlike(WORD)
+def _has_boilerplate(text: Column) -> Column:
+    return functools.reduce(lambda a, b: a | b, [F.contains(text, F.lit(x)) for x in BOILERPLATE])
 
 
-def word_chars(text: Column) -> Column:
-    """Code points in words."""
-    return F.length(F.translate(text, " \t\n\x0b\x0c\r", "")).cast("long")
+def _unended(line: Column) -> Column:
+    return ~F.endswith(line, F.lit(".")) & ~line.rlike(SENTENCE_END) & line.rlike(WORD)
+
+
+def line_fails(line: Column) -> Column:
+    """Whether a line is removed; one without a word never is."""
+    spaces = F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit("")))
+    separators, shouts = _count(line, SEPARATORS), _count(line, "!")
+    return line.rlike(WORD) & (
+        _unended(line)
+        | (separators >= MIN_SEPARATORS) & (separators * 4 > spaces)
+        | (shouts >= 3) & (shouts * 3 > spaces + 1)
+        | (_count(line, SYMBOLS) * 100 > F.length(line) * MAX_SYMBOL_SHARE)
+        | _has_boilerplate(line))
 
 
 def _covered(windows: Column) -> Column:
@@ -70,68 +76,68 @@ def _covered(windows: Column) -> Column:
 
 
 def _joined(step: int):
-    later = lambda i: F.get(F.col("win"), i + step)
-    return lambda h, i: F.when(later(i).isNotNull(), F.xxhash64(h, later(i)))
+    """Hashes of runs of words, each of two shorter runs; past the end, of what there is.
+    Runs of unlike numbers of words are hashed unlike, so these equal no others."""
+    return lambda h, i: F.xxhash64(h, F.get(F.col("win"), i + step))
 
 
 def judge(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``row`` (all input columns), the digests of the base rule, ``base_failed``,
-    ``lines_removed``, ``lost_chars``, ``kept`` and ``cleaned`` (the text without its
-    failing lines) for every row of ``docs``.
+    """``row`` (all input columns), ``t`` (the text), ``lines``, the digests of the base rule,
+    ``base_failed``, ``removed`` (the failing lines), ``lost_chars`` and ``kept`` for every
+    row of ``docs``.
 
-    Windows are compared by 64-bit hashes within one text."""
+    Windows are compared by 64-bit hashes within one text.  A column that a lambda reads
+    must be read outside it too, or it is computed again for each element."""
     df = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    df = df.select("row", "t", words_of(F.col("t")).alias("w"), F.split("t", "\n", -1).alias("lines"),
-                   lower_ascii(F.col("t")).alias("low"))
-    df = df.select("row", "t", "lines", _has_boilerplate(F.col("low")).alias("suspect"), F.size("w").cast("long").alias("n_words"),
-                   F.transform("w", lambda w: F.xxhash64(w)).alias("w"))
-    # Hashes of runs of 2, 4 and 8 words, each of two of the shorter; none past the end.
-    df = df.withColumn("win", F.col("w"))
+    df = df.select("row", "t", F.btrim("t", F.lit(" \t\n\x0b\x0c\r")).alias("w"), F.split("t", "\n", -1).alias("lines"),
+                   _count(F.col("t"), SYMBOLS).cast("long").alias("n_symbols"))
+    df = df.withColumn("w", F.when(F.col("w") == "", F.array().cast("array<string>"))
+                       .otherwise(F.split("w", SPACE, -1)))
+    # Most texts have nothing that the costlier line rules look for.
+    suspect = (F.col("n_symbols") > 0) | F.contains("t", F.lit("!")) | F.col("t").rlike(SEPARATORS) \
+        | _has_boilerplate(F.col("t"))
+    df = df.select(
+        "row", "t", "lines", "n_symbols", F.size("w").cast("long").alias("n_words"),
+        _word_chars(F.col("w")).alias("word_chars"), F.transform("w", lambda w: F.xxhash64(w)).alias("win"),
+        F.when(suspect, F.filter("lines", line_fails)).otherwise(F.filter("lines", _unended)).alias("removed"),
+        F.filter("lines", lambda x: x.rlike(WORD)).alias("worded"))
     for step in (1, 2, 4):
         df = df.withColumn("win", F.transform("win", _joined(step)))
-    df = df.withColumn("win", F.slice("win", F.lit(1), F.greatest(F.size("win") - (WINDOW - 1), F.lit(0))))
     # Only a text that has some window twice is sorted.
     df = df.withColumn("win", F.when(
         F.size(F.array_distinct("win")) < F.size("win"),
         F.sort_array(F.transform("win", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
     near = lambda i, d: F.get(F.col("win"), i + d)["h"]
-    df = df.withColumn("win", F.sort_array(F.filter(F.transform(
+    df = df.withColumn("win", F.when(F.col("win").isNotNull(), F.sort_array(F.filter(F.transform(
         "win", lambda x, i: F.when(F.coalesce(x["h"] == near(i, -1), F.lit(False))
                                    | F.coalesce(x["h"] == near(i, 1), F.lit(False)), x["i"])),
-        lambda p: p.isNotNull())))
-    worded = F.filter("lines", lambda x: x.rlike(WORD))
-    df = df.select(
-        "row", "t", "n_words", worded.alias("worded"),
-        F.filter("lines", line_passes).alias("stay"), "suspect", F.size("lines").alias("n_lines"),
-        F.coalesce(_covered(F.col("win")), F.lit(0).cast("long")).alias("n_repeat_words"))
-    # The lines are searched for boilerplate only where the whole text has some.
-    df = df.withColumn("stay", F.when(F.col("suspect"), F.filter(
-        "stay", lambda x: ~_has_boilerplate(lower_ascii(x)))).otherwise(F.col("stay")))
+        lambda p: p.isNotNull()))))
     df = df.select(
-        "row", "n_words", word_chars(F.col("t")).alias("word_chars"),
-        (F.length("t") - F.length(F.translate("t", SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        "row", "t", "lines", "removed", "n_words", "word_chars", "n_symbols",
         (F.size("worded") - F.size(F.array_distinct("worded"))).cast("long").alias("n_dup_lines"),
-        "n_repeat_words",
-        ((F.col("n_words") < MIN_WORDS)
-         | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEATED)).alias("base_failed"),
-        (F.col("n_lines") - F.size("stay")).cast("long").alias("lines_removed"),
-        F.array_join("stay", "\n").alias("cleaned"))
-    df = df.withColumn("lost_chars", F.col("word_chars") - word_chars(F.col("cleaned")))
+        F.coalesce(_covered(F.col("win")), F.lit(0).cast("long")).alias("n_repeat_words"),
+        F.when(F.size("removed") > 0, F.length(F.regexp_replace(F.array_join("removed", ""), SPACE, "")))
+        .otherwise(F.lit(0)).cast("long").alias("lost_chars"))
+    df = df.withColumn("base_failed", (F.col("n_words") < MIN_WORDS)
+                       | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEATED))
     return df.withColumn("kept", ~F.col("base_failed")
                          & (F.col("lost_chars") * 100 <= F.col("word_chars") * MAX_LOST))
 
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The digests and verdicts of ``judge``, one row for each document."""
-    return judge(docs, text_col).select(
-        F.col(f"row.{id_col}").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
-        "n_repeat_words", "base_failed", "kept", "lines_removed", "lost_chars")
+    return judge(docs.select(id_col, text_col), text_col).select(
+        F.col("row")[id_col].alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
+        "n_repeat_words", "base_failed", "kept", F.size("removed").cast("long").alias("n_removed_lines"),
+        "lost_chars")
 
 
 def clean(docs: DataFrame, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
     """The documents that are kept, without their failing lines; same columns as
     ``docs``.  ``length_col``, if there is one, holds the new length in code points."""
     df = judge(docs, text_col).where("kept")
+    df = df.withColumn("cleaned", F.when(F.size("removed") == 0, F.col("t")).otherwise(
+        F.array_join(F.filter("lines", lambda x: ~line_fails(x)), "\n")))
     new = {text_col: F.col("cleaned"), length_col: F.length("cleaned").cast("long")}
     return df.select(*[(new[c].cast(t) if c in new else F.col("row")[c]).alias(c)
                        for c, t in docs.dtypes])
