@@ -43,6 +43,14 @@ def shingles_of(words: Column, n: int) -> Column:
             .otherwise(F.array().cast("array<string>")))
 
 
+def where_computed(df: DataFrame, condition: Column) -> DataFrame:
+    """``df.where(condition)`` for a condition on costly columns.  A plain filter would be
+    pushed below the projections that make them, and they would be made twice; the running
+    number keeps it above."""
+    return df.withColumn("_place", F.monotonically_increasing_id()).where(
+        condition & (F.col("_place") >= 0)).drop("_place")
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A new folder in the cluster's shared checkpoint folder, removed when the
     application ends."""
@@ -77,3 +85,23 @@ def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``rows`` rows, counted on its stored
     files; else as it is, and the join shuffles."""
     return F.broadcast(df) if df.count() <= rows else df
+
+
+def _joined(step: int, right: str):
+    return lambda h, i: F.xxhash64(h, F.get(F.col(right), i + step))
+
+
+def with_shingle_hashes(df: DataFrame, text: str, name: str) -> DataFrame:
+    """``df`` with ``name``, the hashes of the five-word shingles of column ``text`` in
+    order; the whole sequence is one shingle if there are fewer words; none without
+    words.  A run's hash joins those of two shorter runs, so each word costs a few steps."""
+    words, runs = f"{name}_words", name
+    df = df.withColumn(words, words_of(lower_ascii(F.col(text))))
+    df = df.withColumn(words, F.transform(words, lambda w: F.xxhash64(w))).withColumn(runs, F.col(words))
+    for step in (1, 2):
+        df = df.withColumn(runs, F.transform(runs, _joined(step, runs)))
+    # Both columns are read outside the lambdas too, or they would be computed for each element.
+    n = F.size(words)
+    df = df.withColumn(runs, F.when((n > 0) & (F.size(runs) == n), F.transform(runs, _joined(4, words))))
+    return df.withColumn(runs, F.when(F.size(runs) == n, F.filter(
+        runs, lambda h, i: i < F.greatest(n - 4, F.lit(1)))).otherwise(F.array().cast("array<bigint>"))).drop(words)

@@ -242,3 +242,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: int = THRESHOL
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def deduplicate(docs: DataFrame, shingle: int = 5, threshold: int = THRESHOLD, id_col: str = "doc_id",
+                text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each component, the one with the smallest id; same
+    columns.  Rows that share an id are one document and stay or go together; rows without
+    an id go together, if any of them is linked with a document that has one."""
+    gone = stored(near_duplicates(docs, shingle, threshold, id_col, text_col).where("not kept")
+                  .select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    return docs.join(small_side(gone), docs[id_col].eqNullSafe(F.col("_gone")), "left_anti")

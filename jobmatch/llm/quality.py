@@ -16,7 +16,7 @@ import functools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, WORD
+from .common import SPACE, WORD, where_computed
 
 # Base rule.
 MIN_WORDS = 20
@@ -135,7 +135,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def clean(docs: DataFrame, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
     """The documents that are kept, without their failing lines; same columns as
     ``docs``.  ``length_col``, if there is one, holds the new length in code points."""
-    df = judge(docs, text_col).where("kept")
+    df = where_computed(judge(docs, text_col), F.col("kept"))
     df = df.withColumn("cleaned", F.when(F.size("removed") == 0, F.col("t")).otherwise(
         F.array_join(F.filter("lines", lambda x: ~line_fails(x)), "\n")))
     new = {text_col: F.col("cleaned"), length_col: F.length("cleaned").cast("long")}

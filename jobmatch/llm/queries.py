@@ -6,7 +6,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import binary_output, odd_sketch, packing, quality, sharding, token_counts
+from . import (binary_output, decontamination, html_templates, maxent, odd_sketch, packing, quality, secrets,
+               sharding, token_counts)
 from .common import table
 
 
@@ -14,6 +15,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digests(table(spark, sf_dir, "documents"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary_output.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -22,6 +27,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_templates.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -30,10 +39,19 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.scores(table(spark, sf_dir, "documents"))
+
+
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return odd_sketch.near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
 
 
+def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_sharding, op3_token_ids, op4_quality_rules, op6_token_counts, op7_packing, op9_near_dedup)}
+    op1_sharding, op2_decontamination, op3_token_ids, op4_quality_rules, op5_html_extraction, op6_token_counts,
+    op7_packing, op8_lm_scoring, op9_near_dedup, op10_secret_scans)}
 SQL: dict[str, str] = {}
