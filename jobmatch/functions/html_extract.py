@@ -121,6 +121,10 @@ class _Builder(HTMLParser):
         if tag not in VOID:
             self.cur = node
 
+    def parse_marked_section(self, i, report=1):
+        """``<![foo[ ... ]]>`` is a comment up to the next ``>``; parsing goes on after it."""
+        return self.parse_bogus_comment(i)
+
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID:

@@ -1,14 +1,13 @@
 """Matching resumes against the model.
 
 Scores are a sparse dot product: ``model JOIN query ON skill`` then a sum per
-(resume, doc).  Only documents that share a skill with a resume meet it.
-The query side is always broadcast behind a proven row bound; a resume set past
-the bound is cut into hash chunks that each fit (``match_batch``), so the join
-never shuffles on ``skill``.  With the model partitioned by document (built in
-the same plan, or a bucketed table) the score sum needs no shuffle.  Top-k per
-resume is a ``row_number`` window filtered to ``<= k``, which Spark plans as a
-partial ``WindowGroupLimit`` before the shuffle, so a resume with many
-candidates sends at most k rows per task.
+(resume, doc).  Only documents that share a skill of positive weight with a resume
+meet it: a skill that every document has weighs nothing and joins nothing.  There is
+one plan for every size: Spark picks the join from the sizes it sees at run time and
+splits skewed skills, partial sums run before the shuffle by (resume, doc), and top-k
+per resume is a ``row_number`` window filtered to ``<= k``, which Spark plans as a
+partial ``WindowGroupLimit`` before the shuffle, so a resume with many candidates sends
+at most k rows per task.
 """
 
 from __future__ import annotations
@@ -17,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import SITE_PREFIX
-from ..plans.sizing import MAX_BROADCAST_ROWS, TooLargeToBroadcast, fits
 from ..sources.resumes import resume_requests
 from .model import query_vectors
 from .tagging import QUOTED_LITERALS, prepare_vocabulary, tag_skills
@@ -31,29 +29,24 @@ LINK_FORMAT = '<div><a href="%s" target="_blank">%s</a></div>\n'
 LINKS_CLOSE = "</div>"
 
 SCORE_DIGITS = 6
+TIE_DIGITS = 12
 
 
-def score_pairs(query: DataFrame, model: DataFrame, qkey: str, dkey: str,
-                broadcast_query: bool | None = None) -> DataFrame:
-    """J5 + A10: ``(qkey, dkey, score)`` for every pair sharing a skill.  The query side
-    is always broadcast and must be proven small (``broadcast_query=True`` states a
-    bound the caller proved); a larger query set goes through ``match_batch``, which
-    cuts it into chunks.  The model streams through the join, so a skill shared by a
-    large share of all documents never becomes a hot shuffle partition."""
-    q = query.select(qkey, "skill", "qw")
-    if not broadcast_query and not fits(q, MAX_BROADCAST_ROWS):
-        raise TooLargeToBroadcast("query side too large to broadcast; use match_batch, which chunks it")
-    m = model.select(dkey, "skill", "weight")
-    pairs = m.join(F.broadcast(q), "skill")
-    return pairs.groupBy(qkey, dkey).agg(F.sum(F.col("qw") * F.col("weight")).alias("score"))
+def score_pairs(query: DataFrame, model: DataFrame, qkey: str, dkey: str) -> DataFrame:
+    """J5 + A10: ``(qkey, dkey, score)`` for every pair sharing a skill that weighs
+    something on both sides (the others add 0)."""
+    q = query.select(qkey, "skill", "qw").filter(F.col("qw") > 0)
+    m = model.select(dkey, "skill", "weight").filter(F.col("weight") > 0)
+    return (m.join(q, "skill").groupBy(qkey, dkey)
+             .agg(F.sum(F.col("qw") * F.col("weight")).alias("score")))
 
 
 def top_k(scores: DataFrame, qkey: str, dkey: str, k: int) -> DataFrame:
-    """Best ``k`` documents per query; score rounded to 6 places, ties by document key.
-    Only matches (score > 0) are returned."""
-    s = (scores.filter(F.col("score") > 0)
-               .withColumn("score", F.round("score", SCORE_DIGITS)))
-    w = Window.partitionBy(qkey).orderBy(F.desc("score"), F.asc(dkey))
+    """Best ``k`` documents per query; ties by document key.  Scores that are equal to
+    12 places are ties: the last bits of a sum depend on the order of its terms.  Only
+    matches (score > 0) are returned."""
+    s = scores.filter(F.col("score") > 0)
+    w = Window.partitionBy(qkey).orderBy(F.desc(F.round("score", TIE_DIGITS)), F.asc(dkey))
     return (s.withColumn("rank", F.row_number().over(w))
              .filter(F.col("rank") <= k)
              .withColumn("rank", F.col("rank").cast("bigint")))
@@ -62,66 +55,20 @@ def top_k(scores: DataFrame, qkey: str, dkey: str, k: int) -> DataFrame:
 def match_batch(resumes: DataFrame, model: DataFrame, vocabulary,
                 qkey: str = "resume_id", dkey: str = "doc_name", k: int = WEB_TOP,
                 text_col: str = "text", literals=QUOTED_LITERALS,
-                broadcast_query: bool | None = None,
-                max_query_rows: int | None = None,
                 pad_docs: DataFrame | None = None) -> DataFrame:
     """Many resumes at once -> ``(qkey, dkey, score, rank)``, rank 1..k.
 
     ``pad_docs`` (all document keys, also those without skills) fills every list
     shorter than k with unmatched documents by name at score 0 (Q10); off by
-    default, when only matches are returned.
-
-    Every resume yields at most |vocabulary| query rows, so the query side is
-    broadcast when ``resumes * |vocabulary|`` is proven to fit.  A larger resume set
-    is cut by hash of its key into chunks that each fit, and every chunk is a
-    broadcast join against the model; top-k per resume is independent across
-    chunks, so the union is exact.  No join ever shuffles on ``skill``, where one
-    common skill would pair a large share of all documents and resumes."""
+    default, when only matches are returned."""
     r = resume_requests(resumes, qkey, text_col)
-    vocabulary = prepare_vocabulary(vocabulary, literals)
-    bound = MAX_BROADCAST_ROWS if max_query_rows is None else max_query_rows
-    per_chunk = max(1, bound // max(1, len(vocabulary)))
-    if broadcast_query is None:
-        broadcast_query = fits(resumes, per_chunk)      # r is a 1:1 projection of it
-    if broadcast_query:
-        out = _match_chunk(r, model, vocabulary, qkey, dkey, k, literals)
-    else:
-        n_chunks = -(-resumes.count() // per_chunk)
-        chunk = F.pmod(F.xxhash64(F.col(qkey)), F.lit(n_chunks))
-        parts = [_match_chunk(r.filter(chunk == c), model, vocabulary, qkey, dkey, k, literals)
-                 for c in range(n_chunks)]
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
+    q = query_vectors(tag_skills(r, qkey, prepare_vocabulary(vocabulary, literals), literals=literals), qkey)
+    out = top_k(score_pairs(q, model, qkey, dkey), qkey, dkey, k)
     if pad_docs is not None:
         out = pad_with_unmatched(out, r.select(qkey), pad_docs.select(dkey), qkey, dkey, k)
     return out
 
 
-def chunk_count(resumes: DataFrame, vocabulary, max_query_rows: int | None = None) -> int:
-    """How many hash chunks make every chunk's query side fit the broadcast bound."""
-    bound = MAX_BROADCAST_ROWS if max_query_rows is None else max_query_rows
-    per_chunk = max(1, bound // max(1, len(prepare_vocabulary(vocabulary))))
-    return 1 if fits(resumes, per_chunk) else -(-resumes.count() // per_chunk)
-
-
-def match_chunk(resumes: DataFrame, model: DataFrame, vocabulary, c: int, n_chunks: int,
-                qkey: str = "resume_id", dkey: str = "doc_name", k: int = WEB_TOP,
-                text_col: str = "text", literals=QUOTED_LITERALS) -> DataFrame:
-    """Top-k of the resumes in hash chunk ``c`` of ``n_chunks``."""
-    r = resume_requests(resumes, qkey, text_col)
-    if n_chunks > 1:
-        r = r.filter(F.pmod(F.xxhash64(F.col(qkey)), F.lit(n_chunks)) == c)
-    return _match_chunk(r, model, prepare_vocabulary(vocabulary, literals), qkey, dkey, k, literals)
-
-
-def _match_chunk(r: DataFrame, model: DataFrame, vocabulary, qkey: str, dkey: str,
-                 k: int, literals) -> DataFrame:
-    tf = tag_skills(r, qkey, vocabulary, literals=literals)
-    q = query_vectors(tf, qkey)
-    return top_k(score_pairs(q, model, qkey, dkey, broadcast_query=True), qkey, dkey, k)
-
-
 def term_query(spark: SparkSession, terms: list[str], qkey: str = "query_id") -> DataFrame:
     """A query vector from a list of terms (repeats count), L2-normalised."""
     rows = [(0, t) for t in terms]
@@ -135,7 +82,7 @@ def match_terms(spark: SparkSession, model: DataFrame, dkey: str,
     """M5 + O2: score every document against a fixed term list; best ``k`` overall
     (``TakeOrderedAndProject``: each task keeps k, the driver merges k per task)."""
     q = term_query(spark, terms)
-    scores = score_pairs(q, model, "query_id", dkey, broadcast_query=True)
+    scores = score_pairs(q, model, "query_id", dkey)
     return (scores.filter(F.col("score") > 0)
                   .select(dkey, F.round("score", SCORE_DIGITS).alias("score"))
                   .orderBy(F.desc("score"), F.asc(dkey)).limit(k))
@@ -162,10 +109,14 @@ def pad_with_unmatched(top: DataFrame, queries: DataFrame, docs: DataFrame,
     return top.unionByName(out.select(*top.columns))
 
 
-def result_links(top: DataFrame, qkey: str, dkey: str, prefix: str = SITE_PREFIX) -> DataFrame:
-    """K6: one block of anchors per query, ordered by rank (at most k entries per group)."""
-    url = F.concat(F.lit(prefix), F.replace(F.col(dkey).cast("string"), F.lit("_"), F.lit("/")))
-    link = F.format_string(LINK_FORMAT, url, url)
+def result_links(top: DataFrame, qkey: str, dkey: str, prefix: str = SITE_PREFIX,
+                 url: str | None = None) -> DataFrame:
+    """K6: one block of anchors per query, ordered by rank (at most k entries per group).
+    ``url`` names the column that carries the document's address; without one the address
+    is rebuilt from the document's name, which loses underscores."""
+    rebuilt = F.concat(F.lit(prefix), F.replace(F.col(dkey).cast("string"), F.lit("_"), F.lit("/")))
+    address = F.col(url) if url else rebuilt
+    link = F.format_string(LINK_FORMAT, address, address)
     ordered = F.array_sort(F.collect_list(F.struct(F.col("rank"), link.alias("link"))))
     body = F.array_join(F.transform(ordered, lambda x: x["link"]), "")
     return top.groupBy(qkey).agg(

@@ -7,11 +7,10 @@ joins across Python maps, so the order here is the plan's order).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import STORE_FOLDER, base_name, rfc850, url_to_doc_name
-from ..plans.sizing import MAX_BROADCAST_ROWS, fits
 
 # The labels and layout of a stored job document.
 LABEL_DATE = "DATE: "
@@ -33,19 +32,9 @@ def with_doc_names(pages: DataFrame, prefix_regex: str = r"https?://",
     return pages.withColumn("doc_name", name).withColumn("base_name", base_name(F.col("doc_name")))
 
 
-def pending(named: DataFrame, stored: DataFrame, reduce_store: bool = False) -> DataFrame:
-    """Pages whose document is not stored yet (anti join on the name).
-
-    With ``reduce_store`` (a store much larger than the run, as in incremental
-    ingest) the store is first cut to the names of this run by a broadcast semi
-    join, when the run's names are proven small: the store is scanned one column
-    wide and never shuffled."""
-    seen = stored.select("doc_name")
-    if reduce_store:
-        names = named.select("doc_name").distinct()
-        if fits(names, MAX_BROADCAST_ROWS):
-            seen = seen.join(F.broadcast(names), "doc_name", "left_semi")
-    return named.join(seen.distinct(), "doc_name", "left_anti")
+def pending(named: DataFrame, stored: DataFrame) -> DataFrame:
+    """Pages whose document is not stored yet (anti join on the name)."""
+    return named.join(stored.select("doc_name"), "doc_name", "left_anti")
 
 
 def status_flags(status: Column) -> tuple[Column, Column]:
@@ -55,24 +44,32 @@ def status_flags(status: Column) -> tuple[Column, Column]:
 
 
 def one_per_name(pages: DataFrame) -> DataFrame:
-    """Q24: two URLs with the same document name would overwrite each other; keep the
-    lowest URL per name and mark the others (``dup = true``).  The lowest URL is a
-    partial + final ``min`` per name over the narrow (name, url) projection, joined
-    back on the (name, url) pair: a name shared by very many URLs spreads over
-    many tasks, and the page bodies never gather under one name."""
-    first = (pages.groupBy("doc_name").agg(F.min("url").alias("url"))
-                  .withColumn("_keep", F.lit(True)))
-    return (pages.join(first, ["doc_name", "url"], "left")
-                 .withColumn("dup", F.col("_keep").isNull()).drop("_keep"))
+    """Q24: two pages with the same document name would overwrite each other: one row per
+    name, ``(doc_name, url, row, http_status, listed)``, that of the lowest URL (then the
+    lowest ``row``, a hash of the other columns); ``listed`` counts all of the name's
+    pages.  Partial minima over narrow columns: bodies are not read, and a name shared by
+    very many pages sends one row per task."""
+    others = [c for c in pages.columns if c not in ("html", "doc_name", "url", "base_name")]
+    low = F.min(F.struct("url", F.xxhash64(*others).alias("row"), "http_status"))
+    return (pages.groupBy("doc_name").agg(low.alias("_low"), F.count(F.lit(1)).alias("listed"))
+                 .select("doc_name", "_low.*", "listed"))
+
+
+def bodies(pages: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The page of every chosen row of ``one_per_name``, bodies joined in once.  Pages that
+    are equal in all other columns are told apart by their bodies; one stays."""
+    others = [c for c in pages.columns if c not in ("html", "doc_name", "url", "base_name")]
+    keyed = pages.withColumn("row", F.xxhash64(*others)).join(
+        chosen.select("doc_name", "url", "row"), ["doc_name", "url", "row"])
+    one = Window.partitionBy("doc_name", "url", "row").orderBy(F.xxhash64("html"))
+    return keyed.withColumn("_k", F.row_number().over(one)).filter("_k = 1").drop("_k", "row")
 
 
 def fetch_status(pages: DataFrame) -> DataFrame:
-    """``(doc_name, url, passed, failed)`` per pending page; a duplicate name fails."""
-    p = one_per_name(pages)
+    """``(doc_name, url, passed, failed)`` per pending name; its further pages failed."""
     passed, failed = status_flags(F.col("http_status"))
-    return p.select("doc_name", "url",
-                    F.when(F.col("dup"), F.lit(0).cast("bigint")).otherwise(passed).alias("passed"),
-                    F.when(F.col("dup"), F.lit(1).cast("bigint")).otherwise(failed).alias("failed"))
+    return one_per_name(pages).select("doc_name", "url", passed.alias("passed"),
+                                      (failed + F.col("listed") - 1).alias("failed"))
 
 
 def status_totals(status: DataFrame) -> DataFrame:
@@ -198,19 +195,17 @@ def placeholder_docs(names: DataFrame) -> DataFrame:
 
 def ingest_pages(raw: DataFrame, stored: DataFrame, ingest_ts: Column,
                  selectors=SITE_SELECTORS, prefix_regex: str = r"https?://",
-                 folder: str = STORE_FOLDER, reduce_store: bool = False) -> tuple[DataFrame, DataFrame]:
-    """``(job_docs, totals)``.  Names the pages, drops the stored ones (anti join
-    before any parsing), counts status, extracts and renders the fetched pages."""
+                 folder: str = STORE_FOLDER) -> tuple[DataFrame, DataFrame]:
+    """``(job_docs, totals)``.  Names the pages, drops the stored ones and chooses one
+    page per name, all on narrow columns; then the bodies of the fetched pages are joined
+    in, once, extracted and rendered."""
     named = with_doc_names(raw, prefix_regex, folder)
-    todo = one_per_name(pending(named, stored, reduce_store))
-    passed, failed = status_flags(F.col("http_status"))
-    status = todo.select(F.when(F.col("dup"), F.lit(0).cast("bigint")).otherwise(passed).alias("passed"),
-                         F.when(F.col("dup"), F.lit(1).cast("bigint")).otherwise(failed).alias("failed"))
-    fetched = todo.filter((F.col("http_status") == 200) & ~F.col("dup"))
+    todo = pending(named.drop("html"), stored)
+    fetched = bodies(named, one_per_name(todo).filter(F.col("http_status") == 200))
     sec = extract_sections(fetched, selectors, keep=("doc_name", "url"))
     body = render_document(F.col("url"), ingest_ts, F.col("title"), F.col("location"),
                            F.col("skills"), F.col("about"), F.col("description"), F.col("requirements"))
     docs = sec.select("doc_name", "url", ingest_ts.alias("ingest_ts"), "title", "location",
                       F.col("skills").alias("base_skills"), "about", "description", "requirements",
                       body.alias("body"))
-    return docs, status_totals(status)
+    return docs, status_totals(fetch_status(todo))

@@ -8,13 +8,10 @@ Per document, on the lower-cased text ``t``:
 2. split what is left on ASCII non-word runs; each token equal to a skill
    counts once for it.
 
-Rules come from the vocabulary (see ``rules_table``).  The fold is sequential
-per document, so it runs as one Arrow function over the text column; the word
-pass drops non-vocabulary tokens inside the array, a broadcast hash join against
-the vocabulary is the membership test, and term frequencies are one
-``groupBy(key, skill)`` with map-side partial sums (codegen; summing inside the
-row with higher-order functions was measured slower).  Hits and words leave one
-projection, so the fold never runs twice.
+Rules come from the vocabulary (see ``rules_table``).  The fold is sequential per
+document, so it runs as one Arrow function over the text column, which also counts the
+words that are skills: a document's tags are an array in its own row, and no shuffle is
+needed to sum them.
 
 ``method="native"`` is the slow twin made of Spark higher-order functions only
 (``aggregate`` over a literal rules array); tests check that both agree.
@@ -189,34 +186,45 @@ def _prefilter(anchors):
     return lambda t: {w for _end, w in auto.iter(t)}
 
 
-def fold_text(t: str, compiled, prefilter=None) -> tuple[str | None, list[dict]]:
-    """Apply the ordered rules to one lower-cased text.  Returns the rest (``None``
-    when nothing was removed) and the hits per skill.  While the text is unchanged,
-    a rule whose anchor does not occur cannot match and is skipped; after a removal
-    (which can fuse neighbours into new matches) every rule is evaluated."""
-    hits: dict[str, int] = {}
-    changed = False
-    present = prefilter(t) if prefilter is not None else None
-    for skill, count, removal, anchor_ in compiled:
-        if not changed and present is not None and anchor_ is not None and anchor_ not in present:
-            continue
-        n = count(t)
-        if n:
-            hits[skill] = hits.get(skill, 0) + n
-            if removal is not None:
-                t2 = t.replace(removal, "")
-                if len(t2) != len(t):
-                    t, changed = t2, True
-    return (t if changed else None), [{"skill": k, "n": v} for k, v in hits.items()]
-
-
-def compile_rules(rules: list[tuple]):
-    return [(skill, _counter(pattern, kind), skill if remove else None, anchor(pattern, kind))
-            for skill, _j, pattern, kind, remove in rules]
-
-
-def compile_prefilter(rules: list[tuple]):
-    return _prefilter(anchor(pattern, kind) for _s, _j, pattern, kind, _r in rules)
+class Fold:
+    """The ordered rules of a vocabulary, ready to run on texts (once per task)."""
+
+    def __init__(self, rules: list[tuple], prefilter: bool = True):
+        self.rules = [(skill, _counter(pattern, kind), skill if remove else None)
+                      for skill, _j, pattern, kind, remove in rules]
+        anchors = [anchor(pattern, kind) for _s, _j, pattern, kind, _r in rules]
+        self.present = _prefilter(anchors) if prefilter else None
+        self.by_anchor: dict[str, list[int]] = {}
+        for i, a in enumerate(anchors):
+            self.by_anchor.setdefault(a or "", []).append(i)
+
+    def _due(self, t: str, start: int) -> list[int]:
+        """The rules from ``start`` on that can match ``t``: those whose anchor occurs in
+        it, and those without one."""
+        if self.present is None:
+            return list(range(start, len(self.rules)))
+        found = [i for a in ("", *self.present(t)) for i in self.by_anchor.get(a, ())]
+        return sorted(i for i in found if i >= start)
+
+    def __call__(self, t: str) -> tuple[str, dict[str, int]]:
+        """The text left after the removals and the hits per skill.  A removal can fuse its
+        neighbours into new matches, so what is due is looked up again after it."""
+        hits: dict[str, int] = {}
+        due, k = self._due(t, 0), 0
+        while k < len(due):
+            i = due[k]
+            k += 1
+            skill, count, removal = self.rules[i]
+            n = count(t)
+            if n:
+                hits[skill] = hits.get(skill, 0) + n
+                if removal is not None and removal in t:
+                    t = t.replace(removal, "")
+                    due, k = self._due(t, i + 1), 0
+        return t, hits
+
+
+_WORD = re.compile(r"[A-Za-z0-9_]+")
 
 
 def rule_fold_udf(rules: list[tuple]):
@@ -224,21 +232,36 @@ def rule_fold_udf(rules: list[tuple]):
 
     @F.pandas_udf(FOLD_TYPE)
     def rule_fold(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        compiled = compile_rules(rules)   # once per task
-        pre = compile_prefilter(rules)
+        fold = Fold(rules)
         for texts in batches:
-            rests, hits = [], []
+            done = [fold(t) if isinstance(t, str) else (None, {}) for t in texts]
+            yield pd.DataFrame({"rest": [t for t, _ in done], "hits": [
+                [{"skill": k, "n": n} for k, n in h.items()] for _, h in done]})
+
+    return rule_fold
+
+
+def tags_udf(voc: "Vocabulary"):
+    """Arrow function ``lower(text) -> array<struct<skill, n>>``: rule hits plus the words
+    of the rest that are skills, each skill once."""
+    rules, skills = list(voc.rules), frozenset(voc.skills)
+
+    @F.pandas_udf(HIT_TYPE)
+    def tags(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        fold = Fold(rules)
+        for texts in batches:
+            out = []
             for t in texts:
-                if t is None or not isinstance(t, str):
-                    rests.append(None)
-                    hits.append([])
+                if not isinstance(t, str):
+                    out.append([])
                     continue
-                r, h = fold_text(t, compiled, pre)
-                rests.append(r)
-                hits.append(h)
-            yield pd.DataFrame({"rest": rests, "hits": hits})
+                rest, found = fold(t)
+                for w in filter(skills.__contains__, _WORD.findall(rest)):
+                    found[w] = found.get(w, 0) + 1
+                out.append([{"skill": k, "n": n} for k, n in found.items()])
+            yield pd.Series(out)
 
-    return rule_fold
+    return tags
 
 
 def _native_fold(t: Column, rules: list[tuple]) -> tuple[Column, Column]:
@@ -289,31 +312,25 @@ def _folded(df: DataFrame, key: str, voc: Vocabulary, text_col: str, method: str
     raise ValueError(f"unknown method {method!r}")
 
 
-# Largest word list inlined as a hash-set filter; beyond it only the join filters.
-MAX_INLINE_WORDS = 10_000
-_WORDLIKE = re.compile(r"^[A-Za-z0-9_]+$")
-
-
-def _terms(rest: Column, hits: Column, voc: "Vocabulary | None" = None) -> Column:
-    """Rule hits and the words of the rest, as one ``array<struct<skill, n>>``.
-    Only a skill made of word characters can equal a token of a non-word split, so
-    the other tokens are dropped inside the array (a hash-set test) before anything
-    is exploded; the vocabulary join after it stays the membership test."""
-    tokens = F.split(rest, NON_WORD, -1)
-    if voc is not None:
-        wordlike = [s for s in voc.skills if _WORDLIKE.match(s)]
-        if len(wordlike) <= MAX_INLINE_WORDS:
-            tokens = F.filter(tokens, lambda w: w.isin(wordlike)) if wordlike else F.array().cast("array<string>")
-    words = F.transform(tokens, lambda w: F.struct(w.alias("skill"), F.lit(1).cast("bigint").alias("n")))
+def _terms(rest: Column, hits: Column) -> Column:
+    """Rule hits and the words of the rest, as one ``array<struct<skill, n>>``."""
+    words = F.transform(F.split(rest, NON_WORD, -1),
+                        lambda w: F.struct(w.alias("skill"), F.lit(1).cast("bigint").alias("n")))
     return F.concat(hits, words)
 
 
 def tag_skills(df: DataFrame, key: str, vocabulary, text_col: str = "text",
                literals=QUOTED_LITERALS, method: str = "arrow") -> DataFrame:
-    """``(key, skill, tf)`` for every document with at least one tag."""
+    """``(key, skill, tf)`` for every document with at least one tag; ``key`` is unique.
+    All of a document's tags leave its own row, so nothing is shuffled.  The native twin
+    joins the words with the vocabulary and sums per document."""
     voc = prepare_vocabulary(vocabulary, literals)
+    if method == "arrow":
+        tags = tags_udf(voc)(F.lower(F.col(text_col)))
+        found = df.select(F.col(key), tags.alias("_f")).select(key, F.inline("_f"))
+        return found.select(key, "skill", F.col("n").alias("tf"))
     docs, rest, hits = _folded(df, key, voc, text_col, method)
-    bag = docs.select(F.col(key), F.inline(_terms(rest, hits, voc)))
+    bag = docs.select(F.col(key), F.inline(_terms(rest, hits)))
     # the vocabulary is proven small (prepare_vocabulary)
     matched = bag.join(F.broadcast(voc.frame(df.sparkSession)), "skill")
     return matched.groupBy(key, "skill").agg(F.sum("n").alias("tf"))

@@ -47,30 +47,15 @@ def ingest_job(spark: SparkSession, raw: DataFrame, store_path: str, ingest_ts:
         if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
             raise
         stored = spark.createDataFrame([], "doc_name string")
-    # the store grows with every run: cut it to this run's names before the anti join
-    docs, totals = pages.ingest_pages(raw, stored, ingest_ts, selectors, reduce_store=True)
+    docs, totals = pages.ingest_pages(raw, stored, ingest_ts, selectors)
     sinks.store_job_docs(docs, store_path)
     return totals
 
 
 def match_job(spark: SparkSession, resumes: DataFrame, model_table: str, vocabulary, out_path: str,
-              qkey: str = "resume_id", dkey: str = "doc_name", k: int = 25) -> int:
-    """R1 for resume sets of any size: one Spark job per hash chunk (each chunk's query
-    side fits a broadcast), each writing its own folder ``chunk=c``.  A rerun skips
-    chunks already written, and a retried chunk overwrites only itself, so a lost
-    driver or executor costs at most one chunk.  Returns the number of chunks."""
-    from pyspark.errors import AnalysisException
+              qkey: str = "resume_id", dkey: str = "doc_name", k: int = 25) -> None:
+    """R1 for resume sets of any size, written in one job: a lost executor costs its tasks,
+    a repeated job replaces its output."""
     from ..operators import match
-    voc = tagging.prepare_vocabulary(vocabulary)
-    n = match.chunk_count(resumes, voc)
-    for c in range(n):
-        target = f"{out_path}/chunk={c}"
-        try:   # a chunk folder exists only once its write job committed
-            spark.read.parquet(target).schema  # noqa: B018
-            done = True
-        except AnalysisException:
-            done = False
-        if not done:
-            top = match.match_chunk(resumes, spark.table(model_table), voc, c, n, qkey, dkey, k)
-            top.write.mode("overwrite").parquet(target)
-    return n
+    top = match.match_batch(resumes, spark.table(model_table), vocabulary, qkey, dkey, k)
+    top.write.mode("overwrite").parquet(out_path)

@@ -95,7 +95,7 @@ TOP25_CTES = [
     """sc AS (SELECT resume_id, doc_id, sum(qw * weight) AS score FROM qv JOIN model USING (skill)
             GROUP BY resume_id, doc_id)""",
     """top AS (SELECT * FROM (SELECT resume_id, doc_id, round(score, 6) AS score,
-                 row_number() OVER (PARTITION BY resume_id ORDER BY round(score, 6) DESC, doc_id)::BIGINT AS rank
+                 row_number() OVER (PARTITION BY resume_id ORDER BY round(score, 12) DESC, doc_id)::BIGINT AS rank
                FROM sc WHERE score > 0) WHERE rank <= 25)""",
 ]
 
@@ -157,9 +157,9 @@ SQL = {
         SELECT conv_id, turn, CASE WHEN turn = 0 THEN 'magic' WHEN role = 'user' THEN text END AS t
         FROM conversations)""",
     "resume_tags": _with(tags_ctes(
-        f"""(SELECT conv_id * 1000 + turn AS request_id, {_resume_text('t')} AS text FROM (
+        f"""(SELECT {{'c': conv_id, 't': turn}} AS request, {_resume_text('t')} AS text FROM (
             SELECT conv_id, turn, CASE WHEN turn = 0 THEN 'magic' WHEN role = 'user' THEN text END AS t
-            FROM conversations))""", "request_id", "q_")) + "SELECT request_id, skill, tf FROM q_tags",
+            FROM conversations))""", "request", "q_")) + "SELECT request.c AS conv_id, request.t AS turn, skill, tf FROM q_tags",
     "word_line_index": f"""WITH l AS (
             SELECT doc_id, unnest(range(len(string_split(text, {_NL}))))::INTEGER AS line_no,
                    unnest(string_split(text, {_NL})) AS line FROM documents),

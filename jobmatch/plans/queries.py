@@ -2,7 +2,7 @@
 DataFrame over the driver tables (FIXTURES.md section 2 maps tables to roles).
 
 Doubles are rounded to 6 places at the output so the DuckDB oracle can compare
-values exactly; ranks are taken on the rounded score.
+values exactly; ranks are taken before that.
 """
 
 from __future__ import annotations
@@ -72,15 +72,16 @@ def match_common_terms_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
             .orderBy(F.desc("df"), F.asc("skill")).limit(3).select("skill"))
     q = model.query_vectors(top3.select(F.lit(0).cast("bigint").alias("query_id"), "skill",
                                         F.lit(1).cast("bigint").alias("tf")), "query_id")
-    scores = match.score_pairs(q, m, "query_id", "doc_id", broadcast_query=True)   # 3 rows
+    scores = match.score_pairs(q, m, "query_id", "doc_id")
     return (scores.filter(F.col("score") > 0)
                   .select("doc_id", F.round("score", DIGITS).alias("score"))
                   .orderBy(F.desc("score"), F.asc("doc_id")).limit(10))
 
 
 def match_top25(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return match.match_batch(tables.resumes(spark, sf_dir), _model(spark, sf_dir),
-                             driver_vocabulary(spark), qkey="resume_id", dkey="doc_id", k=25)
+    top = match.match_batch(tables.resumes(spark, sf_dir), _model(spark, sf_dir),
+                            driver_vocabulary(spark), qkey="resume_id", dkey="doc_id", k=25)
+    return top.withColumn("score", F.round("score", DIGITS))
 
 
 def match_links(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,9 +104,9 @@ def resume_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
 def resume_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The web path for many requests: defaults filled in, then tagged."""
     r = tables.resumes_with_gaps(spark, sf_dir)
-    req = resume_requests(r.select((F.col("conv_id") * 1000 + F.col("turn")).alias("request_id"), "text"),
-                          "request_id")
-    return tagging.tag_skills(req, "request_id", driver_vocabulary(spark))
+    req = resume_requests(r.select(F.struct("conv_id", "turn").alias("request"), "text"), "request")
+    tags = tagging.tag_skills(req, "request", driver_vocabulary(spark))
+    return tags.select("request.conv_id", "request.turn", "skill", "tf")
 
 
 def resume_tag_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,7 +131,8 @@ def feed_vocab_top25(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R5 + R1 with the vocabulary grown from the feeds: model, then top 25 per resume."""
     voc = tagging.prepare_vocabulary(_feed_vocabulary(spark, sf_dir))
     m = model.build_model(tables.jobs(spark, sf_dir), "doc_id", voc)
-    return match.match_batch(tables.resumes(spark, sf_dir), m, voc, qkey="resume_id", dkey="doc_id", k=25)
+    top = match.match_batch(tables.resumes(spark, sf_dir), m, voc, qkey="resume_id", dkey="doc_id", k=25)
+    return top.withColumn("score", F.round("score", DIGITS))
 
 
 # ---- text dataflows -------------------------------------------------------------------
@@ -270,7 +272,8 @@ def stream_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables.resumes(spark, sf_dir).repartition(4).write.parquet(f"{wd}/resumes")
     jobs.stream_match(spark, f"{wd}/resumes", "resume_id long, text string", table,
                       vocab, f"{wd}/out", f"{wd}/ck").awaitTermination()
-    return spark.read.parquet(f"{wd}/out").select("resume_id", "doc_id", "score", "rank")
+    return spark.read.parquet(f"{wd}/out").select(
+        "resume_id", "doc_id", F.round("score", DIGITS).alias("score"), "rank")
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,9 @@ sizes of all earlier partitions (a table with one row per partition).
 preceding)`` where one key ``p`` may hold a large share of all rows.  Rows are
 cut into order buckets (any column non-decreasing in the order); counts per
 (p, bucket) give each bucket's offset, and the row number inside a bucket adds
-the rest.  No task sees more than one bucket of one key.
+the rest.  Offsets are themselves summed in two levels, over runs of buckets and
+within a run, so no task sees more than one bucket's rows, one run's buckets or the
+runs of one key.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from pyspark.sql import functions as F
 
 from .sizing import cut_lineage
 
+RUN_BUCKETS = 4096
 _LOW33 = (1 << 33) - 1   # monotonically_increasing_id: partition id << 33 | record index
 
 
@@ -48,9 +51,13 @@ def running_count(df: DataFrame, partition: list[str], order: list[Column], buck
     b = df.withColumn("_bucket", bucket)
     keys = [*partition, "_bucket"]
     counts = b.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    before = (Window.partitionBy(*partition).orderBy("_bucket")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    counts = counts.withColumn("_run", F.expr(f"_bucket div {RUN_BUCKETS}"))
+    runs = counts.groupBy(*partition, "_run").agg(F.sum("_n").alias("_m"))
+    earlier = lambda w, c: F.coalesce(F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    runs = runs.select(*partition, "_run", earlier(Window.partitionBy(*partition).orderBy("_run"), "_m").alias("_ro"))
+    within = earlier(Window.partitionBy(*partition, "_run").orderBy("_bucket"), "_n")
+    offsets = (counts.withColumn("_bo", within).join(runs, [*partition, "_run"])
+               .select(*keys, (F.col("_ro") + F.col("_bo")).alias("_off")))
     local = b.withColumn("_local", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return (local.join(offsets, keys)
                  .withColumn(out, (F.col("_off") + F.col("_local")).cast("bigint"))

@@ -1,62 +1,17 @@
-"""Size checks before anything is broadcast or collected, and lineage cuts.
-
-A broadcast is decided only on a proven row bound: ``bounded_count`` reads at
-most ``limit + 1`` rows per partition and says whether the frame fits.  Past
-the bound the caller keeps the shuffle plan (AQE may still pick a broadcast
-from the real shuffle sizes, and splits skewed partitions).
-"""
+"""Bounds on what reaches every task, lineage cuts and the width of small scans."""
 
 from __future__ import annotations
 
-import weakref
-
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 # Largest vocabulary (rows) shipped whole to every task.  The ordered rules of
 # the tagger must see the whole vocabulary in every task; 200k skills of ~20
 # bytes is a few MB.
 MAX_VOCABULARY_ROWS = 200_000
-# Largest broadcast side of a join, in rows (about 40 bytes a row).
-MAX_BROADCAST_ROWS = 4_000_000
-
-
 class TooLargeToBroadcast(ValueError):
     pass
 
 
-# Exact row counts already proven for a DataFrame object (weak keys: an entry lives
-# only as long as the plan object it was proven for), so one input is not counted
-# twice while a query is built.
-_PROVEN: "weakref.WeakKeyDictionary[DataFrame, int]" = weakref.WeakKeyDictionary()
-
-
-def bounded_count(df: DataFrame, limit: int) -> int:
-    """``min(count(df), limit + 1)``; stops reading after ``limit + 1`` rows per partition."""
-    known = _PROVEN.get(df)
-    if known is not None:
-        return min(known, limit + 1)
-    n = df.limit(limit + 1).count()
-    if n <= limit:
-        _PROVEN[df] = n
-    return n
-
-
-def remember_count(df: DataFrame, n: int) -> DataFrame:
-    """Record a proven exact row count for ``df`` (e.g. after a 1:1 repartition)."""
-    _PROVEN[df] = n
-    return df
-
-
-def fits(df: DataFrame, limit: int) -> bool:
-    return bounded_count(df, limit) <= limit
-
-
-def broadcast_if_fits(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when the row count is proven to be at most ``limit``."""
-    return F.broadcast(df) if fits(df, limit) else df
-
-
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise into the cluster's checkpoint folder (reliable, survives executor loss)."""
     return df.checkpoint(eager=True)
@@ -67,27 +22,17 @@ def shuffle_partitions(spark) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-SPREAD_MAX_ROWS = 1_000_000
-SPREAD_MIN_ROWS = 1_000
+SPREAD_BYTES = 1 << 28
 
 
-def spread_if_narrow(df: DataFrame, max_rows: int = SPREAD_MAX_ROWS,
-                     min_rows: int = SPREAD_MIN_ROWS) -> DataFrame:
-    """Give a CPU-bound stage every core.  Only when the scan yields fewer partitions
-    than the cluster has cores *and* the input is proven small (at most ``max_rows``
-    rows) is it spread round-robin; anything larger keeps its scan partitioning, so
-    a corpus is never shuffled just to balance it.  Below ``min_rows`` one task is
-    quicker than a shuffle.  The partition test is planning only; the row bound
-    reads no columns."""
+def spread_if_narrow(df: DataFrame) -> DataFrame:
+    """Give a CPU-bound stage every core although a small scan may be one task, as a file
+    with a single row group is.  Scans past
+    ``SPREAD_BYTES`` (the plan's own estimate; no job is run) keep their partitions, so
+    a corpus is never shuffled to balance it."""
     from ..session import spark_context
     sc = spark_context(df.sparkSession)
-    if sc is None:          # Spark Connect: no partition count at planning time
+    if sc is None:          # Spark Connect: no estimate at planning time
         return df
-    cores = sc.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        n = bounded_count(df.select(), max_rows)
-        if n <= max_rows:
-            remember_count(df, n)
-            if n >= min_rows:
-                return remember_count(df.repartition(cores), n)
-    return df
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(sc.defaultParallelism) if size <= SPREAD_BYTES else df

@@ -58,12 +58,21 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None)
 
 
+def require_local(master: str) -> None:
+    """Raise unless all tasks run in this process, which sees its own temporary folder."""
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master!r} share")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's checkpoint folder; set one only when none is named (tests)."""
+    """Use the cluster's checkpoint folder; set one only for a local master that names
+    none (tests).  On a cluster a machine-local folder would lose rows, so an unset
+    ``spark.checkpoint.dir`` is an error there."""
     d = checkpoint_dir(spark)
+    sc = spark_context(spark)
     if not d:
+        require_local(sc.master if sc is not None else "")
         d = tempfile.mkdtemp(prefix="jobmatch-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc = spark_context(spark)
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d

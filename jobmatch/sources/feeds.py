@@ -23,21 +23,27 @@ def feeds_table(spark: SparkSession, urls: list[str]) -> DataFrame:
 def read_feed_items(spark: SparkSession, path: str) -> DataFrame:
     """``(feed_index, item_index, guid, title, author, category, _corrupt_record)``.
 
-    ``item_index`` is the item's position in its file (XML files are read whole by
-    one task, so ids grow in file order; the window is bounded by one feed file)."""
+    ``item_index`` is the item's position in its feed, over the feed's files in the order
+    of their names: the position in the file (a window bounded by one file) plus the
+    sizes of the feed's earlier files (one row a file)."""
     raw = (spark.read.format("xml").option("rowTag", "item").option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", "_corrupt_record")
            .schema(ITEM_SCHEMA).load(path))
     f = F.col("_metadata.file_path")
-    df = raw.select("*", f.alias("_file"), F.monotonically_increasing_id().alias("_mid"))
-    item_index = F.row_number().over(Window.partitionBy("_file").orderBy("_mid")) - 1
+    df = raw.select("*", f.alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+                    F.monotonically_increasing_id().alias("_mid"))
+    local = F.row_number().over(Window.partitionBy("_file").orderBy("_block", "_mid")) - 1
     # a landing folder partitioned by feed (feed_index=N/) names the feed; otherwise
     # the digits of the file name do
     feed = (F.col("feed_index").cast("int") if "feed_index" in raw.columns
             else F.regexp_extract(F.regexp_replace("_file", "^.*/", ""), FEED_FILE_INDEX, 1).cast("int"))
-    return df.select(
-        feed.alias("feed_index"),
-        item_index.cast("bigint").alias("item_index"),
+    df = df.withColumn("_feed", feed)
+    before = Window.partitionBy("_feed").orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = df.groupBy("_feed", "_file").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return df.withColumn("_local", local).join(starts, "_file").select(
+        F.col("_feed").alias("feed_index"),
+        (F.col("_start") + F.col("_local")).cast("bigint").alias("item_index"),
         "guid", "title", F.col("author.name").alias("author"), "category", "_corrupt_record")
 
 
@@ -45,13 +51,3 @@ def split_quarantine(items: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Good items, and the quarantine: unparsable files or items without a GUID."""
     bad = F.col("_corrupt_record").isNotNull() | F.col("guid").isNull()
     return items.filter(~bad).drop("_corrupt_record"), items.filter(bad)
-
-
-def guid_list(items: DataFrame) -> DataFrame:
-    """S3: the GUIDs of all feeds, duplicates kept (union all, U2)."""
-    return items.select("guid")
-
-
-def distinct_guids(items: DataFrame) -> DataFrame:
-    """Each GUID once."""
-    return items.select("guid").dropDuplicates(["guid"])

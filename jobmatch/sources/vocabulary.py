@@ -43,7 +43,8 @@ def clean_vocabulary(df: DataFrame, col: str = "skill") -> DataFrame:
 def _csv_first_field(spark: SparkSession, path: str) -> DataFrame:
     """First field of every line of a headerless CSV (quoted fields decoded)."""
     return spark.read.csv(path, schema="skill string, rest string", header=False,
-                          mode="PERMISSIVE").select("skill")
+                          mode="PERMISSIVE", ignoreLeadingWhiteSpace=False,
+                          ignoreTrailingWhiteSpace=False).select("skill")
 
 
 def read_skills_csv(spark: SparkSession, path: str) -> DataFrame:

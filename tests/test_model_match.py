@@ -5,7 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from jobmatch.operators import match, model
+from jobmatch.operators import match, model, tagging
 
 
 def test_idf_and_norm_golden(spark):
@@ -94,17 +94,32 @@ def test_result_links_order(spark):
     assert links.startswith('<div id="innerResult"><div><a href="http://careers.stackoverflow.com/jobs/8/y"')
 
 
-def test_chunked_match_equals_single_broadcast(spark):
-    """Past the broadcast bound resumes are matched in hash chunks; same result."""
-    from tests.conftest import SF01
-    from jobmatch.sources import tables
-    from jobmatch.sources.vocabulary import driver_vocabulary
-    v = driver_vocabulary(spark)
-    m = model.build_model(tables.jobs(spark, SF01), "doc_id", v)
-    r = tables.resumes(spark, SF01)
-    one = sorted(map(tuple, match.match_batch(r, m, v, dkey="doc_id").collect()))
-    many = sorted(map(tuple, match.match_batch(r, m, v, dkey="doc_id", max_query_rows=22 * 7).collect()))
-    assert one == many and len(one) == 925
+def test_a_skill_of_every_document_pairs_nothing(spark):
+    """Its weight is 0, so it joins no pairs; the same scores as by brute force."""
+    docs = spark.createDataFrame([(i, "java" if i % 10 else "java ruby") for i in range(200)], "doc_id long, text string")
+    resumes = spark.createDataFrame([(i, "java ruby") for i in range(50)], "resume_id long, text string")
+    voc = spark.createDataFrame([("java",), ("ruby",)], "skill string")
+    m = model.build_model(docs, "doc_id", voc)
+    q = model.query_vectors(tagging.tag_skills(resumes, "resume_id", voc), "resume_id")
+    pairs = match.score_pairs(q, m, "resume_id", "doc_id").collect()
+    assert len(pairs) == 50 * 20 and all(abs(p.score - 0.5 ** 0.5) < 1e-12 for p in pairs)
+    assert match.match_batch(resumes, m, voc, dkey="doc_id", k=3).count() == 150
+
+
+def test_no_job_while_the_match_is_planned(spark):
+    from tests.conftest import SF
+    from jobmatch.plans import queries as q
+    spark.sparkContext.setJobGroup("planning", "planning")
+    q.match_top25(spark, SF)
+    # the schema of a Parquet file is read by a job of one task; nothing else runs
+    done = spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    assert len(done) <= 3
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_links_carry_the_real_address(spark):
+    top = spark.createDataFrame([(1, "a_b", 1, "http://x/a_b")], "q long, d string, rank long, url string")
+    assert 'href="http://x/a_b"' in match.result_links(top, "q", "d", url="url").first().links
 
 
 def test_stream_match_equals_batch(spark):
@@ -149,9 +164,7 @@ def test_stream_counts_quarantine_truncated_feed(spark, tmp_path):
     assert got == {"java": 1, "c++": 1}
 
 
-def test_match_job_chunks_equal_batch(spark, tmp_path, monkeypatch):
-    """The chunk-per-job writer gives the same rows as the in-plan match, and a rerun
-    skips finished chunks."""
+def test_match_job_equals_batch(spark, tmp_path):
     from jobmatch.operators import sinks
     from jobmatch.plans import batch_jobs
     from jobmatch.sources import tables
@@ -161,56 +174,23 @@ def test_match_job_chunks_equal_batch(spark, tmp_path, monkeypatch):
     m = model.build_model(tables.jobs(spark, SF), "doc_id", v)
     sinks.write_model(m, str(tmp_path / "model"), table="test_match_job_model", buckets=4)
     r = tables.resumes(spark, SF)
-    monkeypatch.setattr(match, "MAX_BROADCAST_ROWS", 22 * 9)
-    n = batch_jobs.match_job(spark, r, "test_match_job_model", v, str(tmp_path / "out"), dkey="doc_id")
-    assert n > 1
-    got = sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).select(
-        "resume_id", "doc_id", "score", "rank").collect()))
-    want = sorted(map(tuple, match.match_batch(r, m, v, dkey="doc_id").collect()))
-    assert got == want and got
-    assert batch_jobs.match_job(spark, r, "test_match_job_model", v, str(tmp_path / "out"), dkey="doc_id") == n
-
-
-def test_stream_ingest_across_runs(spark, tmp_path):
-    """A second run with the same checkpoint reads only the new feed files, and a name
-    stored by the first run is not stored again."""
-    from jobmatch.streaming import jobs
-    schema = "feed_index int, item_index long, guid string, title string, category array<string>"
-    land, store, ck = str(tmp_path / "land"), str(tmp_path / "store"), str(tmp_path / "ck")
-    jobs.seed_store(spark.createDataFrame([("jobs_sof/x_jobs_0",)], "doc_name string"), store)
-    first = spark.createDataFrame([(1, 0, "http://x/jobs/0", "t", []), (1, 1, "http://x/jobs/1", "t", [])], schema)
-    jobs.land_feed_items(first, land)
-    jobs.stream_ingest(spark, land, store, ck).awaitTermination()
-    second = spark.createDataFrame([(2, 0, "https://x/jobs/1", "t", []), (2, 1, "http://x/jobs/2", "t", [])], schema)
-    jobs.land_feed_items(second.filter("feed_index = 2"), land + "_2")
-    import shutil
-    shutil.copytree(land + "_2/feed_index=2", land + "/feed_index=2")
-    jobs.stream_ingest(spark, land, store, ck).awaitTermination()
-    stored = spark.read.parquet(store).filter("batch >= 0")
-    names = sorted(r.doc_name for r in stored.collect())
-    assert names == ["jobs_sof/x_jobs_1", "jobs_sof/x_jobs_2"]
-    assert stored.select("batch").distinct().count() == 2     # one batch per run
+    want = sorted((a.resume_id, a.doc_id, a["rank"]) for a in match.match_batch(r, m, v, dkey="doc_id").collect())
+    for _ in range(2):
+        batch_jobs.match_job(spark, r, "test_match_job_model", v, str(tmp_path / "out"), dkey="doc_id")
+        got = spark.read.parquet(str(tmp_path / "out")).collect()
+        assert sorted((a.resume_id, a.doc_id, a["rank"]) for a in got) == want and want
 
 
-def test_match_batch_pad_zero(spark):
-    """Q10 option: every resume gets k rows; matches first, then unmatched documents by
-    name at score 0."""
-    from jobmatch.sources import tables
-    from jobmatch.sources.vocabulary import driver_vocabulary
-    from tests.conftest import SF
-    v = driver_vocabulary(spark)
-    jobs = tables.jobs(spark, SF)
-    m = model.build_model(jobs, "doc_id", v)
-    r = tables.resumes(spark, SF)
-    plain = match.match_batch(r, m, v, dkey="doc_id", k=25).collect()
-    padded = match.match_batch(r, m, v, dkey="doc_id", k=25, pad_docs=jobs).collect()
-    per = {}
-    for row in padded:
-        per.setdefault(row.resume_id, []).append(row)
-    assert len(per) == r.count() and all(len(x) == 25 for x in per.values())
-    assert set(map(tuple, plain)) <= set(map(tuple, padded))
-    for rows in per.values():
-        rows.sort(key=lambda x: x.rank)
-        assert [x.rank for x in rows] == list(range(1, 26))
-        zeros = [x for x in rows if x.score == 0.0]
-        assert [x.doc_id for x in zeros] == sorted(x.doc_id for x in zeros)
+def test_two_checkpoints_on_one_store_keep_all_names(spark, tmp_path):
+    from jobmatch.streaming import jobs
+    item = "<channel><item><guid>http://h/%s</guid><title>t</title></item>%s</channel>"
+    store, land = str(tmp_path / "store"), tmp_path / "land"
+    jobs.seed_store(spark.createDataFrame([("seeded",)], "doc_name string"), store)
+    for run, extra in ((1, "<item><title>no guid</title></item>"), (2, "")):
+        folder = land / str(run)
+        folder.mkdir(parents=True)
+        (folder / "feed_0.xml").write_text(item % (f"x/{run}", extra))
+        jobs.stream_ingest(spark, str(folder), store, str(tmp_path / f"ck{run}")).awaitTermination()
+    names = sorted(r.doc_name.rsplit("/", 1)[-1] for r in spark.read.parquet(store).collect())
+    assert names == ["h_x_1", "h_x_2", "seeded"]
+    assert spark.read.parquet(f"{store}-quarantine").count() == 1

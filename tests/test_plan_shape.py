@@ -4,6 +4,7 @@ nested-loop or cartesian joins."""
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import SF
 
@@ -39,7 +40,29 @@ def test_matching_plan(spark, qs, name):
     plan = final_plan(qs[name](spark, SF))
     assert "WindowGroupLimit" in plan
     assert "NestedLoop" not in plan and "Cartesian" not in plan
-    assert "BroadcastHashJoin" in plan
+
+
+def test_tagging_has_no_exchange(spark):
+    from jobmatch.operators.tagging import tag_skills
+    from jobmatch.sources.vocabulary import driver_vocabulary
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    assert "Exchange" not in final_plan(tag_skills(docs, "doc_id", driver_vocabulary(spark)))
+
+
+def test_page_bodies_are_shuffled_once(spark):
+    """With broadcasts off, html is in at most one exchange of the ingest plan."""
+    from jobmatch.operators import pages
+    from jobmatch.sources import tables
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs, _ = pages.ingest_pages(tables.raw_pages(spark, SF), tables.stored_names(spark, SF),
+                                     F.current_timestamp(), pages.DRIVER_SELECTORS)
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        plan = docs._jdf.queryExecution().explainString(mode)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanges = re.findall(r"\) Exchange\s*\nInput \[\d+\]: \[([^\]]*)\]", plan)
+    assert exchanges and sum("html" in e for e in exchanges) <= 1
 
 
 @pytest.mark.parametrize("name", ["category_running_count", "category_rank", "ingest_status",

@@ -17,22 +17,28 @@ def test_global_position_many_partitions(spark):
     assert got == want
 
 
-def test_bounded_count_and_broadcast_decision(spark):
-    df = spark.range(1000)
-    assert sizing.bounded_count(df, 10) == 11
-    assert sizing.fits(df, 1000) and not sizing.fits(df, 999)
-    plan = sizing.broadcast_if_fits(df, 10)._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" not in plan.lower()
-
-
-def test_spread_only_small_narrow_inputs(spark):
+def test_spread_only_small_narrow_inputs(spark, monkeypatch):
     cores = spark.sparkContext.defaultParallelism
     one = spark.range(5000).coalesce(1)
     assert sizing.spread_if_narrow(one).rdd.getNumPartitions() == cores
-    # more rows than the bound: keeps its partitioning
-    assert sizing.spread_if_narrow(one, max_rows=10).rdd.getNumPartitions() == 1
-    # fewer rows than worth a shuffle: one task
-    assert sizing.spread_if_narrow(spark.range(100).coalesce(1)).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(sizing, "SPREAD_BYTES", 100)
+    assert sizing.spread_if_narrow(one).rdd.getNumPartitions() == 1
+
+
+def test_running_count_over_runs_of_buckets(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "RUN_BUCKETS", 3)
+    df = spark.range(500).select((F.col("id") % 2).alias("k"), "id")
+    out = ranking.running_count(df, ["k"], [F.col("id")], F.expr("id div 10")).collect()
+    assert all(r.running_count == r.id // 2 + 1 for r in out) and len(out) == 500
+
+
+def test_work_folder_must_be_named_on_a_cluster():
+    import pytest
+    from jobmatch.session import require_local
+    require_local("local[4]")
+    for master in ("yarn", "local-cluster[2,1,1024]", "spark://h:7077", ""):
+        with pytest.raises(RuntimeError):
+            require_local(master)
 
 
 def test_empty_vocabulary_tags_nothing(spark):
@@ -47,20 +53,6 @@ def test_checkpoint_dir_is_read_from_session(spark):
     assert d and checkpoint_dir(spark)
 
 
-def test_word_pass_without_inline_filter_same_tags(spark, monkeypatch):
-    """Past MAX_INLINE_WORDS the tokens are not pre-filtered; the vocabulary join alone
-    gives the same tags."""
-    from jobmatch.operators import tagging
-    from jobmatch.sources.vocabulary import driver_vocabulary
-    from tests.conftest import SF
-    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
-    v = driver_vocabulary(spark)
-    a = sorted(map(tuple, tagging.tag_skills(docs, "doc_id", v).collect()))
-    monkeypatch.setattr(tagging, "MAX_INLINE_WORDS", 0)
-    b = sorted(map(tuple, tagging.tag_skills(docs, "doc_id", v).collect()))
-    assert a == b and a
-
-
 def test_vocabulary_bound_is_enforced(spark, monkeypatch):
     import pytest
     from jobmatch.operators import tagging
@@ -70,14 +62,3 @@ def test_vocabulary_bound_is_enforced(spark, monkeypatch):
     v = spark.createDataFrame([(s,) for s in "abcd"], "skill string")
     with pytest.raises(sizing.TooLargeToBroadcast):
         tagging.prepare_vocabulary(v)
-
-
-def test_score_pairs_refuses_unproven_query_side(spark, monkeypatch):
-    import pytest
-    from jobmatch.operators import match
-    monkeypatch.setattr(match, "MAX_BROADCAST_ROWS", 2)
-    q = spark.createDataFrame([(1, "a", 1.0), (2, "b", 1.0), (3, "c", 1.0)], "q long, skill string, qw double")
-    m = spark.createDataFrame([(9, "a", 1.0)], "d long, skill string, weight double")
-    with pytest.raises(sizing.TooLargeToBroadcast):
-        match.score_pairs(q, m, "q", "d")
-    assert match.score_pairs(q, m, "q", "d", broadcast_query=True).count() == 1

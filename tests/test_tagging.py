@@ -4,7 +4,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from jobmatch.operators.tagging import collect_rules, compile_rules, fold_text, tag_skills
+from jobmatch.operators.tagging import Fold, collect_rules, tag_skills
 from jobmatch.sources.vocabulary import DRIVER_VOCABULARY, driver_vocabulary, vocabulary_from_list
 
 GOLDEN = ("C++ and c# / Apache-Spark, sparkling SPARK; ruby-on-rails Ruby on Rails node.js "
@@ -92,11 +92,8 @@ def test_fold_matches_a_plain_restatement(text):
                 t = t.replace(skill, "")
     spark_rules = [(s, 0, p.replace("\\", ""), "literal" if "\\" in p else "regex", r)
                    for s, p, r in rules]
-    from jobmatch.operators.tagging import compile_prefilter
-    for pre in (None, compile_prefilter(spark_rules)):
-        rest, hits = fold_text(text.lower(), compile_rules(spark_rules), pre)
-        assert {h["skill"]: h["n"] for h in hits} == want
-        assert (rest if rest is not None else text.lower()) == t
+    for prefilter in (False, True):
+        assert Fold(spark_rules, prefilter)(text.lower()) == (t, want)
 
 
 def test_vocabulary_is_sorted_fixed_list():

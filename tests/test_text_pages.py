@@ -227,3 +227,46 @@ def test_ingest_job_first_run_and_rerun(spark, tmp_path):
     t2 = ingest_job(spark, raw, store, ts).first()
     assert (t2.passed, t2.failed) == (0, 1)
     assert spark.read.parquet(store).count() == 1
+
+
+def test_a_url_listed_twice_is_stored_once(spark):
+    from jobmatch.operators import pages
+    raw = spark.createDataFrame(
+        [("http://h/a", "<p>x</p>", 200), ("http://h/a", "<p>x</p>", 200), ("http://h/b", "<p>y</p>", 200)],
+        "url string, html string, http_status int")
+    stored = spark.createDataFrame([], "doc_name string")
+    docs, totals = pages.ingest_pages(raw, stored, F.current_timestamp(), pages.DRIVER_SELECTORS)
+    assert docs.count() == 2 and tuple(totals.first()) == (2, 1)
+
+
+def test_a_marked_section_does_not_cut_the_page():
+    from jobmatch.operators.pages import extract_page
+    rows = extract_page("<article><p>a</p><![foo[ x ]]><p>b</p></article>", [("description", 0, None, "//article/p")])
+    assert ["a", "b"] in rows
+
+
+def test_blanks_of_a_skill_survive_the_csv(spark, tmp_path):
+    from jobmatch.operators.sinks import write_skills_csv
+    from jobmatch.sources.vocabulary import read_skills_csv
+    rows = [(" c ", 2), ("c", 1)]
+    write_skills_csv(spark.createDataFrame(rows, "skill string, count long"), str(tmp_path / "csv"))
+    assert sorted(r.skill for r in read_skills_csv(spark, str(tmp_path / "csv")).collect()) == [" c ", "c"]
+
+
+def test_items_are_numbered_over_all_files_of_a_feed(spark, tmp_path):
+    from jobmatch.sources.feeds import read_feed_items
+    folder = tmp_path / "feed_index=3"
+    folder.mkdir()
+    for k in (0, 1):
+        items = "".join(f"<item><guid>g{k}{i}</guid></item>" for i in range(2))
+        (folder / f"part-{k}.xml").write_text(f"<channel>{items}</channel>")
+    got = sorted((r.feed_index, r.item_index, r.guid) for r in read_feed_items(spark, str(tmp_path)).collect())
+    assert got == [(3, 0, "g00"), (3, 1, "g01"), (3, 2, "g10"), (3, 3, "g11")]
+
+
+def test_a_repeated_skill_run_is_stored_once(spark, tmp_path):
+    from jobmatch.operators.sinks import append_skill_run
+    counts = spark.createDataFrame([("a", 1)], "skill string, count long")
+    for ts in ("2026-01-01T00:00:00Z", "2026-01-01T00:00:00Z", "2026-01-01T05:00:00Z"):
+        append_skill_run(counts, str(tmp_path / "h"), ts)
+    assert spark.read.parquet(str(tmp_path / "h")).count() == 2
