@@ -179,6 +179,17 @@ def _unshared(members: DataFrame, sets: DataFrame) -> DataFrame:
     return crowd.withColumn("h", F.xxhash64("node")).join(own, "h").select("node", F.col("count").alias("own"))
 
 
+def _across(open_: DataFrame, condition: Column) -> DataFrame:
+    """Pairs of a member outside its bucket's largest component and a member of another
+    component that meet ``condition``; two members outside are paired once."""
+    outer = open_.where("label <> largest").select("key", F.col("node").alias("a"), F.col("label").alias("la"),
+                                                   F.col("info").alias("x"))
+    inner = open_.select("key", F.col("node").alias("b"), F.col("label").alias("lb"), F.col("info").alias("y"),
+                         (F.col("label") != F.col("largest")).alias("out"))
+    return outer.join(inner, "key").where(
+        (F.col("la") != F.col("lb")) & (~F.col("out") | (F.col("a") < F.col("b"))) & condition)
+
+
 def links(docs: DataFrame, classes: DataFrame, n: int, threshold: int, id_col: str, text_col: str) -> DataFrame:
     """Verified links ``(a, b)`` between classes: as many as are needed to join every two
     classes that are linked."""
@@ -208,21 +219,25 @@ def links(docs: DataFrame, classes: DataFrame, n: int, threshold: int, id_col: s
     found = components(first)
     labelled = members.join(found, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
     largest = labelled.groupBy("key", "label").count().groupBy("key").agg(
-        F.max(F.struct("count", "label"))["label"].alias("largest"), F.count("*").alias("labels"))
-    open_ = labelled.join(largest.where("labels > 1").select("key", "largest"), "key")
-    full = able.select("node", F.struct("n", "shared", "sketch").alias("info"))
-    open_ = stored(open_.join(full, "node"), "open")
-    outer = open_.where("label <> largest").select("key", F.col("node").alias("a"), F.col("label").alias("la"),
-                                                   F.col("info").alias("x"))
-    inner = open_.select("key", F.col("node").alias("b"), F.col("label").alias("lb"), F.col("info").alias("y"),
-                         (F.col("label") != F.col("largest")).alias("out"))
-    # Two outer members are compared once.
-    pairs = outer.join(inner, "key").where(
-        (F.col("la") != F.col("lb")) & (~F.col("out") | (F.col("a") < F.col("b"))) & _may_link("x", "y", threshold))
+        F.max(F.struct("count", "label"))["label"].alias("largest"), F.count("*").alias("labels"),
+        F.sum("count").alias("members"))
+    open_ = stored(labelled.join(largest.where("labels > 1").drop("labels"), "key"), "open")
+    sketched = able.select("node", F.struct("n", "shared", "sketch").alias("info"))
+    pairs = _across(open_.where(F.col("members") <= CROWD).join(sketched, "node"), _may_link("x", "y", threshold))
     second = stored(_verified(pairs.select("a", "b").distinct(), sets, threshold), "links")
+    # In crowded buckets the sets themselves are in the join's condition, so that only links
+    # come out of it, and a pair is looked at in the first bucket that it shares.
+    whole = able.join(sets, "node").join(classes.select("node", "bands"), "node").select(
+        "node", F.struct("n", "shared", "sketch", "bands", "shingles").alias("info"))
+    first_shared = F.get(F.array_compact(F.zip_with("x.bands", "y.bands", lambda i, j: F.when(i == j, i))), 0)
+    both = F.size(F.array_intersect("x.shingles", "y.shingles"))
+    linked = both * (100 + threshold) >= (F.col("x.n") + F.col("y.n")) * threshold
+    crowded = _across(open_.where(F.col("members") > CROWD).join(whole, "node"),
+                      _may_link("x", "y", threshold) & (first_shared == F.col("key")) & linked)
+    third = stored(crowded.select("a", "b"), "links")
     for done in (members, info, sets, bound, open_):
         forget(done)
-    return first.unionByName(second)
+    return first.unionByName(second).unionByName(third)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: int = THRESHOLD, id_col: str = "doc_id",
