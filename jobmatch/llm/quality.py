@@ -120,8 +120,10 @@ def judge(docs: DataFrame, text_col: str = "text") -> DataFrame:
         .otherwise(F.lit(0)).cast("long").alias("lost_chars"))
     df = df.withColumn("base_failed", (F.col("n_words") < MIN_WORDS)
                        | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEATED))
-    return df.withColumn("kept", ~F.col("base_failed")
-                         & (F.col("lost_chars") * 100 <= F.col("word_chars") * MAX_LOST))
+    df = df.withColumn("kept", ~F.col("base_failed")
+                       & (F.col("lost_chars") * 100 <= F.col("word_chars") * MAX_LOST))
+    # Whoever filters by a verdict must not have the optimizer compute it twice.
+    return where_computed(df, F.lit(True))
 
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -135,7 +137,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def clean(docs: DataFrame, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
     """The documents that are kept, without their failing lines; same columns as
     ``docs``.  ``length_col``, if there is one, holds the new length in code points."""
-    df = where_computed(judge(docs, text_col), F.col("kept"))
+    df = judge(docs, text_col).where("kept")
     df = df.withColumn("cleaned", F.when(F.size("removed") == 0, F.col("t")).otherwise(
         F.array_join(F.filter("lines", lambda x: ~line_fails(x)), "\n")))
     new = {text_col: F.col("cleaned"), length_col: F.length("cleaned").cast("long")}
