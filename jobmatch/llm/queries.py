@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import (binary_output, decontamination, html_templates, maxent, odd_sketch, packing, quality, secrets,
                sharding, token_counts)
 from .common import table
+from .sql import SQL  # noqa: F401
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,4 +55,3 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_sharding, op2_decontamination, op3_token_ids, op4_quality_rules, op5_html_extraction, op6_token_counts,
     op7_packing, op8_lm_scoring, op9_near_dedup, op10_secret_scans)}
-SQL: dict[str, str] = {}
