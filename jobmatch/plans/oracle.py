@@ -286,3 +286,53 @@ SQL["match_common_terms_top10"] = _with(
     """qv AS (SELECT skill, tf::DOUBLE / sqrt(sum(tf * tf) OVER ()) AS qw FROM terms)""",
     """sc AS (SELECT doc_id, sum(qw * weight) AS score FROM model JOIN qv USING (skill) GROUP BY doc_id)""") + \
     "SELECT doc_id, round(score, 6) AS score FROM sc WHERE score > 0 ORDER BY score DESC, doc_id LIMIT 10"
+
+
+# ---- page sections: NFKD of the pages' characters, Latin letters with marks, is strip_accents
+
+def _decoded(x: str) -> str:
+    for ref, char in (("quot", '"'), ("lt", "<"), ("gt", ">"), ("copy", "\u00a9"), ("middot", "\u00b7")):
+        x = f"replace({x}, '&{ref};', {q(char)})"
+    return f"regexp_replace({x}, '&amp;?', '&', 'g')"
+
+
+def _section_text(x: str) -> str:
+    plain = f"regexp_replace({x}, '<[^>]*>', '', 'g')"
+    return f"regexp_replace(strip_accents({_decoded(plain)}), '[^\\x20-\\x7e]', '', 'g')"
+
+
+def _sections(pages: str) -> str:
+    """CTE ``sec(page_id, section, ordinal, text)`` of the driver layout over ``pages``."""
+    def first(tag: str, of: str = "html") -> str:
+        return f"regexp_extract({of}, '<{tag}>(.*?)</{tag}>', 1, 's')"
+
+    def items(section: str, lists: str, start: int, text: str) -> str:
+        return (f"SELECT page_id, '{section}', i - {start}, {text} FROM (SELECT page_id, l, "
+                f"unnest(range({start}, len(l) + 1)) AS i FROM (SELECT page_id, {lists} AS l FROM {pages}))")
+    links = f"regexp_extract_all({first('nav')}, '<a [^>]*>(.*?)</a>', 1, 's')"
+    return f"""raw AS (SELECT page_id, 'title' AS section, 0 AS ordinal, {first('title')} AS t FROM {pages}
+    UNION ALL SELECT page_id, 'location', 0, '' FROM {pages}
+    UNION ALL {items('skills', links, 1, 'l[i]')}
+    UNION ALL SELECT page_id, 'about', 0, {first('h1', first('article'))} FROM {pages}
+    UNION ALL {items('description', f"string_split({first('article')}, '<p>')", 2, "regexp_replace(l[i], '</p>.*', '', 's')")}),
+sec AS (SELECT page_id, section, ordinal::INTEGER AS ordinal, {_section_text('t')} AS text FROM raw)"""
+
+
+def _listed(section: str) -> str:
+    return (f"coalesce((SELECT list(text ORDER BY ordinal) FROM sec WHERE sec.page_id = p.page_id "
+            f"AND section = '{section}'), [])")
+
+
+SQL["page_sections"] = _with(_sections("pages")) + "SELECT page_id, section, ordinal, text FROM sec"
+SQL["job_docs"] = _with(NAMED, STORED, PENDING, """chosen AS (SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY doc_name ORDER BY url, page_id) AS k FROM pending) WHERE k = 1 AND http_status = 200)""",
+    _sections("chosen"), f"""docs AS (SELECT doc_name, url, {_listed('title')}[1] AS title, '' AS location,
+    {_listed('skills')} AS base_skills, {_listed('about')} AS about, {_listed('description')} AS description,
+    []::VARCHAR[] AS requirements FROM chosen p)""") + f"""SELECT *,
+    strftime({_ts(INGEST_TS)}, '%Y-%m-%d %H:%M:%S') AS ingest_ts,
+    url || {_BLANK} || 'DATE: ' || strftime({_ts(INGEST_TS)}, '%A, %d-%b-%y %H:%M:%S') || ' UTC' || {_BLANK}
+    || 'TITLE: ' || title || {_BLANK} || 'LOCATION: ' || location || {_BLANK}
+    || 'BASESKILLS: ' || coalesce(array_to_string(base_skills, ' '), '') || {_BLANK}
+    || 'ABOUT: ' || coalesce(array_to_string(about, {_NL}), '') || {_BLANK}
+    || 'DESCRIPTION: ' || coalesce(array_to_string(description, {_NL}), '') || {_BLANK}
+    || 'REQUIREMENTS: ' || {_NL} AS body FROM docs"""
