@@ -336,3 +336,24 @@ SQL["job_docs"] = _with(NAMED, STORED, PENDING, """chosen AS (SELECT * FROM (
     || 'ABOUT: ' || coalesce(array_to_string(about, {_NL}), '') || {_BLANK}
     || 'DESCRIPTION: ' || coalesce(array_to_string(description, {_NL}), '') || {_BLANK}
     || 'REQUIREMENTS: ' || {_NL} AS body FROM docs"""
+
+_MODEL_OF_DOCS = MODEL_CTES.replace("FROM documents", "FROM rendered").replace("doc_id", "doc_name")
+SQL["pipeline_top25"] = _with(
+    f"rendered AS (SELECT r.*, p.url FROM ({SQL['rendered_docs']}) r JOIN pages p USING (page_id))",
+    tags_ctes("(SELECT doc_name, body AS text FROM rendered)", "doc_name", "j_"), _MODEL_OF_DOCS,
+    *[c.replace("doc_id", "doc_name") for c in TOP25_CTES[2:]]) + f"""SELECT resume_id,
+    {q('<div id="innerResult">')} || string_agg(
+        '<div><a href="' || url || '" target="_blank">' || url || '</a></div>' || {_NL}, '' ORDER BY rank)
+    || '</div>' AS links FROM top JOIN rendered USING (doc_name) GROUP BY resume_id"""
+SQL["feed_files_running_count"] = _with(PAGE_ITEMS, CAT_ROWS, """numbered AS (SELECT feed_index, item_index,
+    row_number() OVER (PARTITION BY feed_index ORDER BY item_index) - 1 AS k FROM items)""") + """SELECT
+    feed_index, k::BIGINT AS item_index, pos, category,
+    count(*) OVER (PARTITION BY category ORDER BY feed_index, k, pos
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_count
+    FROM cats JOIN numbered USING (feed_index, item_index)"""
+SQL["skills_csv_lower"] = _with(PAGE_ITEMS, CAT_ROWS, VOCAB, _counts("true", "vocab", "cc")) + (
+    "SELECT DISTINCT lower(skill) AS skill FROM cc WHERE skill <> ''")
+SQL["ml_model"] = _with(tags_ctes(JOBS, "doc_id", "j_"), """nd AS (SELECT count(DISTINCT doc_id) AS m FROM j_tags),
+dfreq AS (SELECT skill, count(*) AS df FROM j_tags GROUP BY skill)""") + """SELECT doc_id, count(*) AS n_terms,
+    CASE WHEN max(tf * ln((m + 1.0) / (df + 1.0))) > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS squared_length
+    FROM j_tags JOIN dfreq USING (skill), nd GROUP BY doc_id"""

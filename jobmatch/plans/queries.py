@@ -221,9 +221,7 @@ def page_links_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("page_id", F.posexplode(page_links(F.col("html"))).alias("pos", "link"))
 
 
-def rendered_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored documents of the pending, fetched pages from the native fields (title,
-    nav links as base skills), control characters stripped."""
+def _rendered(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = pages.with_doc_names(tables.raw_pages(spark, sf_dir))
     todo = pages.pending(raw, tables.stored_names(spark, sf_dir)).filter(F.col("http_status") == 200)
     none = F.array().cast("array<string>")
@@ -231,7 +229,24 @@ def rendered_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("url"), F.lit(INGEST_TS).cast("timestamp"),
         ascii_strip(page_title(F.col("html"))), F.lit(""),
         F.transform(page_links(F.col("html")), ascii_strip), none, none, none)
-    return todo.select("page_id", "doc_name", body.alias("body"))
+    return todo.select("page_id", "doc_name", "url", body.alias("body"))
+
+
+def rendered_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored documents of the pending, fetched pages from the native fields (title,
+    nav links as base skills), control characters stripped."""
+    return _rendered(spark, sf_dir).drop("url")
+
+
+def pipeline_top25(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages end to end (Q19): rendered documents are tagged, the model is built on
+    them, every resume is matched, and its links carry the documents' own addresses."""
+    docs = _rendered(spark, sf_dir)
+    voc = driver_vocabulary(spark)
+    m = model.build_model(docs.select("doc_name", F.col("body").alias("text")), "doc_name", voc)
+    top = match.match_batch(tables.resumes(spark, sf_dir), m, voc, qkey="resume_id", dkey="doc_name", k=25)
+    addressed = top.join(docs.select("doc_name", "url"), "doc_name")
+    return match.result_links(addressed, "resume_id", "doc_name", url="url")
 
 
 def page_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -272,6 +287,7 @@ def stream_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables.resumes(spark, sf_dir).repartition(4).write.parquet(f"{wd}/resumes")
     jobs.stream_match(spark, f"{wd}/resumes", "resume_id long, text string", table,
                       vocab, f"{wd}/out", f"{wd}/ck").awaitTermination()
+    spark.sql(f"DROP TABLE {table}")
     return spark.read.parquet(f"{wd}/out").select(
         "resume_id", "doc_id", F.round("score", DIGITS).alias("score"), "rank")
 
@@ -324,6 +340,41 @@ def skills_csv_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_skills_csv(spark, f"{wd}/csv")
 
 
+def skills_csv_lower(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 then S7: the skill CSV of a feed run as a lower-case vocabulary, each skill once."""
+    from ..operators.sinks import write_skills_csv
+    from ..sources.vocabulary import read_skills_csv_lower
+    wd = _work(spark, "lower")
+    write_skills_csv(category_counts(spark, sf_dir), f"{wd}/csv")
+    return read_skills_csv_lower(spark, f"{wd}/csv")
+
+
+def ml_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1-M4 as ``pyspark.ml`` stages: how many terms each document's vector has, and its
+    squared length (1, or 0 if all its terms weigh nothing)."""
+    from pyspark.ml.functions import vector_to_array
+    tf = tagging.tag_skills(tables.jobs(spark, sf_dir), "doc_id", driver_vocabulary(spark))
+    values = vector_to_array("features")
+    squares = F.aggregate(values, F.lit(0.0), lambda a, x: a + x * x)
+    terms = F.size(F.filter(vector_to_array("raw"), lambda x: x > 0))
+    return model.ml_tfidf(tf, "doc_id", num_features=1 << 10).select(
+        "doc_id", terms.cast("bigint").alias("n_terms"), F.round(squares, DIGITS).alias("squared_length"))
+
+
+def feed_files_running_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 + W1: the feed items landed in several XML files a feed, read back, numbered over
+    the feed's files, and counted in arrival order."""
+    from ..sources.feeds import read_feed_items, split_quarantine
+    from ..streaming.jobs import land_feed_items
+    wd = _work(spark, "feeds")
+    items = tables.feed_items(spark, sf_dir)
+    order = ["feed_index", "item_index"]
+    land_feed_items(items.repartitionByRange(16, *order).sortWithinPartitions(*order), f"{wd}/land")
+    good, _bad = split_quarantine(read_feed_items(spark, f"{wd}/land"))
+    rc = skills.category_running_count(good, RUNNING_BUCKET)
+    return rc.select("feed_index", "item_index", "pos", "category", "running_count")
+
+
 def skill_history_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K2 over two stored runs, then the current view and the key-only scan."""
     from ..sources.models import read_skill_history
@@ -406,5 +457,9 @@ QUERIES = {
     "skills_csv_reload": skills_csv_reload,
     "skill_history_stored": skill_history_stored,
     "model_reload": model_reload,
+    "skills_csv_lower": skills_csv_lower,
+    "ml_model": ml_model,
+    "pipeline_top25": pipeline_top25,
+    "feed_files_running_count": feed_files_running_count,
     "job_store": job_store,
 }

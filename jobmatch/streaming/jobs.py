@@ -27,13 +27,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import match, pages
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, spark_context
 from ..sources.feeds import ITEM_SCHEMA, split_quarantine
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder for one run under the shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/jobmatch-{name}-{uuid.uuid4().hex}"
+    """A fresh folder for one run under the shared checkpoint folder, removed when the
+    application ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/jobmatch-{name}-{uuid.uuid4().hex}"
+    sc = spark_context(spark)
+    if sc is not None:
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return path
 
 
 def land_feed_items(items: DataFrame, landing: str) -> None:
