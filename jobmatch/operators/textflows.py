@@ -28,8 +28,8 @@ def word_line_index(texts: DataFrame, key: str, text_col: str = "text", method:
 
     ``method="row"`` (default) builds each text's index inside its own row: the
     (word, line) pairs are sorted, the positions where the word changes mark the
-    groups, and each group is a slice, so no (text, word) rows are shuffled at
-    all.  ``method="group"`` is the same result as ``groupBy(key, word)`` with
+    groups, and each group is read by place (``slice`` would copy the whole array for
+    each), so no (text, word) rows are shuffled at all.  ``method="group"`` is the same result as ``groupBy(key, word)`` with
     ``collect_list`` (one shuffle of the partial lists)."""
     if method == "group":
         wl = word_lines(texts, key, text_col)
@@ -40,7 +40,7 @@ def word_line_index(texts: DataFrame, key: str, text_col: str = "text", method:
         raise ValueError(f"unknown method {method!r}")
     pairs = F.flatten(F.transform(text_lines(F.col(text_col)), lambda line, i: F.transform(
         split_words_nonempty(line, " "), lambda w: F.struct(w.alias("word"), i.alias("line_no")))))
-    d = texts.select(key, F.array_sort(pairs).alias("_s"))      # by word, then line
+    d = texts.select(key, F.sort_array(pairs).alias("_s"))      # by word, then line
     s = F.col("_s")
     n = F.size(s)
     starts = F.when(n > 0, F.filter(
@@ -52,8 +52,8 @@ def word_line_index(texts: DataFrame, key: str, text_col: str = "text", method:
     groups = F.transform(st, lambda b, j: F.struct(
         F.element_at(s, b)["word"].alias("word"),
         F.concat(F.lit("["), F.array_join(F.transform(
-            F.slice(s, b, F.coalesce(F.get(st, j + 1), n + 1) - b), lambda x: x["line_no"]), " "),
-            F.lit("]")).alias("line_numbers")))
+            F.sequence(b, F.coalesce(F.get(st, j + 1), n + 1) - 1),
+            lambda k: F.element_at(s, k)["line_no"]), " "), F.lit("]")).alias("line_numbers")))
     return d.select(key, F.inline(groups))
 
 
