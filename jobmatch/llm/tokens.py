@@ -2,7 +2,7 @@
 
 A text is split at safe boundaries, places that no token of the tokenizer spans.  Equal
 segments have equal ids, so each worker asks the library once for a segment and keeps
-the answer (for a bounded number of segments); a long text costs no more memory than
+the answer (for a bounded number of segments, in two generations); a long text costs no more memory than
 its segments.
 """
 
@@ -17,23 +17,27 @@ from collections.abc import Callable, Iterator
 import numpy as np
 
 BATCH_BYTES = 4 << 20
-KEPT_SEGMENTS = 600_000
+KEPT_SEGMENTS = 400_000
 
 _SAFE = re.compile(r"(?<=\S)(?=[ \n]\S)")
 # The characters that byte-level vocabularies write for bytes: printable Latin-1 as it is,
 # the others, in order, from U+0100 on.
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_CHARS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+_SPACE_CHAR = chr(_BYTE_CHARS[32])
 _TAIL = frozenset(".,;:!?")
 
 
+def _long_gap(text: str) -> bool:
+    return "  " in text or "\n\n" in text or " \n" in text or "\n " in text
+
+
 def before_space(text: str) -> list[str]:
     """Segments for a tokenizer that puts one space before a word into the word's token:
     a boundary lies before each space or line feed that stands alone between two other
     characters.  Longer and other white space is never split."""
-    words = text.split()
-    gaps = text.count(" ") + text.count("\n")
-    if len(words) == gaps + 1 and sum(map(len, words)) + gaps == len(text) and "\0" not in text:
+    # Printable characters and these two hold no other white space.
+    if not (_long_gap(text) or text[:1] in " \n" or text[-1:] in " \n") and text.replace("\n", "").isprintable():
         return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
     return _SAFE.split(text)
 
@@ -72,6 +76,7 @@ class Encoder:
         self.model = self.tokenizer.model
         self.plain = self.split is before_space or self.split is at_space
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _ask(self, segments: set[str]) -> None:
         """Learn segments from the library: a plain word is one pre-token, which its model
@@ -79,9 +84,14 @@ class Encoder:
         known, code, model = self.known, self.dtype.char, self.model
         others = []
         for s in segments:
-            word = s[1:] if self.spaced and s[:1] == " " else s
-            if self.plain and word.isalpha() and max(word) < "Ā":
-                raw = (s if self.spaced else s.lower()).encode().decode("latin-1").translate(_BYTE_CHARS)
+            spaced = self.spaced and s[:1] == " "
+            word = s[1:] if spaced else s
+            if self.plain and word.isalpha() and (word.isascii() or max(word) < "Ā"):
+                raw = word if self.spaced else word.lower()
+                if not word.isascii():
+                    raw = raw.encode().decode("latin-1").translate(_BYTE_CHARS)
+                if spaced:
+                    raw = _SPACE_CHAR + raw
                 known[s] = array(code, [t.id for t in model.tokenize(raw)]).tobytes()
             else:
                 others.append(s)
@@ -101,9 +111,12 @@ class Encoder:
 
     def ids(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > KEPT_SEGMENTS:
-            self.known = {}
-        parts, known = [self.split(t) for t in texts], self.known
+            self.old, self.known = self.known, {}       # what is still in use comes back
+        parts, known, old = [self.split(t) for t in texts], self.known, self.old
         if missing := {s for p in parts for s in p if s not in known}:
+            if again := missing & old.keys():
+                known.update((s, old[s]) for s in again)
+                missing -= again
             self._learn(missing)
         return [b"".join(map(known.__getitem__, p)) for p in parts]
 
