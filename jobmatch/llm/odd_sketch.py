@@ -11,8 +11,9 @@
    central member, and components are formed.  Then only members outside the bucket's
    largest component are compared with members of other components.  Two documents that
    are linked are thus in one component after that, whatever the size of the bucket.
-   In crowded buckets a document's shingles that no other document there has bound its
-   similarity to any of them; members which that bound rules out are not compared.
+   A document's shingles that no other document of a crowded bucket has bound its
+   similarity to any of those, and only to those: members which that bound rules out are
+   not compared in crowded buckets, but in the others they are.
 
 Defined cases: null and empty texts have no shingles and are linked with nothing; a text
 with fewer words than a shingle is one shingle; equal texts, and rows that are repeated
@@ -155,9 +156,11 @@ def _differing(a: Column, b: Column) -> Column:
 
 
 def _may_link(x: str, y: str, threshold: int) -> Column:
-    """What two sets can share at most suffices, and so does what their sketches say."""
+    """What two sets can share at most suffices, and so does what their sketches say.
+    ``shared`` says something of pairs only that are both members of crowded buckets."""
     need = (F.col(f"{x}.n") + F.col(f"{y}.n")) * threshold
-    shared = F.least(F.col(f"{x}.shared"), F.col(f"{y}.shared"))
+    shared = F.when(F.col(f"{x}.crowd") & F.col(f"{y}.crowd"), F.least(F.col(f"{x}.shared"), F.col(f"{y}.shared"))
+                    ).otherwise(F.least(F.col(f"{x}.n"), F.col(f"{y}.n")))
     return (shared * (100 + threshold) >= need) & (
         _differing(F.col(f"{x}.sketch"), F.col(f"{y}.sketch")) <= max_differing_bits(threshold))
 
@@ -171,12 +174,13 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 
 
 def _unshared(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """``node, own``: how many shingles of a member of a crowded bucket no other such member
-    has."""
+    """``node, own`` for every member of a crowded bucket: how many of its shingles no other
+    such member has."""
     crowd = members.where(F.col("bucket") > CROWD).select("node").distinct()
     each = sets.join(crowd, "node").select(F.xxhash64("node").alias("h"), F.explode("shingles").alias("s"))
     own = each.groupBy("s").agg(F.count("*").alias("k"), F.min("h").alias("h")).where("k = 1").groupBy("h").count()
-    return crowd.withColumn("h", F.xxhash64("node")).join(own, "h").select("node", F.col("count").alias("own"))
+    return crowd.withColumn("h", F.xxhash64("node")).join(own, "h", "left").select(
+        "node", F.coalesce("count", F.lit(0)).alias("own"))
 
 
 def _across(open_: DataFrame, condition: Column) -> DataFrame:
@@ -201,17 +205,18 @@ def links(docs: DataFrame, classes: DataFrame, n: int, threshold: int, id_col: s
     sets = stored(_sets(docs, info, n, id_col, text_col), "sets")
     own = _unshared(members, sets)
     bound = stored(info.join(own, "node", "left").select(
-        "node", "n", "sketch", (F.col("n") - F.coalesce("own", F.lit(0))).alias("shared")), "bound")
-    able = bound.where(F.col("shared") * 100 >= F.col("n") * threshold)
-    members = members.join(able.select("node", "shared", "n"), "node").select(
-        "key", "node", (F.col("shared") / F.col("n")).alias("central"))
+        "node", "n", "sketch", (F.col("n") - F.coalesce("own", F.lit(0))).alias("shared"),
+        F.col("own").isNotNull().alias("crowd")), "bound")
+    able = F.col("shared") * 100 >= F.col("n") * threshold
+    members = members.join(bound.select("node", "shared", "n"), "node").where(
+        (F.col("bucket") <= CROWD) | able).select("key", "node", (F.col("shared") / F.col("n")).alias("central"))
     members = stored(members, "able")
 
     # All members against the most central one.
     lead = members.groupBy("key").agg(F.max(F.struct("central", "node"))["node"].alias("b"))
     pairs = members.join(lead, "key").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
-    x = able.select(F.col("node").alias("a"), F.struct("n", "shared", "sketch").alias("x"))
-    y = able.select(F.col("node").alias("b"), F.struct("n", "shared", "sketch").alias("y"))
+    x = bound.select(F.col("node").alias("a"), F.struct("n", "shared", "crowd", "sketch").alias("x"))
+    y = bound.select(F.col("node").alias("b"), F.struct("n", "shared", "crowd", "sketch").alias("y"))
     first = pairs.join(x, "a").join(y, "b").where(_may_link("x", "y", threshold)).select("a", "b")
     first = stored(_verified(first, sets, threshold), "links")
 
@@ -222,13 +227,13 @@ def links(docs: DataFrame, classes: DataFrame, n: int, threshold: int, id_col: s
         F.max(F.struct("count", "label"))["label"].alias("largest"), F.count("*").alias("labels"),
         F.sum("count").alias("members"))
     open_ = stored(labelled.join(largest.where("labels > 1").drop("labels"), "key"), "open")
-    sketched = able.select("node", F.struct("n", "shared", "sketch").alias("info"))
+    sketched = bound.select("node", F.struct("n", "shared", "crowd", "sketch").alias("info"))
     pairs = _across(open_.where(F.col("members") <= CROWD).join(sketched, "node"), _may_link("x", "y", threshold))
     second = stored(_verified(pairs.select("a", "b").distinct(), sets, threshold), "links")
     # In crowded buckets the sets themselves are in the join's condition, so that only links
     # come out of it, and a pair is looked at in the first bucket that it shares.
-    whole = able.join(sets, "node").join(classes.select("node", "bands"), "node").select(
-        "node", F.struct("n", "shared", "sketch", "bands", "shingles").alias("info"))
+    whole = bound.where(F.col("crowd") & able).join(sets, "node").join(classes.select("node", "bands"), "node").select(
+        "node", F.struct("n", "shared", "crowd", "sketch", "bands", "shingles").alias("info"))
     first_shared = F.get(F.array_compact(F.zip_with("x.bands", "y.bands", lambda i, j: F.when(i == j, i))), 0)
     both = F.size(F.array_intersect("x.shingles", "y.shingles"))
     linked = both * (100 + threshold) >= (F.col("x.n") + F.col("y.n")) * threshold

@@ -3,6 +3,7 @@
 import collections
 import html
 import math
+import random
 import re
 import zlib
 
@@ -81,6 +82,23 @@ def test_large_groups_of_near_copies(spark):
     assert collections.Counter(tuple(r[:3]) for r in odd_sketch.near_duplicates(docs, 4).collect()) == brute_components(rows, 4)
 
 
+def test_a_near_copy_outside_the_crowded_buckets_is_linked(spark):
+    rnd = random.Random(5)
+    own = lambda n: [f"w{rnd.randrange(10**9)}" for _ in range(n)]
+    passage = own(60)
+    rows = [(i, " ".join(passage + own(25))) for i in range(120)]
+    for k in range(30):
+        rest = own(140)
+        rows += [(1000 + 2 * k, " ".join(passage + rest)), (1001 + 2 * k, " ".join(passage[36:] + rest))]
+    bands, _ = odd_sketch._signatures([odd_sketch.shingle_set(t, 4) for _, t in rows])
+    size = collections.Counter(bands.ravel().tolist())
+    crowded = {i for (i, _), own_ in zip(rows, bands.tolist()) if any(size[b] > odd_sketch.CROWD for b in own_)}
+    assert any(i in crowded and i + 1 not in crowded for i in range(1000, 1060, 2))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in odd_sketch.near_duplicates(docs, 4).collect()}
+    assert got == {i: i - (i > 1000 and i % 2) for i, _ in rows}
+
+
 def test_sketches_estimate_high_similarities():
     rnd = np.random.default_rng(1)
     for shared in (400, 450, 490):
