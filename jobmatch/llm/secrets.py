@@ -26,6 +26,14 @@ from pyspark.sql import functions as F
 
 from .common import lower_ascii, small_side, stored, where_computed
 
+# What follows the heading of a private key: all up to its END line, or else, if there is
+# none, base64 as far as it goes, over line breaks (a word that starts the line after it
+# may go with it).  Header lines stand before either.  Without look-ahead, which the SQL
+# does not know, and without long runs of groups, for which Java needs stack.
+PEM_BODY = (r"""(?:(?:[^-]*Proc-Type:[^-]*DEK-Info:[^\r\n]*)?[^-]*-----END [A-Z ]*PRIVATE KEY-----"""
+            r"""|(?:\s*Proc-Type:[^\r\n]*\s+DEK-Info:[^\r\n]*)?"""
+            r"""(?:[\x20\t\r\n"',>|#*\\]*[A-Za-z0-9+/=]{16}[A-Za-z0-9+/=\r\n\\]*){0,60})""")
+
 # name, pattern, group and fewest characters of it.  The first three are the base kinds;
 # runs of a fixed class need no separate length check when it is in the pattern.
 RULES = (
@@ -37,7 +45,7 @@ RULES = (
     ("google", r"AIza[0-9A-Za-z_-]{35}", 0, 39),
     ("stripe", r"[rs]k_live_[0-9A-Za-z]{16,}", 0, 24),
     ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 32),
-    ("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 27),
+    ("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----" + PEM_BODY, 0, 27),
 )
 BASE = 3
 MAX_STRINGS = 64         # alternatives that are followed as whole strings

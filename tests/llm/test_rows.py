@@ -132,6 +132,22 @@ def test_spans_of_other_kinds_and_redaction(spark, odd_docs):
     assert one.text == 'Here is a [secret]" and [secret], see.'
 
 
+def test_redaction_leaves_nothing_of_a_private_key(spark):
+    lines = ["MIIEpAIBAAKCAQEA" + c * 48 for c in "abcdefgh"]
+    head, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    headers = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00FF\n\n"
+    key = "\n".join(lines)
+    texts = [(f"see\n{head}\n{key}\nQ+9=\n{end}\nthen prose", "see\n[secret]\nthen prose"),
+             (f"see {head}\n{headers}{key}\n{end} then {head}\n{key}\n{end}.", "see [secret] then [secret]."),
+             ("k = '" + "\\n".join([head, *lines, end]) + "'", "k = '[secret]'"),
+             (f"{head}\n{key}\nQ+9=\n(no end of it here)", "[secret](no end of it here)"),
+             (f"{head}\n{headers}{key}", "[secret]"),
+             (f"{head}\n{chr(10).join(lines * 4000)}\n{end} x", "[secret] x"),
+             (f"{head} is a heading, {end[:9]} is not", f"[secret] is a heading, {end[:9]} is not")]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    assert {r.doc_id: r.text for r in secrets.redact(docs).collect()} == {i: t for i, (_, t) in enumerate(texts)}
+
+
 # ---- sharding
 
 @pytest.mark.parametrize("n", [1, 2, 40, 41, 999, 1000])
