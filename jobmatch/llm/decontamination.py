@@ -51,10 +51,10 @@ def _item_sketches(items: DataFrame, threshold: int) -> DataFrame:
         F.slice("h", 1, n - _least(n, threshold) + 1).alias("sketch"))
 
 
-def leaks(docs: DataFrame, items: DataFrame, threshold: int = THRESHOLD, id_col: str = "doc_id",
-          text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """``doc_id, item_id, n_shared, n_item, containment`` for every item that leaks into a
-    document."""
+def _found(docs: DataFrame, items: DataFrame, threshold: int, id_col: str, text_col: str, item_id_col: str,
+           item_text_col: str) -> DataFrame:
+    """``doc_id, v, item_id, n, k`` for every item that leaks into a document; ``v`` is a
+    hash of the document's text."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("t"), F.xxhash64(text_col).alias("v"))
     items = items.select(F.col(item_id_col).alias("item_id"), F.col(item_text_col).alias("t")).distinct()
     sketches = stored(_item_sketches(items, threshold).withColumn("item", F.xxhash64("item_id", "t")), "items")
@@ -83,7 +83,15 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: int = THRESHOLD, id_col:
     shared = shared.join(pairs, F.col("doc_id").eqNullSafe(F.col("cd")) & (F.col("v") == F.col("cv"))
                          & (F.col("item") == F.col("ci")), "left_semi")
     counted = shared.groupBy("doc_id", "v", "item", "item_id", "n").agg(F.countDistinct("s").alias("k"))
-    best = counted.where(F.col("k") >= _least(F.col("n"), threshold)).groupBy("doc_id", "item_id").agg(
+    return counted.where(F.col("k") >= _least(F.col("n"), threshold))
+
+
+def leaks(docs: DataFrame, items: DataFrame, threshold: int = THRESHOLD, id_col: str = "doc_id",
+          text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """``doc_id, item_id, n_shared, n_item, containment`` for every item that leaks into a
+    document."""
+    found = _found(docs, items, threshold, id_col, text_col, item_id_col, item_text_col)
+    best = found.groupBy("doc_id", "item_id").agg(
         F.max(F.struct((F.col("k") / F.col("n")).alias("share"), "k", "n")).alias("b"))
     return best.select("doc_id", "item_id", F.col("b.k").cast("long").alias("n_shared"),
                        F.col("b.n").cast("long").alias("n_item"), F.col("b.share").alias("containment"))
@@ -91,7 +99,11 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: int = THRESHOLD, id_col:
 
 def decontaminate(docs: DataFrame, items: DataFrame, threshold: int = THRESHOLD, id_col: str = "doc_id",
                   text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """``docs`` without the documents that an item leaks into; same columns."""
-    hit = stored(leaks(docs, items, threshold, id_col, text_col, item_id_col, item_text_col)
-                 .select(F.col("doc_id").alias("_hit")).distinct(), "leaks")
-    return docs.join(small_side(hit), docs[id_col].eqNullSafe(F.col("_hit")), "left_anti")
+    """``docs`` without the rows whose text an item leaks into; same columns.  Rows with the
+    same id, or none, and other texts stay, but a row without a text goes with its id."""
+    found = _found(docs, items, threshold, id_col, text_col, item_id_col, item_text_col)
+    no_text = F.xxhash64(F.lit(None).cast("string"))
+    hit = stored(found.select(F.col("doc_id").alias("_hit"), F.explode(F.array("v", no_text)).alias("_v")).distinct(),
+                 "leaks")
+    return docs.join(small_side(hit), docs[id_col].eqNullSafe(F.col("_hit")) & (F.xxhash64(docs[text_col]) == F.col("_v")),
+                     "left_anti")

@@ -110,8 +110,8 @@ def _lists(values: np.ndarray) -> pa.Array:
 
 
 def signatures(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, n_shingles, node, bands, sketch``; ``node`` is a 128-bit digest of the set,
-    null for an empty one."""
+    """``doc_id, v, n_shingles, node, bands, sketch``; ``v`` is a hash of the text, ``node`` a
+    128-bit digest of the set, null for an empty one."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -122,13 +122,13 @@ def signatures(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame
                 bands[size > 0], sketch[size > 0] = _signatures([s for s in sets if len(s)])
             node = [hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size), pa.array(node, pa.binary()), _lists(bands), _lists(sketch)],
-                ["doc_id", "n_shingles", "node", "bands", "sketch"])
+                [batch.column(0), batch.column(2), pa.array(size), pa.array(node, pa.binary()), _lists(bands),
+                 _lists(sketch)], ["doc_id", "v", "n_shingles", "node", "bands", "sketch"])
 
-    narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("v"))
     kind = dict(narrow.dtypes)["doc_id"]
     return narrow.mapInArrow(
-        sign, f"doc_id {kind}, n_shingles long, node binary, bands array<long>, sketch array<long>")
+        sign, f"doc_id {kind}, v long, n_shingles long, node binary, bands array<long>, sketch array<long>")
 
 
 def _sets(docs: DataFrame, members: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
@@ -245,19 +245,27 @@ def links(docs: DataFrame, classes: DataFrame, n: int, threshold: int, id_col: s
     return first.unionByName(second).unionByName(third)
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: int = THRESHOLD, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``."""
+def _components(docs: DataFrame, shingle: int, threshold: int, id_col: str,
+                text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The signatures of all rows, and ``node, rep, label`` of all classes, ``label`` null for
+    those without links."""
     signed = stored(signatures(docs, shingle, id_col, text_col), "signed")
     classes = stored(signed.where(F.col("node").isNotNull()).groupBy("node").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"),
         F.first("sketch").alias("sketch")), "classes")
     found = components(links(docs, classes, shingle, threshold, id_col, text_col))
-    named = classes.select("node", "rep").join(found, "node", "left")
+    named = stored(classes.select("node", "rep").join(found, "node", "left"), "labels")
+    forget(classes)
+    return signed, named
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: int = THRESHOLD, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``."""
+    signed, named = _components(docs, shingle, threshold, id_col, text_col)
     smallest = named.where(F.col("label").isNotNull()).groupBy("label").agg(F.min("rep").alias("smallest"))
     named = stored(named.join(smallest, "label", "left").select(
         "node", F.coalesce("smallest", "rep").alias("component")), "named")
-    forget(classes)
     out = signed.select("doc_id", "n_shingles", "node").join(named, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
@@ -266,9 +274,22 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: int = THRESHOL
 
 def deduplicate(docs: DataFrame, shingle: int = 5, threshold: int = THRESHOLD, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each component, the one with the smallest id; same
-    columns.  Rows that share an id are one document and stay or go together; rows without
-    an id go together, if any of them is linked with a document that has one."""
-    gone = stored(near_duplicates(docs, shingle, threshold, id_col, text_col).where("not kept")
-                  .select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    return docs.join(small_side(gone), docs[id_col].eqNullSafe(F.col("_gone")), "left_anti")
+    """``docs`` with one row of each component; same columns.  It is the one with the smallest
+    id, rows without an id last, then with the smallest hash of its text; of rows equal in
+    both any one.  Rows without shingles all stay."""
+    signed, named = _components(docs, shingle, threshold, id_col, text_col)
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "v")
+    best = signed.where(F.col("node").isNotNull()).groupBy("node").agg(F.min(rank).alias("best"))
+    best = stored(best.join(named, "node").select("node", F.coalesce("label", "node").alias("label"), "best"), "best")
+    first = best.groupBy("label").agg(F.min("best").alias("first"))
+    first = stored(best.select("node", "label").join(first, "label").select("node", "first"), "first")
+    forget(best)
+    rows = signed.select("doc_id", "v", "node").join(first, "node")
+    stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("v") == F.col("first.v"))
+    rows = rows.groupBy("doc_id", "v").agg(F.first(stays).alias("stays"), F.count("*").alias("rows"))
+    rows = stored(rows.where("not stays or rows > 1").select(F.col("doc_id").alias("_id"), F.col("v").alias("_v"), "stays"),
+                  "gone")
+    forget(first)
+    same = lambda df: df[id_col].eqNullSafe(F.col("_id")) & (F.xxhash64(df[text_col]) == F.col("_v"))
+    once = docs.join(small_side(rows.where("stays")), same(docs), "left_semi").dropDuplicates([id_col, text_col])
+    return docs.join(small_side(rows), same(docs), "left_anti").unionByName(once)

@@ -117,6 +117,15 @@ def test_one_of_each_group_stays(odd_docs):
     assert {1, 7, 9, 4, 5} <= ids and not {2, 3, 8, 10} & ids
 
 
+def test_one_row_of_each_group_stays_without_ids_too(spark):
+    text = [" ".join(f"{c}{k}" for k in range(60)) for c in "abcd"]
+    rows = [(1, text[0]), (None, text[0]), (None, text[1]), (None, text[1]), (5, text[2]), (5, text[2]), (5, text[3]),
+            (2, text[3]), (None, "")]
+    out = odd_sketch.deduplicate(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert collections.Counter(map(tuple, out.collect())) == collections.Counter(
+        [(1, text[0]), (None, text[1]), (5, text[2]), (2, text[3]), (None, "")])
+
+
 def test_components_of_a_path_and_a_star(spark):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + k) for k in range(1, 50)] + [(300, 300)]
     got = {r.node: r.label for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
@@ -153,6 +162,15 @@ def test_leaks_are_those_of_all_pairs(spark, odd_docs, no_docs):
     assert 12 in {r.doc_id for r in clean.collect()}
 
 
+def test_clean_rows_beside_a_leaking_one_stay(spark):
+    item = "one two three four five six seven"
+    rows = [(None, f"so {item} it is"), (None, "a clean text of no id at all"), (3, item), (3, "another text of this id"),
+            (4, "clean and alone")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = decontamination.decontaminate(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert {tuple(r) for r in out.collect()} == {rows[1], rows[3], rows[4]}
+
+
 def test_leaks_of_the_benchmark(spark):
     docs, items = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "benchmark"))
     want = brute_leaks([(r.doc_id, r.text) for r in docs.collect()], [(r.item_id, r.text) for r in items.collect()])
