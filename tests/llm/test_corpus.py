@@ -199,6 +199,17 @@ def test_main_text_of_one_layout(spark):
     assert html_templates.main_texts(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("page", [
+    '<html class="no-cookies"><body class="single has-sidebar">{}</body></html>', '<body class="no-sidebar">{}</body>',
+    '<body class="has-navbar-fixed-top"><main id="header">{}</main></body>',
+    '<article class="post comments-open">{}</article>', '<article class="comments">{}</article>',
+    '<body><div class="page with-sidebar">{}</div></body>', '<div id="modal"><div class="notice">{}</div></div>'])
+def test_names_do_not_empty_pages(page):
+    inner = ('<h1>Head</h1><p>All of the text that this page has.</p><div class="x site-footer">(c)</div>'
+             '<div id="cookie-banner">no</div><p class="ad">buy</p>')
+    assert html_templates.extract(page.format(inner), None) == "Head\nAll of the text that this page has."
+
+
 def test_main_text_of_the_pages(spark):
     pages = spark.read.parquet(f"{SF01}/pages.parquet")
     source = {r.page_id: r.html for r in pages.collect()}
