@@ -6,8 +6,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (binary_output, decontamination, html_templates, maxent, odd_sketch, packing, quality, secrets,
-               sharding, token_counts)
+from . import (binary_output, decontamination, filter_audit, html_templates, maxent, odd_sketch, packing, quality,
+               secrets, sentence_pieces, sharding, token_counts, whitening)
 from .common import table
 from .sql import SQL  # noqa: F401
 
@@ -52,6 +52,19 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_rows(table(spark, sf_dir, "embeddings"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_pieces.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_sharding, op2_decontamination, op3_token_ids, op4_quality_rules, op5_html_extraction, op6_token_counts,
-    op7_packing, op8_lm_scoring, op9_near_dedup, op10_secret_scans)}
+    op7_packing, op8_lm_scoring, op9_near_dedup, op10_secret_scans, op11_whitening, op12_filter_audit,
+    op13_sentence_pieces)}

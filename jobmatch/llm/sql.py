@@ -7,7 +7,7 @@ scanned by every rule instead of a trigram index.
 
 from __future__ import annotations
 
-from . import decontamination, odd_sketch, quality, secrets
+from . import decontamination, filter_audit, odd_sketch, quality, secrets
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SPACE = r"[\x20\x09-\x0D]+"
@@ -101,5 +101,39 @@ SELECT doc_id, {counts}, sha256({base}) AS base_sha256, {listed.format('')} AS s
 FROM documents LEFT JOIN (SELECT doc_id, kind, a::BIGINT AS a, n FROM spans) USING (doc_id) GROUP BY doc_id"""
 
 
+def _filter_audit() -> str:
+    """Every row's failed filters as bits, and every order run over the counts of the 32
+    combinations."""
+    f = filter_audit
+    tests = (f"len(w) < {f.MIN_WORDS}", f"100 * len(list_distinct(w)) < {f.DISTINCT_PERCENT} * len(w)",
+             f"100 * len(regexp_extract_all(t, '[A-Z]')) > {f.UPPER_PERCENT} * length(t)",
+             f"regexp_matches(t, '[{f.SYMBOLS.decode()}]')", "doc_id > low")
+    bits = " + ".join(f"CASE WHEN {x} THEN {1 << k} ELSE 0 END" for k, x in enumerate(tests))
+    letters = ", ".join(_q(x) for x in f.FILTERS)
+    return f"""WITH RECURSIVE t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, {_words('text')} AS w,
+    min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS low FROM documents),
+marks AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+    FROM labels GROUP BY doc_id),
+rows_ AS (SELECT part, {bits} AS fails, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic FROM t LEFT JOIN marks USING (doc_id)),
+combos AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM rows_ GROUP BY ALL),
+letters AS (SELECT unnest([{letters}]) AS x, unnest([1, 2, 4, 8, 16]) AS bit),
+orders(filter_order, used, n) AS (SELECT '', 0, 0 UNION ALL SELECT filter_order || x, used + bit, n + 1
+    FROM orders JOIN letters ON used & bit = 0 WHERE n < 5),
+steps AS (SELECT filter_order, step, bit, (SELECT coalesce(sum(l.bit), 0) FROM letters l
+    WHERE position(l.x IN filter_order) < step) AS before
+    FROM (SELECT filter_order, unnest([1, 2, 3, 4, 5]) AS step FROM orders WHERE n = 5)
+    JOIN letters ON x = filter_order[step]),
+counted AS (SELECT part, filter_order, step, bit,
+    sum(CASE WHEN fails & (before + bit) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+    sum(CASE WHEN fails & before = 0 AND fails & bit > 0 THEN n ELSE 0 END)::BIGINT AS removed,
+    sum(CASE WHEN fails & before > 0 AND fails & bit > 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+    sum(CASE WHEN fails = bit THEN n ELSE 0 END)::BIGINT AS unique_fails,
+    sum(CASE WHEN fails & before = 0 AND fails & bit > 0 THEN good ELSE 0 END)::BIGINT AS good_lost,
+    sum(CASE WHEN fails & before = 0 AND fails & bit > 0 THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+    FROM combos, (SELECT filter_order, step, bit::INTEGER AS bit, before::INTEGER AS before FROM steps) GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+    (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley FROM counted"""
+
+
 SQL = {"op2_decontamination": _leaks(), "op4_quality_rules": _quality(), "op9_near_dedup": _near_dedup(),
-       "op10_secret_scans": _secrets()}
+       "op10_secret_scans": _secrets(), "op12_filter_audit": _filter_audit()}
