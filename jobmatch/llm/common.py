@@ -87,6 +87,17 @@ def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def with_few(rows: DataFrame, values: DataFrame, key: str, salts: int = 32) -> DataFrame:
+    """``rows`` joined with ``values``, which has one row for each ``key`` (stored files).  Past
+    the size that is broadcast, ``values`` are repeated ``salts`` times, so that the rows of
+    one key are spread over as many tasks."""
+    if values.count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(values), key)
+    salt = F.pmod(F.xxhash64(*[c for c in rows.columns if c != key]), F.lit(salts))
+    spread = values.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long"))
+    return rows.withColumn("_salt", salt).join(spread, [key, "_salt"]).drop("_salt")
+
+
 def _joined(step: int, right: str):
     return lambda h, i: F.xxhash64(h, F.get(F.col(right), i + step))
 

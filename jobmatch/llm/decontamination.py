@@ -16,7 +16,8 @@ Defined cases: null and empty texts have no shingles, so such items are never fo
 such documents hold nothing; a text of fewer than five words is one shingle, the whole
 of it; documents or items that are repeated count once, and a pair of ids that occurs
 with several texts is returned with its largest containment; null ids are carried; an
-empty table gives no rows.  Only ids and texts are read, so other columns cannot clash.
+empty table gives no rows.  Only ids and texts are read (``decontaminate`` carries the rest in
+a struct), so other columns cannot clash.
 """
 
 from __future__ import annotations
@@ -100,10 +101,9 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: int = THRESHOLD, id_col:
 def decontaminate(docs: DataFrame, items: DataFrame, threshold: int = THRESHOLD, id_col: str = "doc_id",
                   text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """``docs`` without the rows whose text an item leaks into; same columns.  Rows with the
-    same id, or none, and other texts stay, but a row without a text goes with its id."""
+    same id, or none, and other texts stay, those without a text too."""
     found = _found(docs, items, threshold, id_col, text_col, item_id_col, item_text_col)
-    no_text = F.xxhash64(F.lit(None).cast("string"))
-    hit = stored(found.select(F.col("doc_id").alias("_hit"), F.explode(F.array("v", no_text)).alias("_v")).distinct(),
-                 "leaks")
-    return docs.join(small_side(hit), docs[id_col].eqNullSafe(F.col("_hit")) & (F.xxhash64(docs[text_col]) == F.col("_v")),
-                     "left_anti")
+    hit = stored(found.select(F.col("doc_id").alias("hit_id"), F.col("v").alias("hit_v")).distinct(), "leaks")
+    rows = docs.select(F.struct("*").alias("row"))
+    same = F.col("row")[id_col].eqNullSafe(F.col("hit_id")) & (F.xxhash64(F.col("row")[text_col]) == F.col("hit_v"))
+    return rows.join(small_side(hit), same, "left_anti").select("row.*")

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import forget, small_side, stored
+from .common import forget, small_side, stored, with_few
 from .components import components
 
 THRESHOLD = 80           # per cent
@@ -264,8 +264,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: int = THRESHOL
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``."""
     signed, named = _components(docs, shingle, threshold, id_col, text_col)
     smallest = named.where(F.col("label").isNotNull()).groupBy("label").agg(F.min("rep").alias("smallest"))
-    named = stored(named.join(smallest, "label", "left").select(
-        "node", F.coalesce("smallest", "rep").alias("component")), "named")
+    # Classes without links are their own components; a label may hold very many of the others.
+    linked = with_few(named.where(F.col("label").isNotNull()), stored(smallest, "smallest"), "label")
+    named = stored(linked.select("node", F.col("smallest").alias("component")).unionByName(
+        named.where(F.col("label").isNull()).select("node", F.col("rep").alias("component"))), "named")
     out = signed.select("doc_id", "n_shingles", "node").join(named, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
@@ -280,16 +282,20 @@ def deduplicate(docs: DataFrame, shingle: int = 5, threshold: int = THRESHOLD, i
     signed, named = _components(docs, shingle, threshold, id_col, text_col)
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "v")
     best = signed.where(F.col("node").isNotNull()).groupBy("node").agg(F.min(rank).alias("best"))
-    best = stored(best.join(named, "node").select("node", F.coalesce("label", "node").alias("label"), "best"), "best")
-    first = best.groupBy("label").agg(F.min("best").alias("first"))
-    first = stored(best.select("node", "label").join(first, "label").select("node", "first"), "first")
+    best = stored(best.join(named, "node").select("node", "label", "best"), "best")
+    linked = best.where(F.col("label").isNotNull())
+    first = stored(linked.groupBy("label").agg(F.min("best").alias("first")), "first-of-label")
+    first = stored(with_few(linked.select("node", "label"), first, "label").select("node", "first").unionByName(
+        best.where(F.col("label").isNull()).select("node", F.col("best").alias("first"))), "first")
     forget(best)
     rows = signed.select("doc_id", "v", "node").join(first, "node")
     stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("v") == F.col("first.v"))
     rows = rows.groupBy("doc_id", "v").agg(F.first(stays).alias("stays"), F.count("*").alias("rows"))
-    rows = stored(rows.where("not stays or rows > 1").select(F.col("doc_id").alias("_id"), F.col("v").alias("_v"), "stays"),
-                  "gone")
+    gone = stored(rows.where("not stays or rows > 1").select(
+        F.col("doc_id").alias("gone_id"), F.col("v").alias("gone_v"), "stays"), "gone")
     forget(first)
-    same = lambda df: df[id_col].eqNullSafe(F.col("_id")) & (F.xxhash64(df[text_col]) == F.col("_v"))
-    once = docs.join(small_side(rows.where("stays")), same(docs), "left_semi").dropDuplicates([id_col, text_col])
-    return docs.join(small_side(rows), same(docs), "left_anti").unionByName(once)
+    rows = docs.select(F.struct("*").alias("row"))
+    same = F.col("row")[id_col].eqNullSafe(F.col("gone_id")) & (F.xxhash64(F.col("row")[text_col]) == F.col("gone_v"))
+    once = rows.join(small_side(gone.where("stays")), same).groupBy("gone_id", "gone_v").agg(F.first("row").alias("row"))
+    left = rows.join(small_side(gone), same, "left_anti")
+    return left.unionByName(once.select("row")).select("row.*")

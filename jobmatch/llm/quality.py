@@ -24,7 +24,12 @@ MAX_REPEATED = 30        # per cent of the words, in windows of:
 WINDOW = 8
 SYMBOLS = "[#*$%&|<>]"
 # Line rules.  The words of a line are counted by its spaces.
-SENTENCE_END = r"""[.!?…。！？]["'”’»)\]]*(?:[\x20\x09-\x0D]|$)"""
+# Marks that end a sentence, by script (Latin, Han, Arabic, Syriac,
+# Devanagari, Armenian, Ethiopic, Khmer, Burmese, Tibetan, Mongolian), and the blocks of Thai
+# and Lao, which end sentences without a mark: their lines are not held to this rule.
+SENTENCE_MARKS = ".!?…" "。！？｡．" "؟۔" "܀܁܂" "।॥" "։" "።፧፨" "។៕" "။" "།༎" "᠃᠉"
+UNMARKED_SCRIPTS = "\u0e01-\u0e5b\u0e81-\u0edf"
+SENTENCE_END = rf"""[{SENTENCE_MARKS}]["'”’»)\]]*(?:[\x20\x09-\x0D]|$)|[{UNMARKED_SCRIPTS}]"""
 SEPARATORS = "[|»›·•]"
 MIN_SEPARATORS = 2       # and at least one for every four words
 MAX_SYMBOL_SHARE = 10    # per cent of the characters of the line

@@ -24,15 +24,19 @@ import re._parser as parser
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, small_side, stored, where_computed
-
-# What follows the heading of a private key: all up to its END line, or else, if there is
-# none, base64 as far as it goes, over line breaks (a word that starts the line after it
-# may go with it).  Header lines stand before either.  Without look-ahead, which the SQL
-# does not know, and without long runs of groups, for which Java needs stack.
-PEM_BODY = (r"""(?:(?:[^-]*Proc-Type:[^-]*DEK-Info:[^\r\n]*)?[^-]*-----END [A-Z ]*PRIVATE KEY-----"""
-            r"""|(?:\s*Proc-Type:[^\r\n]*\s+DEK-Info:[^\r\n]*)?"""
-            r"""(?:[\x20\t\r\n"',>|#*\\]*[A-Za-z0-9+/=]{16}[A-Za-z0-9+/=\r\n\\]*){0,60})""")
+from .common import BROADCAST_ROWS, lower_ascii, small_side, stored, where_computed
+
+# What follows the heading of a private key: header lines, then pieces of 16 or more base64
+# characters with what quotes or breaks lines between them, as many as there are; then, if
+# they are there, a shorter last piece and the END line.  Prose is none of these, so a
+# heading that is only mentioned takes nothing along.  The runs are possessive, as Java
+# would need stack for each piece else; nothing after them is mandatory, so greedy runs
+# match the same.
+_QUOTE = r"""[\x20\t\r\n"',>|#*\\]*"""
+PEM_BODY = (rf"""(?:{_QUOTE}Proc-Type:[^\r\n]*\s+{_QUOTE}DEK-Info:[^\r\n]*)?"""
+            rf"""(?:{_QUOTE}[A-Za-z0-9+/=]{{16}}[A-Za-z0-9+/=\r\n\\]*)*+"""
+            rf"""(?:{_QUOTE}[A-Za-z0-9+/]{{1,15}}={{1,2}})?"""
+            rf"""(?:{_QUOTE}[A-Za-z0-9+/=]{{0,15}}{_QUOTE}-----END [A-Z ]*PRIVATE KEY-----)?""")
 
 # name, pattern, group and fewest characters of it.  The first three are the base kinds;
 # runs of a fixed class need no separate length check when it is in the pattern.
@@ -216,10 +220,12 @@ def redact(docs: DataFrame, rules=RULES, mark: str = "[secret]", id_col: str = "
     """``docs`` with each span (overlapping ones together) replaced by ``mark``; same columns.
     ``length_col``, if there is one, holds the new length in code points."""
     found = where_computed(find(docs, rules, id_col, text_col), F.size("spans") > 0)
-    found = stored(found.groupBy("doc_id", "v").agg(F.first("spans").alias("spans")), "spans")
+    found = stored(found.groupBy("doc_id", "v").agg(F.first("spans").alias("spans"), F.max(F.size("spans")).alias("n")), "spans")
     rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     same = F.col("row")[id_col].eqNullSafe(F.col("doc_id")) & (F.xxhash64("t") == F.col("v"))
-    rows = rows.join(small_side(found), same, "left")
+    # Lists of spans may be long, so what is broadcast is bounded by their entries.
+    few = found.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] <= BROADCAST_ROWS
+    rows = rows.join(F.broadcast(found) if few else found, same, "left")
 
     def step(acc: Column, x: Column) -> Column:
         new = x["start"] >= acc["at"]

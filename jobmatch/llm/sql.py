@@ -85,7 +85,7 @@ FROM documents JOIN least ON least.k = doc_id LEFT JOIN size ON size.k = doc_id"
 def _secrets() -> str:
     spans = []
     for kind, (_, pattern, group, least) in enumerate(secrets.RULES):
-        p = _q(pattern)
+        p = _q(pattern.replace("*+", "*"))
         spans.append(f"""SELECT doc_id, {kind} AS kind,
     list_sum(list_transform(gap[:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hit[:i - 1], lambda x: length(x))), 0) AS a,
     length(hit[i]) AS n FROM (SELECT doc_id, gap, hit, val, unnest(range(1, len(hit) + 1)) AS i FROM (

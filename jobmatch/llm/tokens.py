@@ -48,13 +48,26 @@ def at_space(text: str) -> list[str]:
     return text.replace("\n", " ").split(" ")
 
 
+# The steps before the model in the two kinds of tokenizer whose segments are
+# known.  Words of letters are one pre-token in both.
+_BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+_WORDS = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+     "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+_LOWER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+
+
 def splitter(tokenizer) -> Callable[[str], list[str]]:
-    """The segments that are safe for a tokenizer, by its pre-tokenizer; else whole texts."""
-    pre = json.loads(tokenizer.to_str())["pre_tokenizer"] or {}
-    parts = pre.get("pretokenizers", [pre])
-    if pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space"):
+    """The segments that are safe for a tokenizer, if all steps before its model are those of
+    a known kind and no added token takes more than its own text; else whole texts."""
+    steps = json.loads(tokenizer.to_str())
+    own = not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] or " " in t["content"]
+                  or "\n" in t["content"] for t in steps["added_tokens"])
+    if own and steps["normalizer"] is None and steps["pre_tokenizer"] == _BYTE_LEVEL:
         return before_space
-    if parts[0].get("type") == "Split" and parts[0]["behavior"] == "Removed" and parts[0]["invert"]:
+    if own and steps["normalizer"] == _LOWER and steps["pre_tokenizer"] == _WORDS:
         return at_space
     return lambda text: [text]
 
@@ -102,7 +115,7 @@ class Encoder:
         """A sign at the end of a word is a token run of its own: word and sign are asked for
         apart, so that a word costs one call whatever follows it."""
         split = {}
-        for s in missing:
+        for s in missing if self.plain else ():
             if s[-1:] in _TAIL and len(s) > 1 and s[-2].isalpha() and s[-2] < "Ā":
                 split[s] = (s[:-1], s[-1])
         self._ask({x for pair in split.values() for x in pair if x not in self.known} | (missing - split.keys()))

@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from jobmatch.llm import components, decontamination, html_templates, maxent, odd_sketch, quality, secrets
@@ -158,8 +159,12 @@ def test_leaks_are_those_of_all_pairs(spark, odd_docs, no_docs):
     assert decontamination.leaks(no_docs, items_df).count() == 0
     assert decontamination.leaks(odd_docs, items_df.limit(0)).count() == 0
     clean = decontamination.decontaminate(odd_docs, items_df)
-    assert clean.dtypes == odd_docs.dtypes and not {1, 2, 7, 9, None} & {r.doc_id for r in clean.collect()}
-    assert 12 in {r.doc_id for r in clean.collect()}
+    found = {x[0] for x in brute_leaks([(k, t) for k, (_, t, _) in enumerate(odd_rows())], items)}
+    stay = collections.Counter((i, t) for k, (i, t, _) in enumerate(odd_rows()) if k not in found)
+    assert clean.dtypes == odd_docs.dtypes and collections.Counter((r.doc_id, r.text) for r in clean.collect()) == stay
+    assert stay[(None, None)] and not any(i in (1, 2, 7, 9) for i, _ in stay)
+    assert decontamination.decontaminate(no_docs, items_df).collect() == []
+    assert decontamination.decontaminate(odd_docs, items_df.limit(0)).count() == len(odd_rows())
 
 
 def test_clean_rows_beside_a_leaking_one_stay(spark):
@@ -289,6 +294,39 @@ def test_stages_against_brute_force(spark, odd_docs, tmp_path):
     assert corpus_pipeline.run(spark, SF01).count() == last.count()
 
 
+def test_names_and_values_are_carried_by_every_stage(spark, odd_docs, no_docs):
+    """Columns named like those that operators make, among them the usual key of exports."""
+    names = ["_id", "_v", "_hit", "hit_id", "gone_id", "gone_v", "stays", "cd", "cv", "label", "_salt", "new", "best", "_place"]
+    cells = [F.concat(F.lit(f"{c}-"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))).alias(c) for c in names]
+    docs = odd_docs.select("doc_id", "text", "lang", "n_chars", *cells)
+    items = spark.createDataFrame([(1, "one two three")], "item_id long, text string")
+    for stage in (quality.clean, odd_sketch.deduplicate, lambda d: decontamination.decontaminate(d, items), secrets.redact):
+        rows = stage(docs).collect()
+        assert rows and all(r[c] == f"{c}-{'none' if r.doc_id is None else r.doc_id}" for r in rows for c in names)
+        empty = stage(docs.limit(0))
+        assert empty.collect() == [] and empty.dtypes == docs.dtypes
+
+
+def test_the_whole_pipeline_on_odd_rows_and_on_none(spark, odd_docs, no_docs, tmp_path):
+    for name, docs in (("odd", odd_docs), ("none", no_docs)):
+        folder = str(tmp_path / name)
+        docs.write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame([(1, "one two three"), (2, None)], "item_id long, text string").write.parquet(
+            f"{folder}/benchmark.parquet")
+        out = corpus_pipeline.run(spark, folder).collect()
+        assert bool(out) == (name == "odd")
+
+
+@pytest.mark.parametrize("rows", [300_000, 3])
+def test_few_values_are_joined_with_hot_keys(spark, monkeypatch, rows):
+    from jobmatch.llm import common
+    monkeypatch.setattr(common, "BROADCAST_ROWS", rows)
+    left = spark.range(500).selectExpr("id as node", "if(id < 400, 0, id) as label")
+    few = left.groupBy("label").agg(F.min("node").alias("least"))
+    got = {(r.node, r.least) for r in common.with_few(left, few, "label").collect()}
+    assert got == {(i, 0 if i < 400 else i) for i in range(500)}
+
+
 def test_clashing_names_are_carried(odd_docs):
     kept = quality.clean(odd_docs).select(*CLASH).distinct().collect()
     assert [tuple(r) for r in kept] == [tuple(f"{c}?" for c in CLASH)]

@@ -143,7 +143,13 @@ def test_redaction_leaves_nothing_of_a_private_key(spark):
              (f"{head}\n{key}\nQ+9=\n(no end of it here)", "[secret](no end of it here)"),
              (f"{head}\n{headers}{key}", "[secret]"),
              (f"{head}\n{chr(10).join(lines * 4000)}\n{end} x", "[secret] x"),
-             (f"{head} is a heading, {end[:9]} is not", f"[secret] is a heading, {end[:9]} is not")]
+             (f"{head} is a heading, {end[:9]} is not", f"[secret] is a heading, {end[:9]} is not"),
+             (f"{head} only opens a key. Prose stays.\nMore of it, and then {end} closes one.",
+              f"[secret] only opens a key. Prose stays.\nMore of it, and then {end} closes one.")]
+    for n in (99, 1000):
+        quoted = "".join(f"> {lines[i % 8]}\n" for i in range(n))
+        texts += [(f"> {head}\n{quoted}", "> [secret]"), (f"> {head}\n{quoted}> Q+9=\n> {end}\nbye", "> [secret]\nbye"),
+                  (f"> {head}\n{quoted}> Qab9=\nThe rest is prose.", "> [secret]\nThe rest is prose.")]
     docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
     assert {r.doc_id: r.text for r in secrets.redact(docs).collect()} == {i: t for i, (_, t) in enumerate(texts)}
 
@@ -182,3 +188,18 @@ def test_whole_rows_are_written_by_shard(spark, odd_docs, tmp_path):
     back = spark.read.parquet(str(tmp_path / "s"))
     same_rows([(r.doc_id, r.text, r.kept) for r in back.collect()], [(r.doc_id, r.text, r.kept) for r in odd_docs.collect()])
     assert {r["count"] for r in back.groupBy("shard").count().collect()} == {7}
+
+
+def test_sentences_end_by_the_marks_of_their_script(spark):
+    """Twenty lines each; the same prose is kept in any script, a menu in none."""
+    ends = {"hi": "।", "ar": "؟", "ur": "۔", "hy": "։", "am": "።", "km": "។", "my": "။", "zh": "。", "en": "."}
+    letters = {"hi": "हिन्दी", "ar": "عربي", "ur": "اردو", "hy": "Հայ", "am": "አማርኛ", "km": "ខ្មែរ", "my": "မြန်မာ", "zh": "中文", "en": "prose"}
+    rows = [(k, "\n".join(f"{letters[k]} {i} {letters[k]}{i}{e}" for i in range(20)), True) for k, e in ends.items()]
+    rows += [(k, "\n".join(f"{w} {i} {w}{i}" for i in range(20)), k != "menu")
+             for k, w in (("th", "ภาษาไทย"), ("lo", "ພາສາລາວ"), ("menu", "Home"))]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id string, text string")
+    assert {r.doc_id: r.kept for r in quality.quality(docs).collect()} == {k: v for k, _, v in rows}
+
+
+def test_redaction_of_nothing(no_docs):
+    assert secrets.redact(no_docs).collect() == [] and secrets.redact(no_docs).dtypes == no_docs.dtypes

@@ -138,3 +138,24 @@ def test_local_search_empties_bins_that_best_fit_leaves():
         better = packing.local_search([list(b) for b in bins], lengths, 50)
         assert len(better) <= len(bins) and sorted(i for b in better for i in b) == list(range(60))
         assert all(lengths[b].sum() <= 50 for b in better)
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+@pytest.mark.parametrize("change", ["no normalizer", "lower case", "pre-tokenizer", "token that takes spaces"])
+def test_other_tokenizers_get_no_short_cut(tmp_path, path, change):
+    import json
+    with open(path) as f:
+        steps = json.load(f)
+    if change == "no normalizer":
+        steps["normalizer"] = {"type": "NFD"} if steps["normalizer"] is None else None
+    elif change == "lower case":
+        steps["normalizer"] = {"type": "Lowercase"}
+    elif change == "pre-tokenizer":
+        steps["pre_tokenizer"] = {"type": "ByteLevel", "add_prefix_space": True, "trim_offsets": True, "use_regex": True}
+    else:
+        steps["added_tokens"][0] |= {"lstrip": True, "rstrip": True}
+    other = tmp_path / "other.json"
+    other.write_text(json.dumps(steps))
+    texts = ["Plain Words HERE and École, ÉCOLE.", "a <|endoftext|> b", " two  spaces\nline", "", "don't STOP"]
+    enc = Encoder(str(other))
+    assert [np.frombuffer(x, enc.dtype).tolist() for x in enc.ids(texts)] == whole(str(other), texts)
