@@ -24,6 +24,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -224,7 +225,8 @@ class Fold:
         return t, hits
 
 
-_WORD = re.compile(r"[A-Za-z0-9_]+")
+# Every byte of a word (ASCII letters, digits and "_") as it is, any other one as a space.
+_WORD_BYTES = bytes(b if b < 128 and (chr(b).isalnum() or b == 95) else 32 for b in range(256))
 
 
 def rule_fold_udf(rules: list[tuple]):
@@ -241,27 +243,50 @@ def rule_fold_udf(rules: list[tuple]):
     return rule_fold
 
 
-def tags_udf(voc: "Vocabulary"):
-    """Arrow function ``lower(text) -> array<struct<skill, n>>``: rule hits plus the words
-    of the rest that are skills, each skill once."""
-    rules, skills = list(voc.rules), frozenset(voc.skills)
-
-    @F.pandas_udf(HIT_TYPE)
-    def tags(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        fold = Fold(rules)
-        for texts in batches:
-            out = []
-            for t in texts:
-                if not isinstance(t, str):
-                    out.append([])
-                    continue
-                rest, found = fold(t)
-                for w in filter(skills.__contains__, _WORD.findall(rest)):
-                    found[w] = found.get(w, 0) + 1
-                out.append([{"skill": k, "n": n} for k, n in found.items()])
-            yield pd.Series(out)
-
-    return tags
+class Tagger:
+    """Rule hits plus the words of the rest that are skills, for one text after the other.
+    Words are cut from the text's bytes, by one translation and one split."""
+
+    def __init__(self, rules: list[tuple], skills):
+        self.fold = Fold(rules)
+        self.number = {s: i for i, s in enumerate(skills)}
+        # Only skills that are one word can equal a word.
+        self.words = {s.encode(): i for s, i in self.number.items() if s.encode().translate(_WORD_BYTES) == s.encode()}
+
+    def __call__(self, t: str) -> dict[int, int]:
+        """Counts by the number of the skill."""
+        rest, hits = self.fold(t)
+        found = {self.number[s]: n for s, n in hits.items()}
+        words, get = self.words, self.words.get
+        for w in filter(words.__contains__, rest.encode("utf-8", "replace").translate(_WORD_BYTES).split()):
+            i = get(w)
+            found[i] = found.get(i, 0) + 1
+        return found
+
+
+def tagged_rows(df: DataFrame, key: str, text: Column, voc: "Vocabulary") -> DataFrame:
+    """``(key, skill, tf)`` in one Arrow map: rule hits plus the words of the rest that are
+    skills, each skill of a text once.  (An array column that is unnested afterwards would be
+    computed twice: Spark puts a filter on its size below.)"""
+    rules, skills = list(voc.rules), list(voc.skills)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tagger, names = Tagger(rules, skills), pa.array(skills, pa.string())
+        for batch in batches:
+            rows, numbers, counts = [], [], []
+            for i, t in enumerate(batch.column(1).to_pylist()):
+                if t is not None:
+                    found = tagger(t)
+                    rows += [i] * len(found)
+                    numbers += found
+                    counts += found.values()
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(rows, pa.int64())), names.take(pa.array(numbers, pa.int32())),
+                 pa.array(counts, pa.int64())], [key, "skill", "tf"])
+
+    narrow = df.select(F.col(key), F.lower(text).alias("_t"))
+    kind = narrow.schema[0].dataType.simpleString()
+    return narrow.mapInArrow(run, f"`{key}` {kind}, skill string, tf bigint")
 
 
 def _native_fold(t: Column, rules: list[tuple]) -> tuple[Column, Column]:
@@ -326,9 +351,7 @@ def tag_skills(df: DataFrame, key: str, vocabulary, text_col: str = "text",
     joins the words with the vocabulary and sums per document."""
     voc = prepare_vocabulary(vocabulary, literals)
     if method == "arrow":
-        tags = tags_udf(voc)(F.lower(F.col(text_col)))
-        found = df.select(F.col(key), tags.alias("_f")).select(key, F.inline("_f"))
-        return found.select(key, "skill", F.col("n").alias("tf"))
+        return tagged_rows(df, key, F.col(text_col), voc)
     docs, rest, hits = _folded(df, key, voc, text_col, method)
     bag = docs.select(F.col(key), F.inline(_terms(rest, hits)))
     # the vocabulary is proven small (prepare_vocabulary)

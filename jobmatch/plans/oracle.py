@@ -279,6 +279,7 @@ SQL["feed_vocab_top25"] = ("WITH RECURSIVE " + ",\n".join([
     PAGE_ITEMS, CAT_ROWS, FEED_VOCAB, RULES_SQL, fold_ctes(JOBS, "doc_id", "j_"), MODEL_CTES.strip(),
     fold_ctes(RESUMES, "resume_id", "r_"), *[c.strip() for c in TOP25_CTES[3:]]])
     + "\nSELECT resume_id, doc_id, score, rank FROM top")
+SQL["feed_vocab_pruned_top25"] = SQL["feed_vocab_top25"]
 SQL["skill_tags_native"] = SQL["skill_tags"]
 SQL["match_common_terms_top10"] = _with(
     tags_ctes(JOBS, "doc_id", "j_"), MODEL_CTES,

@@ -135,6 +135,14 @@ def feed_vocab_top25(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top.withColumn("score", F.round("score", DIGITS))
 
 
+def feed_vocab_pruned_top25(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lists from the pairs that upper bounds leave over (about a fifth)."""
+    voc = tagging.prepare_vocabulary(_feed_vocabulary(spark, sf_dir))
+    m = model.build_model(tables.jobs(spark, sf_dir), "doc_id", voc)
+    top = match.match_batch(tables.resumes(spark, sf_dir), m, voc, qkey="resume_id", dkey="doc_id", k=25, prune=True)
+    return top.withColumn("score", F.round("score", DIGITS))
+
+
 # ---- text dataflows -------------------------------------------------------------------
 
 def word_line_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -431,6 +439,7 @@ QUERIES = {
     "resume_tag_stats": resume_tag_stats,
     "feed_vocab_tags": feed_vocab_tags,
     "feed_vocab_top25": feed_vocab_top25,
+    "feed_vocab_pruned_top25": feed_vocab_pruned_top25,
     "word_line_index": word_line_index,
     "word_count": word_count,
     "token_count_filtered": token_count_filtered,

@@ -25,14 +25,22 @@ def shuffle_partitions(spark) -> int:
 SPREAD_BYTES = 1 << 28
 
 
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The plan's own estimate of a frame's size; no job is run.  ``None`` in a Spark Connect
+    session, which has none while planning."""
+    from ..session import spark_context
+    if spark_context(df.sparkSession) is None:
+        return None
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def spread_if_narrow(df: DataFrame) -> DataFrame:
     """Give a CPU-bound stage every core although a small scan may be one task, as a file
     with a single row group is.  Scans past
     ``SPREAD_BYTES`` (the plan's own estimate; no job is run) keep their partitions, so
     a corpus is never shuffled to balance it."""
     from ..session import spark_context
-    sc = spark_context(df.sparkSession)
-    if sc is None:          # Spark Connect: no estimate at planning time
+    size = estimated_bytes(df)
+    if size is None or size > SPREAD_BYTES:
         return df
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(sc.defaultParallelism) if size <= SPREAD_BYTES else df
+    return df.repartition(spark_context(df.sparkSession).defaultParallelism)

@@ -194,3 +194,58 @@ def test_two_checkpoints_on_one_store_keep_all_names(spark, tmp_path):
     names = sorted(r.doc_name.rsplit("/", 1)[-1] for r in spark.read.parquet(store).collect())
     assert names == ["h_x_1", "h_x_2", "seeded"]
     assert spark.read.parquet(f"{store}-quarantine").count() == 1
+
+
+# ---- pruned matching ------------------------------------------------------------------
+
+def random_model(spark, seed, docs=600, skills=25, norm=True):
+    import random
+    rnd, rows, queries = random.Random(seed), [], []
+    for d in range(docs):
+        own = {f"s{min(int(rnd.expovariate(.15)), skills - 1)}": rnd.choice([.25, .5, rnd.random(), 1.0])
+               for _ in range(rnd.randint(1, 9))}
+        size = math.sqrt(sum(w * w for w in own.values())) if norm else rnd.choice([.2, 1.0, 1 / 7])
+        rows += [(d, s, w / size) for s, w in own.items()] + ([(d, "zero", 0.0)] if d % 5 == 0 else [])
+    for q in range(40):
+        own = {f"s{rnd.randrange(skills)}": float(rnd.randint(1, 3)) for _ in range(rnd.randint(0, 6))}
+        size = math.sqrt(sum(w * w for w in own.values()))
+        queries += [(q, s, w / size) for s, w in own.items()] + [(q, "unknown", 0.5), (q, "zero", 0.0)]
+    return (spark.createDataFrame(rows, "doc long, skill string, weight double").repartition(3),
+            spark.createDataFrame(queries, "q long, skill string, qw double"))
+
+
+@pytest.mark.parametrize("seed, norm, k, entries", [(1, True, 5, 20_000), (2, False, 5, 20_000), (3, True, 25, 0),
+                                                    (4, True, 1, 20_000), (5, False, 300, 0)])
+def test_pruned_lists_are_those_of_all_pairs(spark, monkeypatch, seed, norm, k, entries):
+    monkeypatch.setattr(match, "BROADCAST_ENTRIES", entries)
+    m, q = random_model(spark, seed, norm=norm)
+    rows = lambda df: {(r.q, r.doc, r["rank"], round(r.score, 10)) for r in df.collect()}
+    want = rows(match.top_k(match.score_pairs(q, m, "q", "doc"), "q", "doc", k))
+    assert want and rows(match.best_pairs(q, m, "q", "doc", k)) == want
+
+
+def test_pruning_looks_at_few_pairs(spark):
+    """Each candidate comes once, all of the best are among them, and most pairs are not."""
+    m, q = random_model(spark, 9, docs=4000, skills=60)
+    queries = match.query_table(q.filter(F.col("qw") > 0).withColumnRenamed("q", "_q"), "_q")
+    pairs = match.candidate_pairs(queries, match.postings(m, "doc"), "_q", "doc", 5, True).select("_q", "doc").collect()
+    best = match.top_k(match.score_pairs(q, m, "q", "doc"), "q", "doc", 5).select("q", "doc").collect()
+    assert len(pairs) == len(set(pairs)) and set(best) <= set(pairs)
+    assert len(pairs) < 0.5 * match.score_pairs(q, m, "q", "doc").count()
+
+
+def test_pruned_matching_of_nothing(spark):
+    m, q = random_model(spark, 1, docs=10)
+    assert match.best_pairs(q.limit(0), m, "q", "doc", 5).count() == 0
+    assert match.best_pairs(q, m.limit(0), "q", "doc", 5).count() == 0
+
+
+def test_documents_are_not_read_while_pruning_is_planned(spark):
+    """Planning reads the resume side only; a model that cannot be computed is not touched."""
+    from jobmatch.sources.vocabulary import driver_vocabulary
+    never = F.raise_error(F.lit("the model was read"))
+    model_ = spark.range(3).select(F.col("id").alias("doc_id"), F.lit("java").alias("skill"), never.cast("double").alias("weight"))
+    resumes = spark.createDataFrame([(1, "java spark"), (2, None)], "resume_id long, text string")
+    top = match.match_batch(resumes, model_, driver_vocabulary(spark), dkey="doc_id", prune=True)
+    with pytest.raises(Exception, match="the model was read"):
+        top.collect()
