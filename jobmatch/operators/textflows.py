@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import split_keep_empty, split_words_nonempty, text_lines
 
+BLOCK = 4096             # postings of one block of the corpus index
+
 
 def word_lines(texts: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """S2 + P1 + P4: ``(key, word, line_no)``; lines numbered from 0, words split on a
@@ -57,6 +59,70 @@ def word_line_index(texts: DataFrame, key: str, text_col: str = "text", method:
     return d.select(key, F.inline(groups))
 
 
+def line_numbers(texts: DataFrame, key: str, text_col: str = "text") -> DataFrame:
+    """``(first_line, text)``: texts follow one another in the order of ``key`` (unique), and lines
+    are numbered through all of them, as one file of all texts would have it.  Only keys and
+    line counts are sorted; the texts move once, to their numbers."""
+    from ..plans.ranking import running_sum
+    rows = texts.select(F.col(key).alias("_k"), F.col(text_col).alias("text")).filter(F.col("text").isNotNull())
+    sized = rows.select("_k", F.size(text_lines(F.col("text"))).cast("bigint").alias("_n"))
+    firsts = running_sum(sized, [F.col("_k")], "_n", out="first_line").select("_k", "first_line")
+    return rows.join(firsts, rows["_k"].eqNullSafe(firsts["_k"])).select("first_line", "text")
+
+
+def corpus_word_index(texts: DataFrame, key: str, text_col: str = "text", block: int = BLOCK) -> DataFrame:
+    """A1 over a whole corpus: ``(word, block, n, first_line, last_line, gaps)``, the lines of
+    every word in all texts, repeats kept, ascending.
+
+    A word's list is cut into blocks of at most ``block`` postings, so the list of a hot word
+    is spread over many rows and tasks and no row grows with the corpus.  Each block is delta
+    coded: its first line and the steps from one line to the next (``block_lines`` decodes
+    it).  Blocks are runs of places in the order of (word, line), so those of a word follow one
+    another; ``block`` numbers them through all words.  Null texts have no words, null keys
+    sort first."""
+    numbered = line_numbers(texts, key, text_col)
+    lines = numbered.select("first_line", F.posexplode(text_lines(F.col("text"))).alias("at", "line"))
+    words = lines.select((F.col("first_line") + F.col("at")).alias("line"),
+                         F.explode(split_words_nonempty(F.col("line"), " ")).alias("word"))
+    # A word that is often in one line is counted once for it, and repeated in the list.
+    once = words.groupBy("word", "line").agg(F.count(F.lit(1)).alias("times"))
+    return _blocks(once, block)
+
+
+def _blocks(once: DataFrame, block: int) -> DataFrame:
+    """Blocks of ``(word, line, times)`` rows."""
+    from ..plans.ranking import running_sum
+    # The place of a posting among all of them, by (word, line): blocks are runs of places.
+    placed = running_sum(once, [F.col("word"), F.col("line")], "times", out="place")
+    cut = placed.select("word", "line", F.explode(F.sequence(F.col("place"), F.col("place") + F.col("times") - 1)).alias("place"))
+    return (cut.groupBy("word", F.expr(f"place div {block}").alias("block"))
+               .agg(F.array_sort(F.collect_list("line")).alias("lines"))
+               .select("word", "block", F.size("lines").cast("bigint").alias("n"),
+                       F.element_at("lines", 1).alias("first_line"), F.element_at("lines", -1).alias("last_line"),
+                       F.transform("lines", lambda x, i: F.when(i == 0, F.lit(0).cast("bigint"))
+                                   .otherwise(x - F.get("lines", i - 1))).alias("gaps")))
+
+
+def block_lines(index: DataFrame) -> DataFrame:
+    """``(word, block, line)``: the blocks of ``corpus_word_index``, decoded."""
+    start = F.struct(F.col("first_line").alias("at"), F.array().cast("array<bigint>").alias("out"))
+    lines = F.aggregate("gaps", start, lambda acc, g: F.struct(
+        (acc["at"] + g).alias("at"), F.array_append(acc["out"], acc["at"] + g).alias("out")), lambda acc: acc["out"])
+    return index.select("word", "block", F.explode(lines).alias("line"))
+
+
+def lines_of_words(index: DataFrame, words: list[str]) -> DataFrame:
+    """The blocks of some words: a filter that reaches the scan of a stored index, whose files
+    are in the order of words."""
+    return index.filter(F.col("word").isin(words))
+
+
+def write_index(index: DataFrame, path: str) -> None:
+    """Replace a stored index.  Its files hold ranges of (word, block), so that a lookup reads
+    those whose statistics have the word."""
+    index.repartitionByRange("word", "block").sortWithinPartitions("word", "block").write.mode("overwrite").parquet(path)
+
+
 def tokens(lines: DataFrame, sep: str = " ", line_col: str = "line") -> DataFrame:
     """One row per token of a line, empty tokens kept."""
     return lines.select(F.explode(split_keep_empty(F.col(line_col), sep)).alias("token"))

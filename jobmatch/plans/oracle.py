@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 
+from ..operators.textflows import BLOCK
 from ..functions.text import SITE_PREFIX, STORE_FOLDER
 from ..sources.resumes import DEFAULT_RESUME, MAGIC_KEYWORD, MAGIC_RESUME
 from ..sources.vocabulary import DRIVER_VOCABULARY
@@ -166,6 +167,15 @@ SQL = {
         w AS (SELECT doc_id, line_no, unnest(string_split(line, ' ')) AS word FROM l)
         SELECT doc_id, word, '[' || string_agg(line_no::VARCHAR, ' ' ORDER BY line_no) || ']' AS line_numbers
         FROM w WHERE word <> '' GROUP BY doc_id, word""",
+    "corpus_word_index": f"""WITH l AS (SELECT doc_id, string_split(text, {_NL}) AS ls FROM documents WHERE text IS NOT NULL),
+        o AS (SELECT ls, sum(len(ls)) OVER (ORDER BY doc_id) - len(ls) AS first FROM l),
+        x AS (SELECT first, unnest(range(len(ls))) AS i, unnest(ls) AS line FROM o),
+        w AS (SELECT (first + i)::BIGINT AS line, unnest(string_split(line, ' ')) AS word FROM x),
+        p AS (SELECT word, line, row_number() OVER (ORDER BY word, line) - 1 AS place FROM w WHERE word <> ''),
+        g AS (SELECT word, line, place, place // {BLOCK} AS block,
+                     line - lag(line) OVER (PARTITION BY word, place // {BLOCK} ORDER BY place) AS gap FROM p)
+        SELECT word, block, count(*) AS n, min(line) AS first_line, max(line) AS last_line,
+               string_agg(coalesce(gap, 0)::VARCHAR, ' ' ORDER BY place) AS gaps FROM g GROUP BY word, block""",
     "word_count": f"""SELECT token, count(*) AS count FROM (
             SELECT unnest(string_split(line, ' ')) AS token FROM (
                 SELECT unnest(string_split(text, {_NL})) AS line FROM documents)) GROUP BY token""",

@@ -149,6 +149,12 @@ def word_line_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return textflows.word_line_index(tables.jobs(spark, sf_dir), "doc_id")
 
 
+def corpus_word_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 as one list per word over the whole corpus, in blocks; lists printed as text."""
+    index = textflows.corpus_word_index(tables.jobs(spark, sf_dir), "doc_id")
+    return index.select("word", "block", "n", "first_line", "last_line", F.array_join("gaps", " ").alias("gaps"))
+
+
 def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return textflows.word_count(textflows.lines_of_texts(tables.jobs(spark, sf_dir)), " ")
 
@@ -441,6 +447,7 @@ QUERIES = {
     "feed_vocab_top25": feed_vocab_top25,
     "feed_vocab_pruned_top25": feed_vocab_pruned_top25,
     "word_line_index": word_line_index,
+    "corpus_word_index": corpus_word_index,
     "word_count": word_count,
     "token_count_filtered": token_count_filtered,
     "category_counts": category_counts,

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from .sizing import cut_lineage
 
 RUN_BUCKETS = 4096
+RUN_ROWS = 1 << 13       # rows of one run of a partition; divides 1 << 33
 _LOW33 = (1 << 33) - 1   # monotonically_increasing_id: partition id << 33 | record index
 
 
@@ -44,6 +45,28 @@ def global_position(df: DataFrame, order: list[Column], out: str = "position",
                .drop("_mid", "_pid", "_idx", "_off"))
 
 
+def running_sum(df: DataFrame, order: list[Column], value: str, out: str) -> DataFrame:
+    """Add ``out``: the sum of ``value`` over all earlier rows in ``order``.  As in
+    ``global_position``, rows are range-partitioned, sorted and fixed, and each partition needs
+    one number of the others; within it, rows are cut into runs whose sums are summed first, so
+    no window holds a partition."""
+    fixed = cut_lineage(df.repartitionByRange(*order).sortWithinPartitions(*order))
+    mid = fixed.withColumn("_mid", F.monotonically_increasing_id())
+    mid = mid.withColumn("_run", F.expr(f"_mid div {RUN_ROWS}"))    # a run lies in one partition
+    sums = mid.groupBy("_run").agg(F.sum(value).alias("_s"))
+    sums = sums.withColumn("_pid", F.shiftright(F.col("_run") * RUN_ROWS, 33))
+    parts = sums.groupBy("_pid").agg(F.sum("_s").alias("_p"))
+    before = lambda w, c: F.coalesce(F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # one row per partition, and one per run of a partition
+    parts = parts.select("_pid", before(Window.orderBy("_pid"), "_p").alias("_po"))
+    runs = (sums.withColumn("_ro", before(Window.partitionBy("_pid").orderBy("_run"), "_s")).join(F.broadcast(parts), "_pid")
+                .select("_run", (F.col("_po") + F.col("_ro")).alias("_off")))
+    own = before(Window.partitionBy("_run").orderBy("_mid"), value)
+    return (mid.withColumn("_own", own).join(runs, "_run")
+               .withColumn(out, (F.col("_off") + F.col("_own")).cast("bigint"))
+               .drop("_mid", "_run", "_own", "_off"))
+
+
 def running_count(df: DataFrame, partition: list[str], order: list[Column], bucket: Column,
                   out: str = "running_count") -> DataFrame:
     """Add ``out``: running row count within ``partition`` in ``order``; ``bucket`` must

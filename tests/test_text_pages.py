@@ -270,3 +270,52 @@ def test_a_repeated_skill_run_is_stored_once(spark, tmp_path):
     for ts in ("2026-01-01T00:00:00Z", "2026-01-01T00:00:00Z", "2026-01-01T05:00:00Z"):
         append_skill_run(counts, str(tmp_path / "h"), ts)
     assert spark.read.parquet(str(tmp_path / "h")).count() == 2
+
+
+# ---- the corpus index (A1 over all texts) --------------------------------------------------
+
+def corpus_texts():
+    import random
+    rnd = random.Random(11)
+    texts = [(i * 3, "\n".join(" ".join(rnd.choice(["hot", "hot", "a", "b", f"w{rnd.randrange(50)}", ""]) for _ in range(
+        rnd.randint(0, 8))) for _ in range(rnd.randint(1, 6)))) for i in range(120)]
+    return texts + [(-1, "first of all"), (1000, None), (1001, ""), (1002, "\n\n")]
+
+
+def test_corpus_index_has_every_line_of_every_word(spark):
+    from jobmatch.operators import textflows
+    rows = corpus_texts()
+    want, line = [], 0
+    for _, text in sorted(rows):
+        if text is not None:
+            for part in text.split("\n"):
+                want += [(w, line) for w in part.split(" ") if w]
+                line += 1
+    df = spark.createDataFrame(rows, "word long, text string").repartition(5)     # a key that is named like an output
+    index = textflows.corpus_word_index(df, "word", block=16)
+    blocks = index.collect()
+    assert sorted((r.word, r.line) for r in textflows.block_lines(index).collect()) == sorted(want)
+    assert max(r.n for r in blocks) <= 16 and sum(r.word == "hot" for r in blocks) > 20
+    assert sum(r.n for r in blocks) == len(want) and all(r.first_line <= r.last_line for r in blocks)
+    in_order = sorted((r.block, r.word, r.first_line) for r in blocks)
+    assert in_order == sorted(in_order, key=lambda x: (x[1], x[2]))               # blocks follow (word, line)
+
+
+def test_corpus_index_of_nothing_and_stored(spark, tmp_path):
+    from jobmatch.operators import textflows
+    df = spark.createDataFrame(corpus_texts(), "id long, text string")
+    assert textflows.corpus_word_index(df.limit(0), "id").count() == 0
+    index = textflows.corpus_word_index(df, "id", block=16)
+    textflows.write_index(index, str(tmp_path / "index"))
+    back = textflows.lines_of_words(spark.read.parquet(str(tmp_path / "index")), ["all", "none"])
+    assert [r.word for r in back.collect()] == ["all"]
+    assert "PushedFilters: [In(word" in back._jdf.queryExecution().executedPlan().toString()
+
+
+def test_running_sum_over_many_partitions(spark, monkeypatch):
+    from jobmatch.plans import ranking
+    monkeypatch.setattr(ranking, "RUN_ROWS", 4)
+    rows = [(i, i % 7) for i in range(500)]
+    df = spark.createDataFrame(rows, "k long, v long").repartition(6)
+    got = {r.k: r.s for r in ranking.running_sum(df, [F.col("k")], "v", "s").collect()}
+    assert got == {k: sum(v for _, v in rows[:k]) for k, _ in rows}
