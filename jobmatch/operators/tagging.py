@@ -348,8 +348,15 @@ def tag_skills(df: DataFrame, key: str, vocabulary, text_col: str = "text",
                literals=QUOTED_LITERALS, method: str = "arrow") -> DataFrame:
     """``(key, skill, tf)`` for every document with at least one tag; ``key`` is unique.
     All of a document's tags leave its own row, so nothing is shuffled.  The native twin
-    joins the words with the vocabulary and sums per document."""
-    voc = prepare_vocabulary(vocabulary, literals)
+    joins the words with the vocabulary and sums per document.  A vocabulary frame that is
+    too large for a task is worked through in parts (``large_vocabulary``)."""
+    try:
+        voc = prepare_vocabulary(vocabulary, literals)
+    except TooLargeToBroadcast:
+        if method != "arrow" or not isinstance(vocabulary, DataFrame):
+            raise
+        from .large_vocabulary import tag_skills_in_parts
+        return tag_skills_in_parts(df, key, vocabulary, text_col, literals)
     if method == "arrow":
         return tagged_rows(df, key, F.col(text_col), voc)
     docs, rest, hits = _folded(df, key, voc, text_col, method)

@@ -291,6 +291,7 @@ SQL["feed_vocab_top25"] = ("WITH RECURSIVE " + ",\n".join([
     + "\nSELECT resume_id, doc_id, score, rank FROM top")
 SQL["feed_vocab_pruned_top25"] = SQL["feed_vocab_top25"]
 SQL["skill_tags_native"] = SQL["skill_tags"]
+SQL["skill_tags_in_parts"] = SQL["skill_tags"]
 SQL["match_common_terms_top10"] = _with(
     tags_ctes(JOBS, "doc_id", "j_"), MODEL_CTES,
     """terms AS (SELECT skill, 1 AS tf FROM idf ORDER BY df DESC, skill LIMIT 3)""",

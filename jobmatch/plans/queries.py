@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import (ascii_strip, doc_name_to_url, page_links, page_title, result_line,
                               result_line_name, utc_text)
-from ..operators import match, model, pages, skills, tagging, textflows
+from ..operators import large_vocabulary, match, model, pages, skills, tagging, textflows
 from ..plans.sizing import shuffle_partitions, spread_if_narrow
 from ..sources import tables
 from ..sources.resumes import resume_requests
@@ -115,6 +115,13 @@ def resume_tag_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagging.tag_stats(r, "resume_id", driver_vocabulary(spark))
 
 
+def skill_tags_in_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same tags with the rules worked through in parts, as for a vocabulary that no task
+    can hold."""
+    return large_vocabulary.tag_skills_in_parts(tables.jobs(spark, sf_dir), "doc_id", driver_vocabulary_frame(spark),
+                                                part_rows=5)
+
+
 def _feed_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The seed vocabulary plus every skill seen in the feeds (U1 through J6): what
     the skill table holds after a feed run, read back as keys (S8)."""
@@ -433,6 +440,7 @@ def job_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "skill_tags": skill_tags,
     "skill_tags_native": skill_tags_native,
+    "skill_tags_in_parts": skill_tags_in_parts,
     "skill_idf": skill_idf,
     "model_weights": model_weights,
     "match_fixed_top10": match_fixed_top10,

@@ -156,3 +156,40 @@ def test_null_texts_give_no_rows_in_every_path(spark):
         assert [(r.id, r.skill, r.tf) for r in tag_skills(df, "id", v, method=m).collect()] == [(2, "java", 1)]
     st = {r.id: (r.n_words, r.bag_size) for r in tag_stats(df, "id", v).collect()}
     assert st[2] == (1, 1) and st[1][1] == 0
+
+
+# ---- vocabularies in parts ----------------------------------------------------------------
+
+FUSING = ["a-b", "ab-cd", "b-c", "c++", "java", "java-script", "of-the", "script", "spark", "x-y", "z-z", "spark-x", "a.-b",
+          "(free|form)-one", "q-q", "apache-spark"]
+
+
+@pytest.mark.parametrize("part_rows", [1, 4, 100])
+def test_parts_equal_the_whole_fold(spark, part_rows):
+    """Texts whose removals join their sides into matches of rules that were not due before,
+    several times over."""
+    import random
+    from jobmatch.operators.large_vocabulary import tag_skills_in_parts
+    rnd = random.Random(part_rows)
+    pieces = ["a-b", "x-y", "b-c", "a", "b", "-", "c", "ab-", "cd", " ", "java-", "script", "spark", "q-", "q-q", "q", "z-", "z-z", "z",
+              "of the", "of-the", "c++", "(", "free-one", "axxb", "aé-b"]
+    texts = ["aa-b-b", "ab-a-bcd", "xx-y-y", "ax-y-b", "q-q-qq", "zz-zz-z-zz", "ab-x-ycd java-x-yscript", "", None, "JAVA Spark"]
+    texts += ["".join(rnd.choices(pieces, k=rnd.randint(1, 12))) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "due long, text string")
+    vocab = spark.createDataFrame([(s,) for s in FUSING + ["", FUSING[0]]], "skill string")
+    want = {tuple(r) for r in tag_skills(df, "due", vocab).collect()}
+    got = [tuple(r) for r in tag_skills_in_parts(df, "due", vocab, part_rows=part_rows).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_a_vocabulary_of_300_000_skills(spark):
+    """More than one task may hold: the tagger takes the parts by itself."""
+    skills = spark.range(300_000).selectExpr("concat(if(id % 3 = 0, 'k-', 'word'), id) as skill")
+    texts = [(1, "word1 word1 k-3 k 3 word299999 nothing"), (2, "k-299997, k-29 and word4"), (3, None), (4, "plain")]
+    df = spark.createDataFrame(texts, "id long, text string")
+    got = {(r.id, r.skill): r.tf for r in tag_skills(df, "id", skills).collect()}
+    near = spark.createDataFrame([(s,) for s in ["word1", "k-3", "word299999", "k-299997", "k-29", "k-2", "k-9", "k-27", "k-297",
+                                                 "k-2997", "k-29997", "k-299", "k-30", "word4", "k-2999", "k-2999"]], "skill string")
+    near = near.join(skills, "skill", "left_semi")
+    want = {(r.id, r.skill): r.tf for r in tag_skills(df, "id", near).collect()}
+    assert got == want and got[(1, "word1")] == 2
