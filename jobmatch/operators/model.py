@@ -59,6 +59,14 @@ def weights(tf: DataFrame, key: str, n_docs: Column, min_doc_freq: int = 1) -> D
     return out.select(key, "skill", "tf", "idf", "weight")
 
 
+def weights_with(tf: DataFrame, key: str, idf: DataFrame) -> DataFrame:
+    """``(key, skill, tf, idf, weight)`` with a given ``(skill, idf)`` table, which has one row per
+    skill that was ever tagged and is bounded by the vocabulary."""
+    tf = tf.repartition(shuffle_partitions(tf.sparkSession), key)
+    scaled = tf.join(F.broadcast(idf.select("skill", "idf")), "skill").withColumn("_w", F.col("tf") * F.col("idf"))
+    return l2_normalise(scaled, key, "_w", "weight").select(key, "skill", "tf", "idf", "weight")
+
+
 def build_model(jobs: DataFrame, key: str, vocabulary, text_col: str = "text",
                 literals=QUOTED_LITERALS, min_doc_freq: int = 1) -> DataFrame:
     """Tag every job, fit IDF over all jobs, weight and normalise."""

@@ -242,6 +242,7 @@ SQL["skills_csv_reload"] = _with(PAGE_ITEMS, CAT_ROWS, VOCAB, _counts("true", "v
     "SELECT skill, 0::BIGINT AS count FROM cc"
 SQL["skill_history_stored"] = SQL["skills_current"]
 SQL["model_reload"] = SQL["model_weights"]
+SQL["model_in_runs"] = SQL["model_weights"]
 SQL["job_store"] = _with(NAMED, STORED, PENDING) + """SELECT doc_name, url FROM (
     SELECT doc_name, url, http_status, row_number() OVER (PARTITION BY doc_name ORDER BY url) AS rn FROM pending)
     WHERE rn = 1 AND http_status = 200"""

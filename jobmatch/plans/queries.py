@@ -422,6 +422,17 @@ def model_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.round("weight", DIGITS).alias("weight"))
 
 
+def model_in_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model grown by two runs (even, then odd ids, the first listed again) and read back:
+    weights are formed from the terms and document frequencies of both."""
+    from . import model_store
+    path, jobs = _work(spark, "model-store"), tables.jobs(spark, sf_dir)
+    model_store.add_run(jobs.filter("doc_id % 2 = 0"), "doc_id", driver_vocabulary(spark), path, "first")
+    model_store.add_run(jobs, "doc_id", driver_vocabulary(spark), path, "second")
+    return model_store.read_model(spark, path, "doc_id").select(
+        "doc_id", "skill", "tf", F.round("idf", DIGITS).alias("idf"), F.round("weight", DIGITS).alias("weight"))
+
+
 def job_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R6 as a job run twice over the same pages: the second run stores nothing new
     (K3 + J1); returns what the store holds."""
@@ -481,6 +492,7 @@ QUERIES = {
     "skills_csv_reload": skills_csv_reload,
     "skill_history_stored": skill_history_stored,
     "model_reload": model_reload,
+    "model_in_runs": model_in_runs,
     "skills_csv_lower": skills_csv_lower,
     "ml_model": ml_model,
     "pipeline_top25": pipeline_top25,
