@@ -193,14 +193,16 @@ def placeholder_docs(names: DataFrame) -> DataFrame:
                           for f in schema.fields])
 
 
-def ingest_pages(raw: DataFrame, stored: DataFrame, ingest_ts: Column,
+def ingest_pages(raw: DataFrame, stored: DataFrame | None, ingest_ts: Column,
                  selectors=SITE_SELECTORS, prefix_regex: str = r"https?://",
-                 folder: str = STORE_FOLDER) -> tuple[DataFrame, DataFrame]:
+                 folder: str = STORE_FOLDER, find_pending=None) -> tuple[DataFrame, DataFrame]:
     """``(job_docs, totals)``.  Names the pages, drops the stored ones and chooses one
     page per name, all on narrow columns; then the bodies of the fetched pages are joined
-    in, once, extracted and rendered."""
+    in, once, extracted and rendered.  ``find_pending(named)``, if given, drops the stored
+    ones in place of the anti join with ``stored``."""
     named = with_doc_names(raw, prefix_regex, folder)
-    todo = pending(named.drop("html"), stored)
+    narrow = named.drop("html")
+    todo = find_pending(narrow) if find_pending else pending(narrow, stored)
     fetched = bodies(named, one_per_name(todo).filter(F.col("http_status") == 200))
     sec = extract_sections(fetched, selectors, keep=("doc_name", "url"))
     body = render_document(F.col("url"), ingest_ts, F.col("title"), F.col("location"),

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from ..operators import model, pages, sinks, skills, tagging
+from . import name_store
 from .sizing import cut_lineage
 
 
@@ -52,6 +53,17 @@ def ingest_job(spark: SparkSession, raw: DataFrame, store_path: str, ingest_ts:
     return totals
 
 
+def ingest_run(spark: SparkSession, raw: DataFrame, store_path: str, run: str, ingest_ts: Column,
+               selectors=pages.SITE_SELECTORS) -> DataFrame:
+    """R6 + J1 + K3 on a ``name_store``: what is stored already is found by its filters, so the
+    store is not read; returns the totals ``(passed, failed)`` of this run."""
+    docs, totals = pages.ingest_pages(raw, None, ingest_ts, selectors,
+                                      find_pending=lambda named: name_store.pending(named, store_path))
+    totals = cut_lineage(totals)           # of the store as it was before the run
+    name_store.store_run(docs, store_path, run)
+    return totals
+
+
 def match_job(spark: SparkSession, resumes: DataFrame, model_table: str, vocabulary, out_path: str,
               qkey: str = "resume_id", dkey: str = "doc_name", k: int = 25) -> None:
     """R1 for resume sets of any size, written in one job: a lost executor costs its tasks,

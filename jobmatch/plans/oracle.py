@@ -247,6 +247,8 @@ SQL["job_store"] = _with(NAMED, STORED, PENDING) + """SELECT doc_name, url FROM
     SELECT doc_name, url, http_status, row_number() OVER (PARTITION BY doc_name ORDER BY url) AS rn FROM pending)
     WHERE rn = 1 AND http_status = 200"""
 
+SQL["job_store_probed"] = SQL["job_store"]
+
 
 # ---- a vocabulary that comes from the data: rules derived and folded in SQL --------------
 

@@ -448,6 +448,20 @@ def job_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_job_docs(spark, f"{wd}/store").filter(F.col("body").isNotNull()).select("doc_name", "url")
 
 
+def job_store_probed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same store with Bloom filters: the names stored before are its first run, two runs
+    follow, the second of which stores nothing."""
+    from . import name_store
+    from .batch_jobs import ingest_run
+    path = _work(spark, "name-store")
+    raw = spread_if_narrow(tables.raw_pages(spark, sf_dir))
+    ts = F.lit(INGEST_TS).cast("timestamp")
+    name_store.store_run(pages.placeholder_docs(tables.stored_names(spark, sf_dir)).dropDuplicates(["doc_name"]), path, "before")
+    ingest_run(spark, raw, path, "first", ts, pages.DRIVER_SELECTORS)
+    ingest_run(spark, raw, path, "second", ts, pages.DRIVER_SELECTORS)
+    return spark.read.parquet(f"{path}/{name_store.DOCS}").filter(F.col("body").isNotNull()).select("doc_name", "url")
+
+
 QUERIES = {
     "skill_tags": skill_tags,
     "skill_tags_native": skill_tags_native,
@@ -498,4 +512,5 @@ QUERIES = {
     "pipeline_top25": pipeline_top25,
     "feed_files_running_count": feed_files_running_count,
     "job_store": job_store,
+    "job_store_probed": job_store_probed,
 }
