@@ -94,7 +94,7 @@ def with_few(rows: DataFrame, values: DataFrame, key: str, salts: int = 32) -> D
     if values.count() <= BROADCAST_ROWS:
         return rows.join(F.broadcast(values), key)
     salt = F.pmod(F.xxhash64(*[c for c in rows.columns if c != key]), F.lit(salts))
-    spread = values.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long"))
+    spread = values.withColumn("_salt", F.explode(F.sequence(*[F.lit(x).cast("long") for x in (0, salts - 1)])))
     return rows.withColumn("_salt", salt).join(spread, [key, "_salt"]).drop("_salt")
 
 
