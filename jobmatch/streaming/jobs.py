@@ -109,9 +109,16 @@ def stream_skill_counts(spark: SparkSession, landing: str, out: str, checkpoint:
 
 def current_counts(spark: SparkSession, out: str) -> DataFrame:
     """The latest count per skill from the update-mode sink (partial ``max_by``); runs
-    with checkpoints of their own count apart, so their counts add up."""
-    latest = (spark.read.parquet(out).groupBy("run", "skill")
-                   .agg(F.max_by("count", "batch").alias("count")))
+    with checkpoints of their own count apart, so their counts add up.  A job that found no
+    item has written no folder: no counts."""
+    from pyspark.errors import AnalysisException
+    try:
+        written = spark.read.parquet(out)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], "skill string, count bigint")
+    latest = written.groupBy("run", "skill").agg(F.max_by("count", "batch").alias("count"))
     return latest.groupBy("skill").agg(F.sum("count").alias("count"))
 
 

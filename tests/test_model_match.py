@@ -249,3 +249,11 @@ def test_documents_are_not_read_while_pruning_is_planned(spark):
     top = match.match_batch(resumes, model_, driver_vocabulary(spark), dkey="doc_id", prune=True)
     with pytest.raises(Exception, match="the model was read"):
         top.collect()
+
+
+def test_counts_of_an_empty_landing(spark, tmp_path):
+    from jobmatch.streaming import jobs
+    (tmp_path / "landing").mkdir()
+    out = str(tmp_path / "out")
+    jobs.stream_skill_counts(spark, str(tmp_path / "landing"), out, str(tmp_path / "check")).awaitTermination()
+    assert jobs.current_counts(spark, out).collect() == []
