@@ -372,3 +372,10 @@ SQL["ml_model"] = _with(tags_ctes(JOBS, "doc_id", "j_"), """nd AS (SELECT count(
 dfreq AS (SELECT skill, count(*) AS df FROM j_tags GROUP BY skill)""") + """SELECT doc_id, count(*) AS n_terms,
     CASE WHEN max(tf * ln((m + 1.0) / (df + 1.0))) > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS squared_length
     FROM j_tags JOIN dfreq USING (skill), nd GROUP BY doc_id"""
+SQL["feed_source_running_count"] = SQL["feed_files_running_count"]
+SQL["skill_history_compacted"] = SQL["skills_current"]
+SQL["stream_ingest_keyed"] = SQL["stream_ingest"]
+SQL["stream_running_count"] = _with(PAGE_ITEMS, CAT_ROWS) + """SELECT feed_index, url AS guid, pos, category,
+    count(*) OVER (PARTITION BY category ORDER BY feed_index, item_index, pos
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_count
+    FROM cats JOIN pages ON page_id = item_index"""

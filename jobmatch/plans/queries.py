@@ -323,6 +323,38 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{wd}/store").filter(F.col("batch") >= 0).select("doc_name")
 
 
+def _land_twice(spark: SparkSession, sf_dir: str, wd: str):
+    """Feeds 0 to 3, then the others, landed in several files a feed; yields after each landing."""
+    from ..streaming import jobs
+    items, order = tables.feed_items(spark, sf_dir), ["feed_index", "item_index"]
+    for k, some in enumerate((items.filter("feed_index < 4"), items.filter("feed_index >= 4"))):
+        jobs.land_feed_items(some.repartitionByRange(8, *order).sortWithinPartitions(*order), f"{wd}/land/{k}")
+        yield k
+
+
+def stream_running_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 on a stream: items numbered as they arrive, over two landings."""
+    from ..streaming import jobs, running
+    wd = jobs.work_dir(spark, "running")
+    for _landing in _land_twice(spark, sf_dir, wd):
+        running.stream_running_counts(spark, f"{wd}/land", f"{wd}/out", f"{wd}/ck").awaitTermination()
+    return running.read_running_counts(spark, f"{wd}/out").select("feed_index", "guid", "pos", "category", "running_count")
+
+
+def stream_ingest_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R3 with keyed state over two landings, and once more from a checkpoint of its own, which is
+    seeded from the store and finds nothing new."""
+    from . import name_store
+    from ..streaming import jobs, keyed
+    wd = jobs.work_dir(spark, "keyed")
+    name_store.store_run(tables.stored_names(spark, sf_dir).select("doc_name").distinct(), f"{wd}/store", "before")
+    for _landing in _land_twice(spark, sf_dir, wd):
+        keyed.stream_ingest_keyed(spark, f"{wd}/land", f"{wd}/store", f"{wd}/ck").awaitTermination()
+    keyed.stream_ingest_keyed(spark, f"{wd}/land", f"{wd}/store", f"{wd}/ck2").awaitTermination()
+    docs = spark.read.schema("doc_name string, run string").parquet(f"{wd}/store/{name_store.DOCS}")
+    return docs.filter("run <> 'before'").select("doc_name")
+
+
 # ---- sinks read back through the sources (K1-K4 with S1, S2, S6, S8, S9, S10) ------------
 
 def _work(spark: SparkSession, name: str) -> str:
@@ -396,6 +428,32 @@ def feed_files_running_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rc.select("feed_index", "item_index", "pos", "category", "running_count")
 
 
+def feed_source_running_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files read by the feed data source, which numbers the items of a file itself."""
+    from ..sources.feed_source import read_feeds
+    from ..streaming.jobs import land_feed_items
+    wd = _work(spark, "feed-source")
+    items, order = tables.feed_items(spark, sf_dir), ["feed_index", "item_index"]
+    land_feed_items(items.repartitionByRange(16, *order).sortWithinPartitions(*order), f"{wd}/land")
+    good, _aside = read_feeds(spark, f"{wd}/land")
+    rc = skills.category_running_count(good, RUNNING_BUCKET)
+    return rc.select("feed_index", "item_index", "pos", "category", "running_count")
+
+
+def skill_history_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2 with two runs, each folded into a snapshot that keeps two counts a skill."""
+    from . import history_store
+    path, items = _work(spark, "history-store"), tables.feed_items(spark, sf_dir)
+    known = driver_vocabulary_frame(spark)
+    for parity, ts in enumerate((RUN1_TS, RUN2_TS)):
+        history_store.append_run(skills.skill_counts(items.filter(F.col("item_index") % 2 == parity), known), path, ts)
+        history_store.compact(spark, path, versions=2)
+        history_store.clear(spark, path)
+        known = skills.next_vocabulary(history_store.read_history(spark, path))
+    cur = skills.current_counts(history_store.read_history(spark, path))
+    return cur.select("skill", "count", utc_text(F.col("run_ts")).alias("run_ts"))
+
+
 def skill_history_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K2 over two stored runs, then the current view and the key-only scan."""
     from ..sources.models import read_skill_history
@@ -501,16 +559,20 @@ QUERIES = {
     "stream_counts": stream_counts,
     "stream_match": stream_match,
     "stream_ingest": stream_ingest,
+    "stream_running_count": stream_running_count,
+    "stream_ingest_keyed": stream_ingest_keyed,
     "word_count_files": word_count_files,
     "word_line_index_files": word_line_index_files,
     "skills_csv_reload": skills_csv_reload,
     "skill_history_stored": skill_history_stored,
+    "skill_history_compacted": skill_history_compacted,
     "model_reload": model_reload,
     "model_in_runs": model_in_runs,
     "skills_csv_lower": skills_csv_lower,
     "ml_model": ml_model,
     "pipeline_top25": pipeline_top25,
     "feed_files_running_count": feed_files_running_count,
+    "feed_source_running_count": feed_source_running_count,
     "job_store": job_store,
     "job_store_probed": job_store_probed,
 }

@@ -68,9 +68,11 @@ def running_sum(df: DataFrame, order: list[Column], value: str, out: str) -> Dat
 
 
 def running_count(df: DataFrame, partition: list[str], order: list[Column], bucket: Column,
-                  out: str = "running_count") -> DataFrame:
+                  out: str = "running_count", start: DataFrame | None = None) -> DataFrame:
     """Add ``out``: running row count within ``partition`` in ``order``; ``bucket`` must
-    be non-decreasing along ``order`` (e.g. ``item_index div width``)."""
+    be non-decreasing along ``order`` (e.g. ``item_index div width``).  ``start`` (columns of
+    ``partition`` and ``start``) is what each count goes on from; it meets runs of buckets, not
+    rows, so a hot key is not joined by its rows."""
     b = df.withColumn("_bucket", bucket)
     keys = [*partition, "_bucket"]
     counts = b.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
@@ -78,6 +80,9 @@ def running_count(df: DataFrame, partition: list[str], order: list[Column], buck
     runs = counts.groupBy(*partition, "_run").agg(F.sum("_n").alias("_m"))
     earlier = lambda w, c: F.coalesce(F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     runs = runs.select(*partition, "_run", earlier(Window.partitionBy(*partition).orderBy("_run"), "_m").alias("_ro"))
+    if start is not None:
+        runs = runs.join(start, partition, "left").select(
+            *partition, "_run", (F.col("_ro") + F.coalesce("start", F.lit(0))).alias("_ro"))
     within = earlier(Window.partitionBy(*partition, "_run").orderBy("_bucket"), "_n")
     offsets = (counts.withColumn("_bo", within).join(runs, [*partition, "_run"])
                .select(*keys, (F.col("_ro") + F.col("_bo")).alias("_off")))
