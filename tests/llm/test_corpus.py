@@ -215,6 +215,42 @@ def test_names_do_not_empty_pages(page):
     assert html_templates.extract(page.format(inner), None) == "Head\nAll of the text that this page has."
 
 
+LAYOUTS = {
+    "main": ('<div class="topbar-links">All topics</div><main><h1>Head {k}</h1><p class="lead">Lead {k}</p><div class="content">'
+             '<p>Body {k} and much more text than elsewhere</p><p>Same words</p></div></main>'),
+    "divs": ('<div class="topbar-links">All topics</div><div class="post-{k}"><h2>Head {k}</h2><p class="lead">Lead {k}</p>'
+             '<div class="content"><p>Body {k} and much more text than elsewhere</p><p>Same words</p></div>'
+             '<div class="author-bio"><p>About the author</p></div></div>')}
+
+
+def layout_pages(spark, layout, n=5):
+    page = "<html><body>" + LAYOUTS[layout] + '<div class="rightcol"><p>Follow us</p><ul><li>every day</ul></div></body></html>'
+    return spark.createDataFrame([(k, f"http://l.x/{k}", page.replace("{k}", str(k))) for k in range(n)],
+                                 "page_id long, url string, html string")
+
+
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_unnamed_boilerplate_goes_and_titles_stay(spark, layout, monkeypatch):
+    pages = layout_pages(spark, layout)
+    want = {k: f"Head {k}\nLead {k}\nBody {k} and much more text than elsewhere\nSame words" for k in range(5)}
+    assert {r.page_id: r.text for r in html_templates.main_texts(pages).collect()} == want
+    copies = pages.unionByName(pages.withColumn("page_id", F.col("page_id") + 10))      # copies change nothing
+    assert {r.page_id: r.text for r in html_templates.main_texts(copies).collect()} == {
+        k + d: t for k, t in want.items() for d in (0, 10)}
+    if layout == "divs":                                  # without the classes nothing is the template's
+        own = html_templates.classes
+        monkeypatch.setattr(html_templates, "classes", lambda t: own(t).withColumn("own", F.lit(False)))
+        got = {r.page_id: r.text for r in html_templates.main_texts(pages).collect()}
+        assert all("Follow us" in t and "About the author" in t for t in got.values())
+
+
+def test_near_copies_on_one_host_keep_their_title(spark):
+    rows = [(k, f"http://n.x/{k}", f"<body><article><h1>One title</h1><p>Common</p><p>Text {k}</p></article></body>") for k in range(4)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in html_templates.main_texts(pages).collect()} == {
+        k: f"One title\nCommon\nText {k}" for k in range(4)}
+
+
 def test_main_text_of_the_pages(spark):
     pages = spark.read.parquet(f"{SF01}/pages.parquet")
     source = {r.page_id: r.html for r in pages.collect()}
