@@ -5,8 +5,10 @@ Pieces are dealt at random to groups of a fixed size, and each group is packed b
 best fit, longest first, and then a local search.  It takes the emptiest of the underfull
 bins and moves its pieces out: a piece to another bin, one piece for a shorter one of
 another bin, or two pieces for one.  Each step raises the sum of the squared fills, so
-the search ends; it stops when no bin can be emptied or the group's bins are as few as
-its tokens need.
+the search ends by itself: when no step is left, or the group's bins are as few as
+its tokens need.  Where best fit reaches that bound, as it does for pieces that are mostly
+short, there is nothing to search; for lengths near a third and a half of the capacity the
+search takes off most of what best fit uses too much (``search_report`` counts both).
 
 Defined cases: a null text is empty (its document is the end id alone); documents that
 are equal in id and text are packed one by one; null ids are carried; an empty table
@@ -16,6 +18,7 @@ gives no rows.  Only the id and the text are read, so other columns cannot clash
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +33,6 @@ from .tokens import by_bytes, encoder
 CAPACITY = 2048
 END_ID = 0
 GROUP = 4096             # pieces of a group, on average
-PASSES = 3               # of the local search over all underfull bins
 
 
 def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
@@ -55,16 +57,19 @@ def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
-def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int, passes: int = PASSES) -> list[list[int]]:
-    """Fewer bins, if single steps that raise the sum of squared fills can empty some."""
+def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int,
+                 steps: Counter | None = None) -> list[list[int]]:
+    """Fewer bins, if single steps that raise the sum of squared fills can empty some;
+    ``steps`` counts them by kind."""
+    steps = Counter() if steps is None else steps
     least = -(-int(lengths.sum()) // capacity)
     fill = np.array([int(lengths[b].sum()) for b in bins], np.int64)
     where = np.zeros(len(lengths), np.int64)
     for k, b in enumerate(bins):
         where[b] = k
     filled = len(bins)
-    for _ in range(passes):
-        before, before_fill = filled, int((fill ** 2).sum())
+    while True:
+        before = steps.total()
         for source in np.argsort(fill, kind="stable").tolist():
             if filled <= least:
                 break
@@ -72,9 +77,9 @@ def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int, pass
                 continue
             # Pieces of the other underfull bins.
             items = np.flatnonzero((fill[where] < capacity) & (where != source))
-            if _empty(source, bins, items, lengths, where, fill, capacity):
+            if _empty(source, bins, items, lengths, where, fill, capacity, steps):
                 filled -= 1
-        if filled == before and int((fill ** 2).sum()) == before_fill:
+        if filled <= least or steps.total() == before:
             break
     return [b for b in bins if b]
 
@@ -93,7 +98,7 @@ def _shift(bins, where, fill, lengths, out: list[int], back: list[int], source:
     fill[target] += d
 
 
-def _empty(source, bins, items, lengths, where, fill, capacity) -> bool:
+def _empty(source, bins, items, lengths, where, fill, capacity, steps: Counter) -> bool:
     """Move, exchange one for one, exchange two for one, as long as a step raises the sum of
     squares; whether the source is empty then."""
     stuck = False
@@ -118,6 +123,7 @@ def _empty(source, bins, items, lengths, where, fill, capacity) -> bool:
                 continue
             back = [] if g_move[best] >= g_swap[best] else [int(items[best])]
             _shift(bins, where, fill, lengths, out, back, source, int(at[best]))
+            steps[f"{len(out)} for {len(back)}"] += 1
             stuck = False
             break
     return not bins[source]
@@ -149,7 +155,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id_co
 
 
 def pack(parts: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
-    """``parts`` with ``sequence_id`` and ``offset``.  Groups are dealt by a hash of the row
+    """``parts`` with ``sequence_id`` and ``offset``, and for its group the bins of best fit and
+    the steps of the search.  Groups are dealt by a hash of the row
     and a running number, so that no document, however often it is repeated, has one
     group for itself."""
     parts = stored(parts, "pieces")
@@ -161,16 +168,32 @@ def pack(parts: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> Data
         t = t.drop_columns("grp").sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending")])
         lengths = t["length"].to_numpy()
         sequence, offset = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
-        for k, b in enumerate(local_search(best_fit(lengths, capacity), lengths, capacity)):
+        first, steps = best_fit(lengths, capacity), Counter()
+        filled = len(first)
+        for k, b in enumerate(local_search(first, lengths, capacity, steps)):
             sequence[b] = (key[0].as_py() << 32) + k
             offset[b] = np.cumsum(lengths[b]) - lengths[b]
-        return t.append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
+        same = lambda n: pa.array(np.full(len(lengths), n, np.int64))
+        for name, values in (("sequence_id", pa.array(sequence)), ("offset", pa.array(offset)),
+                             ("best_fit_bins", same(filled)), ("steps", same(steps.total()))):
+            t = t.append_column(name, values)
+        return t
 
     fields = ", ".join(f"{c} {t}" for c, t in parts.dtypes)
-    return dealt.groupBy("grp").applyInArrow(one_group, f"{fields}, sequence_id long, offset long")
+    return dealt.groupBy("grp").applyInArrow(one_group, f"{fields}, sequence_id long, offset long, best_fit_bins long, steps long")
+
+
+def search_report(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """One row of what ``pack`` did: groups, bins of best fit, bins after the search, the fewest
+    that the groups' tokens need, and the steps taken."""
+    groups = rows.groupBy(F.shiftright("sequence_id", 32).alias("grp")).agg(
+        F.first("best_fit_bins").alias("best_fit_bins"), F.countDistinct("sequence_id").alias("bins"),
+        F.ceil(F.sum("length") / capacity).alias("least"), F.first("steps").alias("steps"))
+    return groups.agg(F.count("*").alias("groups"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c)
+                                                      for c in ("best_fit_bins", "bins", "least", "steps")])
 
 
 def packed(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """The place of every piece of every document."""
-    return pack(pieces(docs, tokenizer_path, capacity, id_col, text_col), capacity)
+    return pack(pieces(docs, tokenizer_path, capacity, id_col, text_col), capacity).drop("best_fit_bins", "steps")

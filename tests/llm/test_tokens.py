@@ -140,6 +140,37 @@ def test_local_search_empties_bins_that_best_fit_leaves():
         assert all(lengths[b].sum() <= 50 for b in better)
 
 
+def thirds_and_halves(bins, capacity, seed):
+    """Lengths that fill ``bins`` bins by threes: one near a half of the capacity, two below a third."""
+    rnd = np.random.default_rng(seed)
+    a = rnd.integers(int(0.38 * capacity), int(0.49 * capacity), bins)
+    b = rnd.integers(capacity // 4, (capacity - a) // 2 + 1)
+    return rnd.permutation(np.concatenate([a, b, capacity - a - b]))
+
+
+@pytest.mark.parametrize("bins", [60, 250, 1000])
+def test_search_beats_best_fit(bins):
+    lengths, steps = thirds_and_halves(bins, 1000, bins), collections.Counter()
+    first = packing.best_fit(lengths, 1000)
+    assert len(first) > 1.1 * bins
+    after = packing.local_search(first, lengths, 1000, steps)
+    assert len(after) <= 1.03 * bins + 1 and all(lengths[b].sum() <= 1000 for b in after)
+    assert sorted(i for b in after for i in b) == list(range(len(lengths)))
+    assert all(steps[kind] for kind in ("1 for 0", "1 for 1", "2 for 1"))
+
+
+def test_search_is_reported(spark):
+    lengths = thirds_and_halves(700, 2048, 7).tolist()
+    parts = spark.createDataFrame([(i, 0, 0, n, 0) for i, n in enumerate(lengths)],
+                                  "doc_id long, piece int, start long, length long, ids_crc32 long")
+    rows = packing.pack(parts, group=700).cache()
+    told = packing.search_report(rows).first()
+    assert told.groups == 3 and 700 <= told.least <= 702 and told.steps > 100
+    assert told.bins == rows.select("sequence_id").distinct().count() <= 1.04 * told.least < 1.08 * told.least < told.best_fit_bins
+    assert tuple(packing.search_report(rows.limit(0)).first()) == (0, 0, 0, 0, 0)
+    rows.unpersist()
+
+
 @pytest.mark.parametrize("path", [BYTES, WORDS])
 @pytest.mark.parametrize("change", ["no normalizer", "lower case", "pre-tokenizer", "token that takes spaces"])
 def test_other_tokenizers_get_no_short_cut(tmp_path, path, change):
