@@ -373,10 +373,9 @@ def word_count_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def word_line_index_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One folder per document, each file read whole, indexed (A1); the
     document key comes back from the folder name."""
-    from ..sources.text import whole_text_files
+    from ..sources.text import land_texts, whole_text_files
     wd = _work(spark, "whole")
-    (tables.read_table(spark, sf_dir, "documents").select("doc_id", "text")
-           .write.partitionBy("doc_id").text(f"{wd}/docs"))
+    land_texts(tables.read_table(spark, sf_dir, "documents"), "doc_id", f"{wd}/docs")
     files = whole_text_files(spark, f"{wd}/docs").select(
         F.regexp_extract("path", r"doc_id=(\d+)", 1).cast("bigint").alias("doc_id"), "text")
     return textflows.word_line_index(files, "doc_id")

@@ -1,7 +1,12 @@
-"""Text sources."""
+"""Text sources (S1, S2, S9), and the landing of texts as files of their own."""
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,8 +19,49 @@ def text_lines(spark: SparkSession, path: str, shards: int | None = None) -> Dat
     return df.repartition(shards) if shards else df
 
 
+SHARDS = 256             # folders that the folders of texts are dealt to
+
+
+def land_texts(df: DataFrame, key: str, path: str, text_col: str = "text") -> int:
+    """One folder ``key=...`` per text, its line in a file there (a null text is an empty line);
+    returns the number of rows.  The folders lie in ``SHARDS`` others, so that readers list them in
+    as many tasks.  Each task makes its files itself and gives them their names once they are
+    whole: nothing is left for the driver to rename, and a task that is repeated replaces
+    its own files.  Rows of one key in one task share a file, a line each."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow.fs import FileSystem
+        fs, root = FileSystem.from_uri(re.sub(r"^file:/+", "/", path))
+        name, n, last, out, at = f"part-{TaskContext.get().partitionId():05d}.txt", 0, None, None, ""
+
+        def close() -> None:
+            if out is not None:
+                out.close()
+                fs.move(f"{at}/_{name}", f"{at}/{name}")
+
+        for batch in batches:
+            for folder, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if folder != last:
+                    close()
+                    last, at = folder, f"{root}/{folder}"
+                    fs.create_dir(at, recursive=True)
+                    out = fs.open_output_stream(f"{at}/_{name}", compression=None)
+                if text.is_valid:
+                    out.write(text.as_buffer())
+                out.write(b"\n")
+                n += 1
+        close()
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
+
+    value = F.coalesce(F.col(key).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    folder = F.concat(F.lit("shard="), F.pmod(F.xxhash64(key), F.lit(SHARDS)).cast("string"), F.lit(f"/{key}="), value)
+    rows = df.select(folder.alias("folder"), F.col(text_col).cast("binary").alias("text"))
+    return rows.sortWithinPartitions("folder").mapInArrow(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def whole_text_files(spark: SparkSession, path: str) -> DataFrame:
-    """``(path, name, text)``, one row per file read whole."""
-    df = spark.read.text(path, wholetext=True)
+    """``(path, name, text)``, one row per file read whole, at any depth.  No partition columns
+    are made of the folders' names, which the driver would do one by one."""
+    df = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
     p = F.col("_metadata.file_path")
     return df.select(p.alias("path"), base_name(p).alias("name"), F.col("value").alias("text"))

@@ -319,3 +319,16 @@ def test_running_sum_over_many_partitions(spark, monkeypatch):
     df = spark.createDataFrame(rows, "k long, v long").repartition(6)
     got = {r.k: r.s for r in ranking.running_sum(df, [F.col("k")], "v", "s").collect()}
     assert got == {k: sum(v for _, v in rows[:k]) for k, _ in rows}
+
+
+def test_landed_texts_are_read_whole_at_any_depth(spark, tmp_path):
+    from jobmatch.sources import text as S
+    rows = [(i, f"text {i}\nends here") for i in range(300)] + [(900, None), (901, ""), (902, "x"), (902, "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    path = str(tmp_path / "docs")
+    assert S.land_texts(df, "doc_id", path) == S.land_texts(df, "doc_id", path) == len(rows)      # run again: replaced
+    files = S.whole_text_files(spark, path)
+    got = sorted((int(r.path.split("doc_id=")[1].split("/")[0]), r.text) for r in files.collect())
+    assert got == [(i, t + "\n") for i, t in rows[:300]] + [(900, "\n"), (901, "\n"), (902, "x\nx\n")]
+    shards = os.listdir(path)
+    assert 100 < len(shards) <= S.SHARDS and sum(len(os.listdir(f"{path}/{s}")) for s in shards) == 303
