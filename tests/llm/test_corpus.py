@@ -284,6 +284,16 @@ def test_scores(spark, odd_docs, no_docs):
     assert maxent.scores(no_docs).count() == 0
 
 
+def test_counts_and_steps_are_over_all_training_tokens(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"a b a c{i % 5} d " * (i % 4)) for i in range(60)], "doc_id long, text string")
+    passes, real = [], maxent._counted
+    monkeypatch.setattr(maxent, "_counted", lambda *a: passes.append(real(*a)) or passes[-1])
+    tokens = maxent.scores(docs).first()["train_tokens"]
+    assert len(passes) == 1 + maxent.STEPS
+    for counted in passes:      # each token once in each of its four features
+        assert abs(counted.sum() - 4 * tokens) < 1e-3 and np.allclose(counted.sum(1), passes[0].sum(1), rtol=1e-5)
+
+
 def test_class_probabilities_sum_to_one():
     counts = np.array([50, 30, 20, 5, 5])
     m = maxent.Model(np.arange(5), counts, np.zeros(5, np.int64), 120, 9)
