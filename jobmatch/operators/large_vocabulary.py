@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.ranking import global_position
-from ..plans.sizing import MAX_VOCABULARY_ROWS, cut_lineage
+from ..plans.sizing import MAX_VOCABULARY_ROWS, batch_slices, cut_lineage
 from ..sources.vocabulary import clean_vocabulary
 from .tagging import _WORD_BYTES, QUOTED_LITERALS, _counter, _prefilter, anchor, rules_table
 
@@ -56,7 +56,8 @@ def _due_in_part(texts: DataFrame, part: list[tuple]) -> DataFrame:
         always, present = by_anchor.pop(None, []), _prefilter(by_anchor) or (lambda t: {a for a in by_anchor if a in t})
         for batch in batches:
             rows, numbers, ends = [], [], [0]
-            for i, pieces in enumerate(batch.column(1).to_pylist()):
+            # One text at a time as Python's.
+            for i, pieces in enumerate(x.as_py() for x in batch.column(1)):
                 met = set().union(*map(present, pieces)) if by_anchor else set()
                 due = sorted({n for a in met for n in by_anchor[a]}.union(always if pieces else ()))
                 if due:
@@ -113,19 +114,24 @@ def _folded(texts: DataFrame, reach: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters: dict = {}
-        pair = pa.struct([("skill", pa.string()), ("n", pa.int64()), ("word", pa.bool_())])
-        for batch in batches:
-            tags, joins = [], []
+        for batch in batch_slices(batches, 1):
+            skills, counts, word, ends, joins = [], [], [], [0], []
             for t, due in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 rest, hits, sides = fold_due(t, due or [], reach, counters)
                 words: dict[bytes, int] = {}
                 for w in rest.encode("utf-8", "replace").translate(_WORD_BYTES).split():
                     words[w] = words.get(w, 0) + 1
-                tags.append([{"skill": s, "n": n, "word": False} for s, n in hits.items()]
-                            + [{"skill": w.decode(), "n": n, "word": True} for w, n in words.items()])
+                skills += hits
+                skills += (w.decode() for w in words)
+                counts += hits.values()
+                counts += words.values()
+                word += [False] * len(hits) + [True] * len(words)
+                ends.append(len(skills))
                 joins.append(sides)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tags, pa.list_(pair)), pa.array(joins, pa.list_(pa.string()))],
-                                             ["key", "tags", "joins"])
+            pairs = pa.StructArray.from_arrays([pa.array(skills, pa.string()), pa.array(counts, pa.int64()),
+                                                pa.array(word, pa.bool_())], ["skill", "n", "word"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs),
+                                              pa.array(joins, pa.list_(pa.string()))], ["key", "tags", "joins"])
 
     return texts.select("key", "text", "due").mapInArrow(
         run, f"key {kind}, tags array<struct<skill:string,n:bigint,word:boolean>>, joins array<string>")

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 # Largest vocabulary (rows) shipped whole to every task.  The ordered rules of
@@ -22,6 +26,25 @@ def shuffle_partitions(spark) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+SLICE_BYTES = 1 << 20
+
+
+def batch_slices(batches: Iterator[pa.RecordBatch], column: int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Parts of Arrow batches with about ``most`` bytes in a text column; a larger row stands alone.
+    Spark fills batches by rows, so one of a large partition holds far more text than one of
+    a small partition, and what Python makes of it is many times its size."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+        start = total = 0
+        for i, n in enumerate(sizes):
+            if total and total + n > most:
+                yield batch.slice(start, i - start)
+                start, total = i, 0
+            total += n
+        if start < len(sizes):
+            yield batch.slice(start)
+
+
 SPREAD_BYTES = 1 << 28
 
 
