@@ -6,12 +6,14 @@ Input is a frame of whole texts ``(key, text)`` (a ``documents`` table, or
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import split_keep_empty, split_words_nonempty, text_lines
+from ..plans.sizing import SPREAD_BYTES, shuffle_partitions
 
 BLOCK = 4096             # postings of one block of the corpus index
+TASK_BYTES = 16 << 20    # of text whose postings one task sorts
 
 
 def word_lines(texts: DataFrame, key: str, text_col: str = "text") -> DataFrame:
@@ -59,17 +61,39 @@ def word_line_index(texts: DataFrame, key: str, text_col: str = "text", method:
     return d.select(key, F.inline(groups))
 
 
-def line_numbers(texts: DataFrame, key: str, text_col: str = "text") -> DataFrame:
+def line_numbers(texts: DataFrame, key: str, text_col: str = "text", width: int | None = None) -> DataFrame:
     """``(first_line, text)``: texts follow one another in the order of ``key`` (unique), and lines
     are numbered through all of them, as one file of all texts would have it.  Only keys and
-    line counts are sorted; the texts move once, to their numbers."""
+    line counts are sorted; the texts move once, to their numbers (in ``width`` parts, if given)."""
     from ..plans.ranking import running_sum
     rows = texts.select(F.col(key).alias("_k"), F.col(text_col).alias("text")).filter(F.col("text").isNotNull())
     sized = rows.select("_k", F.size(text_lines(F.col("text"))).cast("bigint").alias("_n"))
     firsts = running_sum(sized, [F.col("_k")], "_n", out="first_line").select("_k", "first_line")
+    if width:
+        rows = rows.repartition(width, F.coalesce("_k", F.lit(0).cast(rows.schema["_k"].dataType)), F.isnull("_k"))
     return rows.join(firsts, rows["_k"].eqNullSafe(firsts["_k"])).select("first_line", "text")
 
 
+def words_of_line(line: Column) -> Column:
+    """``array<struct<word, times>>``, every word of a line once: its words are sorted, and the
+    places where the word changes are read (a hash aggregate would hold all words of a task)."""
+    s = F.sort_array(split_words_nonempty(line, " "))
+    with_ends = F.transform(F.array(s), lambda w: F.struct(w.alias("w"), F.when(F.size(w) > 0, F.filter(
+        F.sequence(F.lit(1), F.size(w)), lambda k: (k == 1) | (F.element_at(w, k) != F.element_at(w, k - 1)))
+    ).otherwise(F.array().cast("array<int>")).alias("at")))
+    return F.flatten(F.transform(with_ends, lambda x: F.transform(x["at"], lambda b, j: F.struct(
+        F.element_at(x["w"], b).alias("word"),
+        (F.coalesce(F.get(x["at"], j + 1), F.size(x["w"]) + 1) - b).cast("bigint").alias("times")))))
+
+
+def _width(texts: DataFrame, text_col: str) -> int | None:
+    """Parts that keep what a task sorts at the postings of about ``TASK_BYTES`` of text; ``None`` where
+    the configured number of parts is enough."""
+    size = texts.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    width = -(-size // TASK_BYTES)
+    return width if width > shuffle_partitions(texts.sparkSession) or size > SPREAD_BYTES else None
+
+
 def corpus_word_index(texts: DataFrame, key: str, text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """A1 over a whole corpus: ``(word, block, n, first_line, last_line, gaps)``, the lines of
     every word in all texts, repeats kept, ascending.
@@ -80,20 +104,19 @@ def corpus_word_index(texts: DataFrame, key: str, text_col: str = "text", block:
     it).  Blocks are runs of places in the order of (word, line), so those of a word follow one
     another; ``block`` numbers them through all words.  Null texts have no words, null keys
     sort first."""
-    numbered = line_numbers(texts, key, text_col)
+    width = _width(texts, text_col)
+    numbered = line_numbers(texts, key, text_col, width)
     lines = numbered.select("first_line", F.posexplode(text_lines(F.col("text"))).alias("at", "line"))
-    words = lines.select((F.col("first_line") + F.col("at")).alias("line"),
-                         F.explode(split_words_nonempty(F.col("line"), " ")).alias("word"))
     # A word that is often in one line is counted once for it, and repeated in the list.
-    once = words.groupBy("word", "line").agg(F.count(F.lit(1)).alias("times"))
-    return _blocks(once, block)
+    once = lines.select((F.col("first_line") + F.col("at")).alias("line"), F.inline(words_of_line(F.col("line"))))
+    return _blocks(once.select("word", "line", "times"), block, width)
 
 
-def _blocks(once: DataFrame, block: int) -> DataFrame:
+def _blocks(once: DataFrame, block: int, width: int | None = None) -> DataFrame:
     """Blocks of ``(word, line, times)`` rows."""
     from ..plans.ranking import running_sum
     # The place of a posting among all of them, by (word, line): blocks are runs of places.
-    placed = running_sum(once, [F.col("word"), F.col("line")], "times", out="place")
+    placed = running_sum(once, [F.col("word"), F.col("line")], "times", "place", width)
     cut = placed.select("word", "line", F.explode(F.sequence(F.col("place"), F.col("place") + F.col("times") - 1)).alias("place"))
     return (cut.groupBy("word", F.expr(f"place div {block}").alias("block"))
                .agg(F.array_sort(F.collect_list("line")).alias("lines"))

@@ -45,12 +45,14 @@ def global_position(df: DataFrame, order: list[Column], out: str = "position",
                .drop("_mid", "_pid", "_idx", "_off"))
 
 
-def running_sum(df: DataFrame, order: list[Column], value: str, out: str) -> DataFrame:
+def running_sum(df: DataFrame, order: list[Column], value: str, out: str, width: int | None = None) -> DataFrame:
     """Add ``out``: the sum of ``value`` over all earlier rows in ``order``.  As in
     ``global_position``, rows are range-partitioned, sorted and fixed, and each partition needs
     one number of the others; within it, rows are cut into runs whose sums are summed first, so
-    no window holds a partition."""
-    fixed = cut_lineage(df.repartitionByRange(*order).sortWithinPartitions(*order))
+    no window holds a partition.  ``width`` is how many parts the rows are cut into, for rows that
+    the configured number of parts would leave too large."""
+    wide = [width] if width else []
+    fixed = cut_lineage(df.repartitionByRange(*wide, *order).sortWithinPartitions(*order))
     mid = fixed.withColumn("_mid", F.monotonically_increasing_id())
     mid = mid.withColumn("_run", F.expr(f"_mid div {RUN_ROWS}"))    # a run lies in one partition
     sums = mid.groupBy("_run").agg(F.sum(value).alias("_s"))
@@ -62,6 +64,7 @@ def running_sum(df: DataFrame, order: list[Column], value: str, out: str) -> Dat
     runs = (sums.withColumn("_ro", before(Window.partitionBy("_pid").orderBy("_run"), "_s")).join(F.broadcast(parts), "_pid")
                 .select("_run", (F.col("_po") + F.col("_ro")).alias("_off")))
     own = before(Window.partitionBy("_run").orderBy("_mid"), value)
+    mid = mid.repartition(width, "_run") if width else mid
     return (mid.withColumn("_own", own).join(runs, "_run")
                .withColumn(out, (F.col("_off") + F.col("_own")).cast("bigint"))
                .drop("_mid", "_run", "_own", "_off"))

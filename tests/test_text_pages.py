@@ -332,3 +332,21 @@ def test_landed_texts_are_read_whole_at_any_depth(spark, tmp_path):
     assert got == [(i, t + "\n") for i, t in rows[:300]] + [(900, "\n"), (901, "\n"), (902, "x\nx\n")]
     shards = os.listdir(path)
     assert 100 < len(shards) <= S.SHARDS and sum(len(os.listdir(f"{path}/{s}")) for s in shards) == 303
+
+
+def test_words_of_a_line_are_counted_in_its_row(spark):
+    rows = [("b a  b b",), ("",), (None,), (" ",), ("a",)]
+    got = spark.createDataFrame(rows, "line string").select(textflows.words_of_line(F.col("line")).alias("w")).collect()
+    assert [[tuple(x) for x in r.w or []] for r in got] == [[("a", 1), ("b", 3)], [], [], [], [("a", 1)]]
+
+
+def test_corpus_index_is_cut_by_the_size_of_the_texts(spark, monkeypatch):
+    from jobmatch.plans import ranking
+    df = spark.createDataFrame(corpus_texts() + [(None, "no key\nno no")], "id long, text string")
+    index = lambda: sorted(map(str, textflows.corpus_word_index(df, "id", block=16).collect()))
+    want, widths, real = index(), [], ranking.running_sum
+    monkeypatch.setattr(textflows, "TASK_BYTES", 200)
+    monkeypatch.setattr(ranking, "running_sum", lambda *a, **k: widths.append(a[4] if len(a) > 4 else None) or real(*a, **k))
+    assert index() == want
+    size = sum(len(t or "") for _, t in corpus_texts()) + len("no key\nno no")
+    assert widths == [None, -(-size // 200)] and widths[1] > 8
