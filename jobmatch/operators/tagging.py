@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import NON_WORD, lit_regex
-from ..plans.sizing import MAX_VOCABULARY_ROWS, TooLargeToBroadcast
+from ..plans.sizing import MAX_VOCABULARY_ROWS, TooLargeToBroadcast, batch_slices
 from ..sources.vocabulary import VOCAB_SCHEMA, clean_vocabulary
 
 # Fixed values of the rule derivation.
@@ -272,7 +272,7 @@ def tagged_rows(df: DataFrame, key: str, text: Column, voc: "Vocabulary") -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger, names = Tagger(rules, skills), pa.array(skills, pa.string())
-        for batch in batches:
+        for batch in batch_slices(batches, 1):
             rows, numbers, counts = [], [], []
             for i, t in enumerate(batch.column(1).to_pylist()):
                 if t is not None:

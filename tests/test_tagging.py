@@ -193,3 +193,24 @@ def test_a_vocabulary_of_300_000_skills(spark):
     near = near.join(skills, "skill", "left_semi")
     want = {(r.id, r.skill): r.tf for r in tag_skills(df, "id", near).collect()}
     assert got == want and got[(1, "word1")] == 2
+
+
+def test_a_batch_of_any_size_is_worked_through_in_slices(spark, monkeypatch):
+    import pyarrow as pa
+    from jobmatch.operators import large_vocabulary as large, tagging
+    from jobmatch.plans.sizing import SLICE_BYTES, batch_slices
+    texts = ["java spark x" * 20_000, None, "", "c++ " * 30_000] * 30
+    batch = pa.RecordBatch.from_arrays([pa.array(range(120), pa.int64()), pa.array(texts)], ["key", "text"])
+    slices = list(batch_slices(iter([batch, batch.slice(0, 0)]), 1))
+    assert pa.Table.from_batches(slices).equals(pa.Table.from_batches([batch]))
+    assert max(sum(len(t or "") for t in s.column(1).to_pylist()) for s in slices) <= SLICE_BYTES
+    df = spark.createDataFrame([(1, "java")], "key long, text string")
+    made = []
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, run, schema: made.append(run) or self)
+    tagging.tag_skills(df, "key", driver_vocabulary(spark))
+    large._folded(df.selectExpr("key", "text", f"cast(array() as {large.DUE}) due"), 10)
+    tagged, folded = made
+    assert len(list(tagged(iter([batch])))) == len(slices) > 10
+    due = pa.array([[]] * 120, pa.list_(pa.struct([("i", pa.int64())])))
+    out = list(folded(iter([pa.RecordBatch.from_arrays([*batch.columns[:1], batch.column(1).fill_null(""), due], ["key", "text", "due"])])))
+    assert len(out) == len(slices) and sum(map(len, out)) == 120
