@@ -97,3 +97,12 @@ def test_items_aside_as_a_stream(spark, tmp_path):
     keyed.stream_items_aside(spark, str(tmp_path / "land"), str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
     got = spark.read.parquet(str(tmp_path / "out")).select("feed_index", "problem", "raw").collect()
     assert sorted(map(tuple, got)) == [(1, "the item has no end", "<item><guid>cut"), (2, "no guid", "<item/>")]
+
+
+def test_a_reader_holds_a_bounded_number_of_items(tmp_path):
+    f = tmp_path / "feed_1.xml"
+    f.write_text(HEAD + "".join(map(item, range(3 * fs.BATCH_ITEMS + 5))) + "<item><guid>cut")
+    reader = fs.FeedSource({"path": str(tmp_path)}).reader(None)
+    batches = list(reader.read(reader.partitions()[0]))
+    assert [len(b) for b in batches] == [fs.BATCH_ITEMS] * 3 + [6]
+    assert [tuple(r.values()) for b in batches for r in b.to_pylist()] == list(fs.read_file(reader.partitions()[0]))
