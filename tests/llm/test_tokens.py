@@ -190,3 +190,17 @@ def test_other_tokenizers_get_no_short_cut(tmp_path, path, change):
     texts = ["Plain Words HERE and École, ÉCOLE.", "a <|endoftext|> b", " two  spaces\nline", "", "don't STOP"]
     enc = Encoder(str(other))
     assert [np.frombuffer(x, enc.dtype).tolist() for x in enc.ids(texts)] == whole(str(other), texts)
+
+
+def test_a_segment_is_looked_up_once_for_many_texts():
+    class Counted(dict):
+        looked = 0
+
+        def __getitem__(self, k):
+            Counted.looked += 1
+            return dict.__getitem__(self, k)
+
+    enc, texts = Encoder(WORDS), ["alpha beta, \n gamma", "", "alpha alpha " * 500]
+    enc.known = Counted()
+    assert [np.frombuffer(x, enc.dtype).tolist() for x in enc.ids(texts)] == whole(WORDS, texts)
+    assert Counted.looked < 20
