@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark import TaskContext
 
 from .common import stored, work_path
-from .tokens import by_bytes, encoder
+from .tokens import by_bytes, encoder, releasing
 
 END_ID = 0
 MAGIC = b"IDS1"
@@ -196,7 +196,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, folder: str, id_col: str
                        F.monotonically_increasing_id().alias("tie"))
     # The running id spreads a key with very many rows over several shards.
     placed = rows.repartitionByRange("k", "tie").sortWithinPartitions("k", F.xxhash64("t"))
-    return stored(placed.select("k", "t").mapInArrow(write, MANIFEST), "manifest")
+    return stored(placed.select("k", "t").mapInArrow(releasing(write), MANIFEST), "manifest")
 
 
 def read_back(manifest: DataFrame, folder: str) -> DataFrame:

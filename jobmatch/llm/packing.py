@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
-from .tokens import by_bytes, encoder
+from .tokens import by_bytes, encoder, releasing
 
 CAPACITY = 2048
 END_ID = 0
@@ -151,7 +151,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id_co
 
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = dict(narrow.dtypes)["doc_id"]
-    return narrow.mapInArrow(cut, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+    return narrow.mapInArrow(releasing(cut), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 
 
 def pack(parts: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:

@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tokens import by_bytes, encoder
+from .tokens import by_bytes, encoder, releasing
 
 LIMIT = 512
 
@@ -39,4 +39,4 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = LIMIT, id_co
 
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = dict(narrow.dtypes)["doc_id"]
-    return narrow.mapInArrow(count, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")
+    return narrow.mapInArrow(releasing(count), f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")

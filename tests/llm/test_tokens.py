@@ -204,3 +204,42 @@ def test_a_segment_is_looked_up_once_for_many_texts():
     enc.known = Counted()
     assert [np.frombuffer(x, enc.dtype).tolist() for x in enc.ids(texts)] == whole(WORDS, texts)
     assert Counted.looked < 20
+
+
+def latin_texts(n=3000):
+    rnd = random.Random(5)
+    word = lambda: "".join(rnd.choices("abcdeghilmnorstuyÀÉßàçéñöü÷×ªµ", k=rnd.randint(1, 9))).title()
+    mark = lambda: rnd.choice(["", "", "", ".", ",", "%%%", "#", "...", "'s", "1", "-", "|"])
+    return ["".join(rnd.choice(["\n", " ", " "]) + word() + mark() for _ in range(20))[rnd.randint(0, 1):] for _ in range(n)]
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_words_are_asked_for_many_at_a_time(path):
+    class Counted:
+        calls = 0
+
+        def __init__(self, tokenizer):
+            self.tokenizer = tokenizer
+
+        def encode_batch_fast(self, texts, **more):
+            Counted.calls += len(texts)
+            return self.tokenizer.encode_batch_fast(texts, **more)
+
+    enc, texts = Encoder(path), latin_texts()
+    enc.tokenizer, enc.joined = Counted(enc.tokenizer), Counted(enc.joined)
+    assert [np.frombuffer(x, enc.dtype).tolist() for x in enc.ids(texts)] == whole(path, texts)
+    plain = {w for w in enc.known if w.strip(" ").isascii() and w.strip(" ").isalpha()}
+    others = {w for w in enc.known if not w.strip(" ").isalpha() or not all(c.isascii() or c >= "À" for c in w.strip(" "))}
+    assert len(plain) > 1000 and Counted.calls < len(others) + 100
+    assert not any(w[-1:] == "." and w[:-1].strip(" ").isascii() and w[:-1].strip(" ").isalpha() for w in enc.known)
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+@pytest.mark.parametrize("content", ["plain", "rds.", "1"])
+def test_added_tokens_of_letters_and_signs_are_found_in_words(tmp_path, path, content):
+    t = Tokenizer.from_file(path)
+    t.add_special_tokens([content])
+    t.save(other := str(tmp_path / "other.json"))
+    texts = ["Explained plainly, in plain words.", "words. words", "a1b 1 2 plain", "", "cords.\nrds."]
+    enc = Encoder(other)
+    assert [np.frombuffer(x, enc.dtype).tolist() for x in enc.ids(texts)] == whole(other, texts)
