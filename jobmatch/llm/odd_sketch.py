@@ -33,12 +33,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import forget, small_side, stored, with_few
 from .components import components
+from .tokens import by_bytes, releasing
 
 THRESHOLD = 80           # per cent
 BANDS, ROWS = 32, 4
@@ -46,6 +48,7 @@ BITS = 512               # of a sketch
 SIGMAS = 6
 CROWD = 16               # members of a crowded bucket
 CHUNK = 1 << 15          # shingles hashed at a time
+SLICE = 1 << 20          # bytes of text worked through at a time
 
 _rng = np.random.default_rng(20_140_407)
 _SAMPLES = BANDS * ROWS
@@ -109,12 +112,20 @@ def _lists(values: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(np.arange(0, values.size + 1, values.shape[1], dtype=np.int32), values.ravel())
 
 
+def _slices(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
+    """Slices of about ``SLICE`` bytes of text: Python holds the sets of one at a time."""
+    for batch in batches:
+        sizes = pc.binary_length(batch.column(text).cast(pa.binary())).fill_null(0)
+        for a, b in by_bytes(sizes.to_pylist(), SLICE):
+            yield batch.slice(a, b - a)
+
+
 def signatures(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
     """``doc_id, v, n_shingles, node, bands, sketch``; ``v`` is a hash of the text, ``node`` a
     128-bit digest of the set, null for an empty one."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches, 1):
             sets = [shingle_set(t, n) for t in batch.column(1).to_pylist()]
             size = np.array([len(s) for s in sets], np.int64)
             bands, sketch = np.zeros((len(sets), BANDS), np.int64), np.zeros((len(sets), BITS // 64), np.int64)
@@ -128,7 +139,7 @@ def signatures(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("v"))
     kind = dict(narrow.dtypes)["doc_id"]
     return narrow.mapInArrow(
-        sign, f"doc_id {kind}, v long, n_shingles long, node binary, bands array<long>, sketch array<long>")
+        releasing(sign), f"doc_id {kind}, v long, n_shingles long, node binary, bands array<long>, sketch array<long>")
 
 
 def _sets(docs: DataFrame, members: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
@@ -136,7 +147,7 @@ def _sets(docs: DataFrame, members: DataFrame, n: int, id_col: str, text_col: st
     document of each."""
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches, 0):
             sets = [shingle_set(t, n) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([hashlib.md5(s.tobytes()).digest() for s in sets], pa.binary()),
@@ -145,7 +156,7 @@ def _sets(docs: DataFrame, members: DataFrame, n: int, id_col: str, text_col: st
     wanted = small_side(members.select(F.col("rep").alias("_rep")).distinct())
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(
         wanted, F.col("_id").eqNullSafe(F.col("_rep")), "left_semi").select("_text")
-    found = texts.mapInArrow(shingle, "node binary, shingles array<long>")
+    found = texts.mapInArrow(releasing(shingle), "node binary, shingles array<long>")
     # A row that is repeated as it is gives its set more than once.
     return (found.join(members.select("node"), "node", "left_semi")
             .groupBy("node").agg(F.first("shingles").alias("shingles")))

@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,6 +101,14 @@ def test_a_near_copy_outside_the_crowded_buckets_is_linked(spark):
     assert got == {i: i - (i > 1000 and i % 2) for i, _ in rows}
 
 
+def test_sets_are_made_for_slices_of_a_batch():
+    texts = ["word " * 200] * 5000 + [None, "", "x" * (3 << 20), "last"]
+    batch = pa.record_batch({"id": list(range(len(texts))), "text": texts})
+    slices = list(odd_sketch._slices(iter([batch, batch.slice(0, 0), batch.slice(4999)]), 1))
+    assert [i for s in slices for i in s["id"].to_pylist()] == [*range(5004), *range(4999, 5004)]
+    assert all(s.num_rows == 1 or sum(len(t or "") for t in s["text"].to_pylist()) <= odd_sketch.SLICE for s in slices)
+
+
 def test_sketches_estimate_high_similarities():
     rnd = np.random.default_rng(1)
     for shared in (400, 450, 490):
