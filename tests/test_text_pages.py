@@ -3,6 +3,7 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from jobmatch.functions import text as T
@@ -334,6 +335,40 @@ def test_landed_texts_are_read_whole_at_any_depth(spark, tmp_path):
     assert 100 < len(shards) <= S.SHARDS and sum(len(os.listdir(f"{path}/{s}")) for s in shards) == 303
 
 
+def test_whole_files_are_listed_and_read_by_tasks(spark, tmp_path, monkeypatch):
+    import bz2
+    import gzip
+    import zlib
+
+    import pyarrow as pa
+    from jobmatch.sources import text as S
+    root = tmp_path / "a b"
+    files = {"k=a b%20c/\u00e9#x?y/f g%41+.txt": b"one\r\ntwo", "bad.txt": b"\xff\xfea\x00\xc3", "bom.txt": b"\xef\xbb\xbfhi",
+             "empty.txt": b"", "deep/er/f.txt": b"x", "_h/f.txt": b"no", ".h/f.txt": b"no", "_h=1/f.txt": b"yes",
+             "_metadata/f.txt": b"yes", "_f": b"no", "_f=1": b"yes", "a._COPYING_": b"no", "g.gz": gzip.compress(b"g") * 2,
+             "b.BZ2": bz2.compress(b"b"), "d.deflate": zlib.compress(b"d"), "e.gz": gzip.compress(b"")}
+    for name, data in files.items():
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_bytes(data)
+    with pa.CompressedOutputStream(str(root / "z.zst"), "zstd") as f:
+        f.write(b"z")
+    spark.createDataFrame([("l",)], "t string").coalesce(1).write.option("compression", "lz4").text(str(root / "[l]"))
+    (root / "none").symlink_to("gone")
+    rows = lambda df: sorted(tuple(r) for r in df.select("path", F.col("text").cast("binary")).collect())
+    want, real = rows(S._spark_whole_files(spark, str(root))), S._spark_whole_files
+    assert len(want) == 13
+    monkeypatch.setattr(S, "_spark_whole_files", lambda s, *paths: real(s, *paths) if all(
+        p.endswith(".lz4") for p in paths) else pytest.fail("the driver lists the files"))
+    got = S.whole_text_files(spark, str(root))
+    assert rows(got) == want
+    assert {r.name for r in got.collect()} == {p.rsplit("/", 1)[1] for p, _ in want}
+    (tmp_path / "no files").mkdir()
+    assert S.whole_text_files(spark, str(tmp_path / "no files")).collect() == []
+    monkeypatch.setattr(S, "_spark_whole_files", real)
+    assert rows(S.whole_text_files(spark, str(tmp_path / "*"))) == want               # patterns are Spark's
+    assert rows(S.whole_text_files(spark, str(root / "bad.txt"))) == [r for r in want if r[0].endswith("bad.txt")]
+
+
 def test_words_of_a_line_are_counted_in_its_row(spark):
     rows = [("b a  b b",), ("",), (None,), (" ",), ("a",)]
     got = spark.createDataFrame(rows, "line string").select(textflows.words_of_line(F.col("line")).alias("w")).collect()
