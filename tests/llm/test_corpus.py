@@ -317,6 +317,69 @@ def test_class_probabilities_sum_to_one():
         assert abs(sum(row[m.class_of[k]] * within[k] for k in range(5)) + row[maxent.CLASSES] * rest - 1) < 1e-5
 
 
+def test_history_tells_the_words_of_a_class_apart(spark):
+    # b and c are as frequent and in one class: only what stands before them tells which one follows.
+    texts = ["x b y c " * 40, "y c x b " * 40] * 20
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model, vocabulary, encoded = maxent.fit(docs.withColumn("held_out", F.lit(False)))
+    number = {r.h: i for i, r in enumerate(vocabulary.orderBy(F.desc("c"), "h").collect())}
+    word = {w: number[int(maxent._hashes([w])[0][0])] for w in "xybc"}
+    model.class_of[:] = 0                                             # one class holds them all
+    model._grow()
+    maxent._train(encoded, model)
+    ids = np.array([word[w] for w in ("x", "b", "x", "c")], np.uint16)
+    p = 10 ** model.word_given_class(ids, model.features(ids, np.array([True, False, True, False])))
+    assert p[1] > 0.9 and p[3] < 0.05 and model.within[word["b"]] == model.within[word["c"]]
+
+
+def test_words_of_a_class_sum_to_one_whatever_the_history():
+    rng = np.random.default_rng(1)
+    counts = np.sort(rng.integers(1, 1000, 300))[::-1].copy()
+    m = maxent.Model(np.arange(300), counts, rng.integers(0, 4, 300), int(counts.sum()) + 50, 320)
+    words = np.arange(300, dtype=np.uint16)
+    history = np.tile(rng.integers(0, maxent.BUCKETS, 4), (300, 1))
+    alone = m.word_given_class(words, history)
+    assert np.allclose(alone, m.within[:300], atol=1e-4)              # without weights: the shares of counts
+    m.slots[:] = rng.normal(size=len(m.slots))
+    given = m.word_given_class(words, history)
+    assert not np.allclose(given, alone, atol=0.1)
+    for c in range(maxent.CLASSES):
+        inside = m.class_of[:300] == c
+        assert not inside.any() or abs((10 ** given[inside]).sum() - 1) < 1e-4
+    other = np.array([maxent.FREQUENT], np.uint16)
+    assert m.word_given_class(other, history[:1])[0] == 0
+
+
+def test_sums_by_slot_and_by_feature_are_plain_sums(monkeypatch):
+    rng = np.random.default_rng(2)
+    place, rows = (rng.zipf(1.3, 5000) % 700).astype(np.uint16), rng.random((5000, 33)).astype(np.float32)
+    got, want = np.zeros((700, 33)), np.zeros((700, 33))
+    maxent._add_rows(got, place, rows)
+    np.add.at(want, place, rows)
+    assert np.allclose(got, want, rtol=1e-5)
+    monkeypatch.setattr(maxent, "WALK", 100)
+    counts = np.sort(rng.integers(1, 1000, 50))[::-1].copy()
+    m = maxent.Model(np.arange(50), counts, np.zeros(50, np.int64), int(counts.sum()) + 50, 70)
+    m.slots[:] = rng.normal(size=len(m.slots))
+    ids = rng.choice(np.append(np.arange(50), maxent.FREQUENT), 730).astype(np.uint16)
+    features = m.features(ids, rng.random(730) < 0.1)
+    seen, step, plain = np.zeros((2, maxent.SLOTS)), np.zeros((1, maxent.SLOTS)), np.zeros((4, maxent.SLOTS))
+    first, times = maxent._distinct(np.append(ids, ids), np.concatenate([features, features]))
+    assert times.sum() == 2 * len(ids) and len({(*f, i) for i, f in zip(ids.tolist(), features.tolist())}) == len(times)
+    twice = np.append(ids, ids)[first], np.concatenate([features, features])[first]
+    m.add_turns(*twice, times, seen, True)
+    m.add_turns(*twice, times, step, False)
+    for i, f in zip(ids, features):
+        for e in range(m.starts[i], m.starts[i] + m.steps[i]) if i < 50 else ():
+            mixed = (f.astype(np.uint64) * maxent._ODD[1] >> np.uint64(40)).astype(np.int64)
+            at = (mixed + m.place[e]) % maxent.SLOTS
+            for x in at:
+                plain[:, x] += 1, m.turn[e], 1 / (1 + math.exp(-m.odds[e])), 1 / (1 + math.exp(-m.odds[e] - m.slots[at].sum()))
+    visits = np.floor(seen[0] / maxent.VISIT)
+    got = np.stack([visits, seen[0] - visits * maxent.VISIT, seen[1], step[0]])
+    assert np.allclose(got, 2 * plain, rtol=1e-4)
+
+
 # ---- the pipeline
 
 def test_stages_against_brute_force(spark, odd_docs, tmp_path):
